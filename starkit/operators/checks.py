@@ -19,9 +19,14 @@ def require_not_empty(df: DataFrame, name: str) -> None:
         raise CheckFailed(f"{name}: no rows")
 
 
-def require_columns(df: DataFrame, name: str, expected: int | list[str]) -> None:
-    """Check the number of columns, or their names in order."""
-    found = df.columns if isinstance(expected, list) else len(df.columns)
+def require_columns(df: DataFrame, name: str, expected: int | list[str] | dict[str, str]) -> None:
+    """Check the number of columns, their names in order, or names and types."""
+    if isinstance(expected, int):
+        found = len(df.columns)
+    elif isinstance(expected, list):
+        found = df.columns
+    else:
+        found, expected = list(df.dtypes), list(expected.items())
     if found != expected:
         raise CheckFailed(f"{name}: expected columns {expected}, found {found}")
 

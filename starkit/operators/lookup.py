@@ -13,7 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starkit.operators.checks import require_unique
+from starkit.operators.checks import CheckFailed
+from starkit.operators.guards import duplicate_keys
 
 
 @dataclass(frozen=True)
@@ -38,15 +39,26 @@ def _match(feed: DataFrame, lookup: Lookup) -> Column:
     )
 
 
+def _require_single_matches(lookups: list[Lookup]) -> None:
+    """Fail, in one job, if any lookup could multiply rows without leave."""
+    repeated = [
+        duplicate_keys(lookup.table, list(lookup.on)).select(F.lit(lookup.name))
+        for lookup in lookups
+        if not lookup.allow_fanout
+    ]
+    found = reduce(DataFrame.union, repeated).head(1) if repeated else []
+    if found:
+        raise CheckFailed(f"{found[0][0]}: lookup key is not unique")
+
+
 def star_lookup(feed: DataFrame, lookups: list[Lookup], verify: bool = True) -> DataFrame:
     """Inner join ``feed`` with every lookup; rows that miss one are dropped.
 
     The result holds the feed's columns followed by the taken ones. ``verify``
     first checks that no lookup multiplies rows, unless it is allowed to.
     """
-    for lookup in lookups:
-        if verify and not lookup.allow_fanout:
-            require_unique(lookup.table, lookup.name, list(lookup.on))
+    if verify:
+        _require_single_matches(lookups)
     result = feed
     for lookup in lookups:
         dimension = lookup.table.select(

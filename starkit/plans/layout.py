@@ -61,57 +61,98 @@ VISA_MAP = MapSpec("map_visa", ("visa_code", "visa_type"), "i94visa.csv")
 
 @dataclass(frozen=True)
 class TableSpec:
-    """A table of the star: its view, columns in order, and directory."""
+    """A table of the star: its view, schema, directory and key."""
 
     view: str
-    columns: tuple[str, ...]
+    schema: dict[str, str]  # column -> type, in order
     directory: str
     key: str
 
+    @property
+    def columns(self) -> list[str]:
+        return list(self.schema)
+
+    @property
+    def ddl(self) -> str:
+        return ", ".join(f"{name} {kind}" for name, kind in self.schema.items())
+
 
 LOCATION = TableSpec(
     "dim_arrival_location",
-    ("id", "port_code", "state_code", "port_name"),
+    {"id": "bigint", "port_code": "string", "state_code": "string", "port_name": "string"},
     "arrival_location.parquet",
     "id",
 )
 DEMOGRAPHICS = TableSpec(
     "dim_demographics",
-    (
-        "id", "port_code", "city", "state", "state_code", "median_age",
-        "male_population", "female_population", "total_population",
-        "number_of_veterans", "foreign_born", "average_household_size",
-        *GROUPS.values(),
-    ),
+    {
+        "id": "bigint",
+        "port_code": "string",
+        "city": "string",
+        "state": "string",
+        "state_code": "string",
+        "median_age": "float",
+        "male_population": "bigint",
+        "female_population": "bigint",
+        "total_population": "bigint",
+        "number_of_veterans": "bigint",
+        "foreign_born": "bigint",
+        "average_household_size": "double",
+        **{name: "bigint" for name in GROUPS.values()},
+    },
     "demographics.parquet",
     "id",
 )
 COUNTRY = TableSpec(
-    "dim_origin_country", ("country_id", "country_name"), "origin_country.parquet", "country_id"
+    "dim_origin_country",
+    {"country_id": "int", "country_name": "string"},
+    "origin_country.parquet",
+    "country_id",
 )
 DATE = TableSpec(
     "dim_arrival_date",
-    (
-        "arrdate", "arrdate_conv", "year", "month", "dayofmonth", "dayofweek",
-        "dayofweek_name", "dayofyear", "weekofyear", "quarter",
-    ),
+    {
+        "arrdate": "int",
+        "arrdate_conv": "string",
+        "year": "int",
+        "month": "int",
+        "dayofmonth": "int",
+        "dayofweek": "int",
+        "dayofweek_name": "string",
+        "dayofyear": "int",
+        "weekofyear": "int",
+        "quarter": "int",
+    },
     "arrival_date.parquet",
     "arrdate",
 )
 JUNK = TableSpec(
     "dim_junk_visa_transport",
-    ("id", "visa_code", "transport_code", "visa_type", "transport_type"),
+    {
+        "id": "int",
+        "visa_code": "int",
+        "transport_code": "int",
+        "visa_type": "string",
+        "transport_type": "string",
+    },
     "junk_visa_transport.parquet",
     "id",
 )
 FACT = TableSpec(
     "fact_immigration",
-    (
-        "id", "arrival_location_id", "arrival_date_id", "visa_transport_id",
-        "country_id_citizenship", "country_id_residence",
-        "arrlocation_demographics_id", "immigrant_age", "immigrant_birthyear",
-        "immigrant_gender", "airline",
-    ),
+    {
+        "id": "bigint",
+        "arrival_location_id": "bigint",
+        "arrival_date_id": "int",
+        "visa_transport_id": "int",
+        "country_id_citizenship": "int",
+        "country_id_residence": "int",
+        "arrlocation_demographics_id": "bigint",
+        "immigrant_age": "int",
+        "immigrant_birthyear": "int",
+        "immigrant_gender": "string",
+        "airline": "string",
+    },
     "immigration.parquet",
     "id",
 )

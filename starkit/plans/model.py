@@ -104,8 +104,15 @@ def _write(
     return seen.get["rows"]
 
 
+def _stored(df: DataFrame, spec: layout.TableSpec, target: str) -> DataFrame:
+    """The written table under its view name, read with the schema it was written with."""
+    stored = df.sparkSession.read.schema(df.schema).parquet(f"{target}/{spec.directory}")
+    stored.createOrReplaceTempView(spec.view)
+    return stored
+
+
 def publish_dimension(
-    spark: SparkSession, df: DataFrame, spec: layout.TableSpec, target: str, unique: bool = True
+    df: DataFrame, spec: layout.TableSpec, target: str
 ) -> tuple[DataFrame, TableMetrics]:
     """Check a dimension, write it, and read it back.
 
@@ -115,17 +122,13 @@ def publish_dimension(
     started = time.monotonic()
     df = df.select(*spec.columns).checkpoint()
     require_not_empty(df, spec.view)
-    require_columns(df, spec.view, list(spec.columns))
-    if unique:
-        require_unique(df, spec.view, [spec.key])
+    require_columns(df, spec.view, spec.schema)
+    require_unique(df, spec.view, [spec.key])
     rows = _write(df, spec, target)
-    stored = spark.read.parquet(f"{target}/{spec.directory}")
-    stored.createOrReplaceTempView(spec.view)
-    return stored, TableMetrics(spec.view, rows, time.monotonic() - started)
+    return _stored(df, spec, target), TableMetrics(spec.view, rows, time.monotonic() - started)
 
 
 def publish_fact(
-    spark: SparkSession,
     rows: DataFrame,
     target: str,
     keys: str = "positional",
@@ -147,11 +150,9 @@ def publish_fact(
     if keys == "positional":
         # Last, so that the ids come from the tasks that write them.
         fact = positional_key(fact)
-    require_columns(fact, spec.view, [*spec.columns, *partition_by])
+    require_columns(fact, spec.view, {**spec.schema, **{name: "int" for name in partition_by}})
     written = _write(fact, spec, target, partition_by)
-    stored = spark.read.parquet(f"{target}/{spec.directory}")
-    stored.createOrReplaceTempView(spec.view)
-    return stored, TableMetrics(spec.view, written, time.monotonic() - started)
+    return _stored(fact, spec, target), TableMetrics(spec.view, written, time.monotonic() - started)
 
 
 def build_model(
@@ -171,17 +172,17 @@ def build_model(
     else:
         country = country_dimension(feed, maps.country)
 
-    plans = {
-        layout.LOCATION: location_dimension(places, maps.port),
-        layout.DEMOGRAPHICS: demographics_dimension(places, maps.port, sources.demographics),
-        layout.COUNTRY: country,
-        layout.DATE: date_dimension(feed),
-        layout.JUNK: junk_dimension(maps.transport, layout.VISA_TYPES),
-    }
+    plans = [
+        (layout.LOCATION, location_dimension(places, maps.port)),
+        (layout.DEMOGRAPHICS, demographics_dimension(places, maps.port, sources.demographics)),
+        (layout.COUNTRY, country),
+        (layout.DATE, date_dimension(feed)),
+        (layout.JUNK, junk_dimension(maps.transport, layout.VISA_TYPES)),
+    ]
     tables: dict[str, DataFrame] = {}
     metrics = []
-    for spec, df in plans.items():
-        tables[spec.view], measured = publish_dimension(spark, df, spec, target)
+    for spec, df in plans:
+        tables[spec.view], measured = publish_dimension(df, spec, target)
         metrics.append(measured)
 
     dims = stored_dimensions(tables)
@@ -192,7 +193,7 @@ def build_model(
         dims = replace(dims, country_members=spark.read.parquet(path))
 
     stored, measured = publish_fact(
-        spark, fact_rows(feed, dims), target, config.fact_keys, config.partition_fact
+        fact_rows(feed, dims), target, config.fact_keys, config.partition_fact
     )
     tables[layout.FACT.view] = stored
     metrics.append(measured)
@@ -213,7 +214,8 @@ def load_model(spark: SparkSession, target: str) -> dict[str, DataFrame]:
     """Read a written model and register its tables under their view names."""
     tables = {}
     for spec in layout.TABLES:
-        df = spark.read.parquet(f"{target}/{spec.directory}")
+        # A partitioned fact adds its partition columns to the declared ones.
+        df = spark.read.schema(spec.ddl).parquet(f"{target}/{spec.directory}")
         df.createOrReplaceTempView(spec.view)
         tables[spec.view] = df
     return tables

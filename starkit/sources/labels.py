@@ -69,4 +69,5 @@ def literal_map(
     spark: SparkSession, entries: dict[str, str], code: str, label: str
 ) -> DataFrame:
     """A code map from fixed entries."""
-    return spark.createDataFrame(list(entries.items()), f"{code} string, {label} string")
+    rows = [F.struct(F.lit(c).alias(code), F.lit(text).alias(label)) for c, text in entries.items()]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*rows)))

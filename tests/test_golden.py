@@ -82,7 +82,7 @@ def test_dimensions(tables):
 
 def test_columns_and_types(tables):
     for spec in layout.TABLES:
-        assert tuple(tables[spec.view].columns) == spec.columns
+        assert tables[spec.view].columns == spec.columns
     types = dict(tables["dim_demographics"].dtypes)
     assert types["id"] == "bigint"
     assert types["median_age"] == "float"
@@ -143,6 +143,7 @@ def test_partitioned_fact(spark, paths, tmp_path, keys):
     assert rows(fact, *columns) == fixture.FACT
     assert rows(fact.select("arrival_year", "arrival_month").distinct()) == [(2016, 4)]
     assert fact.select("id").distinct().count() == len(fixture.FACT)
+    assert load_model(spark, config.target)["fact_immigration"].columns == fact.columns
 
 
 def test_stable_fact_ids_do_not_depend_on_partitions(spark, paths, tmp_path):

@@ -168,6 +168,7 @@ def config_for(root: str) -> BuildConfig:
         target=f"{root}/model",
         feed_columns=11,
         demographics_schema=DEMOGRAPHICS_SCHEMA,
+        export_maps=False,
     )
 
 
