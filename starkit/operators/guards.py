@@ -27,9 +27,10 @@ def unique_guard(df: DataFrame, keys: list[str]) -> DataFrame:
 def unique_guard_nonnull(df: DataFrame, keys: list[str], column: str) -> DataFrame:
     """Rows whose key has exactly one non-null ``column``; its null rows stay too.
 
-    The passing keys are shuffled on their own before the semi join. Both sides
-    are then plain shuffles, which is what adaptive execution needs to split a
-    hot key of ``df`` over several tasks.
+    Window partitions treat null keys as equal, so the join does as well. Its
+    null-safe keys also give both sides a shuffle of their own; a join straight on
+    the aggregate's partitioning is one that adaptive execution cannot split when
+    ``df`` has a hot key.
     """
     key_names = [f"_guard_{k}" for k in keys]
     passing = (
@@ -37,9 +38,7 @@ def unique_guard_nonnull(df: DataFrame, keys: list[str], column: str) -> DataFra
         .agg(F.count(column).alias(_COUNT))
         .where(F.col(_COUNT) == 1)
         .select(*[F.col(k).alias(n) for k, n in zip(keys, key_names)])
-        .repartition(*key_names)
     )
-    # Window partitions treat null keys as equal, so the join does as well.
     match = [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, key_names)]
     return df.join(passing, match, "left_semi")
 

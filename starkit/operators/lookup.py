@@ -32,11 +32,10 @@ def _key(lookup: Lookup, key: str) -> str:
     return f"_{lookup.name}_{key}"
 
 
-def _match(feed: DataFrame, lookup: Lookup) -> Column:
-    return reduce(
-        lambda left, right: left & right,
-        [expression == F.col(_key(lookup, key)) for key, expression in lookup.on.items()],
-    )
+def _match(lookup: Lookup, null_safe: bool = False) -> Column:
+    pairs = [(expression, F.col(_key(lookup, key))) for key, expression in lookup.on.items()]
+    matches = [left.eqNullSafe(right) if null_safe else left == right for left, right in pairs]
+    return reduce(lambda left, right: left & right, matches)
 
 
 def _require_single_matches(lookups: list[Lookup]) -> None:
@@ -65,7 +64,7 @@ def star_lookup(feed: DataFrame, lookups: list[Lookup], verify: bool = True) ->
             *[F.col(key).alias(_key(lookup, key)) for key in lookup.on],
             *[F.col(column).alias(output) for column, output in lookup.take.items()],
         )
-        result = result.join(dimension, _match(feed, lookup)).drop(
+        result = result.join(dimension, _match(lookup)).drop(
             *[_key(lookup, key) for key in lookup.on]
         )
     return result
@@ -76,13 +75,19 @@ def reject_report(feed: DataFrame, lookups: list[Lookup]) -> DataFrame:
 
     Rows ``(lookup_name, feed_rows, rejected_rows)``; the last is named ``any``.
     """
+    _require_single_matches(lookups)
     marked = feed
     for lookup in lookups:
-        keys = lookup.table.select(
-            *[F.col(key).alias(_key(lookup, key)) for key in lookup.on]
-        ).distinct()
+        names = [_key(lookup, key) for key in lookup.on]
+        keys = lookup.table.select(*[F.col(k).alias(n) for k, n in zip(lookup.on, names)])
+        if lookup.allow_fanout:
+            # Null-safe on keys without nulls: matches the same rows, but does not reuse
+            # the partitioning of ``distinct``, so that a large join can split hot keys.
+            keys = keys.na.drop("any").distinct()
         marked = marked.join(
-            keys.withColumn(f"_hit_{lookup.name}", F.lit(True)), _match(feed, lookup), "left"
+            keys.withColumn(f"_hit_{lookup.name}", F.lit(True)),
+            _match(lookup, null_safe=lookup.allow_fanout),
+            "left",
         )
     misses = {lookup.name: F.col(f"_hit_{lookup.name}").isNull() for lookup in lookups}
     misses["any"] = reduce(lambda left, right: left | right, list(misses.values()))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starkit.functions import day_to_date
@@ -23,6 +23,8 @@ from starkit.plans.dimensions import (
     observed_places,
 )
 from starkit.plans.fact import Dimensions, fact_rows
+from starkit.plans.metrics import TableMetrics
+from starkit.plans.sqltables import write_counted
 from starkit.session import scratch_path, scratch_root
 from starkit.sources.labels import read_label_texts
 from starkit.sources.staging import SourceSpec, stage
@@ -53,13 +55,6 @@ class Sources:
     maps: CodeMaps
 
 
-@dataclass(frozen=True)
-class TableMetrics:
-    table: str
-    rows: int | None
-    seconds: float
-
-
 def stage_sources(spark: SparkSession, config: BuildConfig) -> tuple[Sources, list[TableMetrics]]:
     """Stage feed and demographics and build the code maps."""
     scratch_root(spark)  # the checkpoints below need their folder
@@ -91,19 +86,6 @@ def stage_sources(spark: SparkSession, config: BuildConfig) -> tuple[Sources, li
     return sources, metrics
 
 
-def _write(
-    df: DataFrame, spec: layout.TableSpec, target: str, partition_by: tuple[str, ...] = ()
-) -> int:
-    """Write one table and return its rows, counted while they are written."""
-    seen = Observation()
-    observed = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    writer = observed.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(f"{target}/{spec.directory}")
-    return seen.get["rows"]
-
-
 def _stored(df: DataFrame, spec: layout.TableSpec, target: str) -> DataFrame:
     """The written table under its view name, read with the schema it was written with."""
     stored = df.sparkSession.read.schema(df.schema).parquet(f"{target}/{spec.directory}")
@@ -124,7 +106,7 @@ def publish_dimension(
     require_not_empty(df, spec.view)
     require_columns(df, spec.view, spec.schema)
     require_unique(df, spec.view, [spec.key])
-    rows = _write(df, spec, target)
+    rows = write_counted(df, f"{target}/{spec.directory}")
     return _stored(df, spec, target), TableMetrics(spec.view, rows, time.monotonic() - started)
 
 
@@ -151,7 +133,7 @@ def publish_fact(
         # Last, so that the ids come from the tasks that write them.
         fact = positional_key(fact)
     require_columns(fact, spec.view, {**spec.schema, **{name: "int" for name in partition_by}})
-    written = _write(fact, spec, target, partition_by)
+    written = write_counted(fact, f"{target}/{spec.directory}", partition_by)
     return _stored(fact, spec, target), TableMetrics(spec.view, written, time.monotonic() - started)
 
 

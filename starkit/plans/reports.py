@@ -84,7 +84,11 @@ def top_locations(tables: Tables, k: int = 5) -> DataFrame:
 def busiest_weekday(tables: Tables, city: str, year: int, month: int, k: int = 1) -> DataFrame:
     """The weekday with the most arrivals in one city and month."""
     in_month = (F.col("month") == month) & (F.col("year") == year)
-    fact = _only(tables[layout.FACT.view], tables, LOCATION, F.col("port_name") == city)
+    fact = tables[layout.FACT.view]
+    if "arrival_month" in fact.columns:
+        # A fact partitioned by month is read for that month only.
+        fact = fact.where((F.col("arrival_year") == year) & (F.col("arrival_month") == month))
+    fact = _only(fact, tables, LOCATION, F.col("port_name") == city)
     fact = _only(fact, tables, DATE, in_month)
     labels = {DATE: {"arrival_day": F.col("dayofweek_name")}, **_city()}
     return _top(_count(fact, tables, labels, "visitor_amount"), "visitor_amount", k)

@@ -315,6 +315,8 @@ ORACLES: dict[str, str] = {
             CAST(length(c_mktsegment) AS INTEGER) AS c_mktsegment_length
         FROM customer""",
     "model_roundtrip": _with(["fact", "calendar"], _model_rows()),
+    "sql_tables": """SELECT c_mktsegment, count(*) AS orders, max(o_totalprice) AS largest
+        FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_mktsegment""",
     "report_top_locations": _with(
         ["fact"],
         f"""SELECT port_name AS city, count(*) AS visitor_amount FROM fact f {_LOCATION_JOIN}

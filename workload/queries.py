@@ -24,6 +24,7 @@ from starkit.plans import dimensions, layout, reports
 from starkit.plans.codemaps import cluster_unknown
 from starkit.plans.fact import fact_rejects, fact_rows
 from starkit.plans.model import load_model, stored_dimensions
+from starkit.plans.sqltables import SqlTable, build_sql_tables
 from starkit.session import scratch_path
 from starkit.sources.labels import literal_map, parse_sections, read_label_texts
 from starkit.sources.mapfiles import read_code_map, write_code_map
@@ -355,6 +356,33 @@ def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def sql_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dimension and a fact given as SQL; the fact reads the stored dimension."""
+    for name in ("customer", "orders"):
+        table(spark, sf_dir, name).createOrReplaceTempView(f"staging_{name}")
+    specs = [
+        SqlTable(
+            "dim_customer",
+            """SELECT monotonically_increasing_id() AS id, c_custkey, c_mktsegment
+            FROM staging_customer""",
+            3,
+            "customer.parquet",
+        ),
+        SqlTable(
+            "fact_orders",
+            """SELECT o_orderkey, d.id AS customer_id, o_totalprice
+            FROM staging_orders JOIN dim_customer d ON o_custkey = d.c_custkey""",
+            3,
+            "orders.parquet",
+        ),
+    ]
+    build_sql_tables(spark, specs, scratch_path(spark, "sql-tables"))
+    return spark.sql(
+        """SELECT c_mktsegment, count(*) AS orders, max(o_totalprice) AS largest
+        FROM fact_orders f JOIN dim_customer d ON f.customer_id = d.id GROUP BY c_mktsegment"""
+    )
+
+
 # Reports
 
 
@@ -400,6 +428,7 @@ QUERIES: dict[str, Query] = {
     "check_columns": check_columns,
     "code_length_profile": code_length_profile,
     "model_roundtrip": model_roundtrip,
+    "sql_tables": sql_tables,
     "report_top_locations": _report(reports.top_locations),
     "report_busiest_weekday": _report(reports.busiest_weekday, "NATION_9", 1998, 4),
     "report_top_origins": _report(reports.top_origins),
