@@ -15,6 +15,7 @@ from starkit.functions import (
     place_state,
 )
 from starkit.operators.checks import require_columns, require_not_empty
+from starkit.operators.guards import unique_guard
 from starkit.plans import layout
 from starkit.sources.labels import literal_map, parse_sections
 from starkit.sources.mapfiles import write_code_map
@@ -101,7 +102,10 @@ def build_code_maps(
 
     result = CodeMaps(
         country=cluster_unknown(clean[layout.COUNTRY_MAP]),
-        country_members=country_members(clean[layout.COUNTRY_MAP]),
+        # Texts like 7 and 07 are one code; as in the dimension, neither label is kept.
+        country_members=unique_guard(
+            country_members(clean[layout.COUNTRY_MAP]).distinct(), ["country_code"]
+        ),
         state=clean[layout.STATE_MAP],
         transport=clean[layout.TRANSPORT_MAP],
         port=clean[layout.PORT_MAP],

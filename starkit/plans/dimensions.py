@@ -84,9 +84,11 @@ def demographics_dimension(
 
 
 def observed_countries(feed: DataFrame) -> DataFrame:
-    """Distinct codes of both country roles, from one scan."""
-    both = F.array(layout.CITIZENSHIP, layout.RESIDENCE)
-    return feed.select(F.explode(both).alias("code")).distinct()
+    """Distinct codes of both country roles. Each column is read once and reduced
+    before the two are put together."""
+    citizenships = feed.select(F.col(layout.CITIZENSHIP).alias("code")).distinct()
+    residences = feed.select(F.col(layout.RESIDENCE).alias("code")).distinct()
+    return citizenships.union(residences).distinct()
 
 
 def country_dimension(feed: DataFrame, country_map: DataFrame) -> DataFrame:
