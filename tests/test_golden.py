@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import fixture
+from starkit.__main__ import main
 from starkit.plans import layout, reports
 from starkit.plans.model import BuildConfig, load_model, run_build, stage_sources
 from starkit.sources.mapfiles import read_code_map
@@ -115,11 +116,47 @@ def test_metrics(built):
 
 def test_users_sql_runs_on_the_views(spark, tables):
     found = spark.sql(
-        """select dal.port_name as city, count(*) visitor_amount
-        from fact_immigration fi join dim_arrival_location dal on fi.arrival_location_id = dal.id
-        group by dal.port_name order by count(*) desc limit 5"""
+        """SELECT l.port_name, d.dayofweek_name, v.visa_type, c.country_name, p.city,
+            count(DISTINCT f.id) AS visits
+        FROM fact_immigration AS f
+        INNER JOIN dim_arrival_location AS l ON l.id = f.arrival_location_id
+        INNER JOIN dim_arrival_date AS d ON d.arrdate = f.arrival_date_id
+        INNER JOIN dim_junk_visa_transport AS v ON v.id = f.visa_transport_id
+        INNER JOIN dim_origin_country AS c ON c.country_id = f.country_id_residence
+        INNER JOIN dim_demographics AS p ON p.id = f.arrlocation_demographics_id
+        GROUP BY ALL"""
     )
-    assert rows(found) == [("LOS ANGELES", 2), ("NEW YORK", 3)]
+    assert rows(found) == [
+        ("LOS ANGELES", "Sat", "Student", "JAPAN", "Los Angeles", 2),
+        ("NEW YORK", "Fri", "Pleasure", "UNITED KINGDOM", "New York", 1),
+        ("NEW YORK", "Fri", "Student", "CHINA, PRC", "New York", 1),
+        ("NEW YORK", "Sun", "Pleasure", "UNITED KINGDOM", "New York", 1),
+    ]
+
+
+def test_command_line(spark, paths, tmp_path, monkeypatch, capsys):
+    arguments = [
+        "starkit", "--feed", paths["feed_path"], "--demographics", paths["demographics_path"],
+        "--labels", paths["labels_path"], "--target", str(tmp_path / "model"),
+    ]
+    monkeypatch.setattr("sys.argv", arguments)
+    main()
+    assert "fact_immigration: 5 rows" in capsys.readouterr().out
+    assert rows(load_model(spark, str(tmp_path / "model"))["fact_immigration"].drop("id")) == fixture.FACT
+
+
+def test_equal_country_codes_in_two_spellings(spark, paths, tmp_path):
+    """135 and 0135 are one code with two labels, so neither is kept."""
+    labels = tmp_path / "labels.sas"
+    labels.write_text(fixture.LABELS.replace("   403 =", "   0135 = 'ELSEWHERE'\n   403 ="))
+    for option in ("drop", "member"):
+        config = BuildConfig(
+            **{**paths, "labels_path": str(labels)}, target=str(tmp_path / option),
+            unknown_countries=option, export_maps=False,
+        )
+        tables, _ = run_build(spark, config)
+        assert 135 not in [r[0] for r in rows(tables["dim_origin_country"])]
+        assert {r[4] for r in tables["fact_immigration"].collect()} == {245}
 
 
 def test_unknown_member(spark, paths, tmp_path):
