@@ -3,8 +3,13 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
+from functools import partial
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +34,8 @@ from starkit.session import scratch_path, scratch_root
 from starkit.sources.labels import read_label_texts
 from starkit.sources.staging import SourceSpec, stage
 
+T = TypeVar("T")
+
 
 @dataclass(frozen=True)
 class BuildConfig:
@@ -93,21 +100,52 @@ def _stored(df: DataFrame, spec: layout.TableSpec, target: str) -> DataFrame:
     return stored
 
 
-def publish_dimension(
-    df: DataFrame, spec: layout.TableSpec, target: str
-) -> tuple[DataFrame, TableMetrics]:
-    """Check a dimension, write it, and read it back.
+def _at_once(spark: SparkSession, tasks: list[Callable[[], T]]) -> list[T]:
+    """Run independent Spark work together, so that the last tasks of one job leave
+    no executor idle. Results come in the order of ``tasks``."""
+    wrapped = [inheritable_thread_target(spark)(task) for task in tasks]
+    with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
+        return list(pool.map(lambda task: task(), wrapped))
+
+
+def checked_dimension(
+    spec: layout.TableSpec, build: Callable[[], DataFrame]
+) -> tuple[DataFrame, float]:
+    """Build and check a dimension; return it with the seconds taken.
 
-    The checks run on a checkpoint of the small result, so the feed is scanned
-    once and a failed check leaves an earlier table untouched.
+    The checks run on a checkpoint of the small result, so the feed is scanned once.
     """
     started = time.monotonic()
-    df = df.select(*spec.columns).checkpoint()
+    df = build().select(*spec.columns).checkpoint()
     require_not_empty(df, spec.view)
     require_columns(df, spec.view, spec.schema)
     require_unique(df, spec.view, [spec.key])
-    rows = write_counted(df, f"{target}/{spec.directory}")
-    return _stored(df, spec, target), TableMetrics(spec.view, rows, time.monotonic() - started)
+    return df, time.monotonic() - started
+
+
+def publish_dimensions(
+    spark: SparkSession, builds: dict[str, Callable[[], DataFrame]], target: str
+) -> tuple[dict[str, DataFrame], list[TableMetrics]]:
+    """Build, check and write the dimensions, and read them back.
+
+    Nothing is written before all of them have passed their checks, so a failed one
+    leaves an earlier model untouched.
+    """
+    specs = [spec for spec in layout.TABLES if spec.view in builds]
+    checked = _at_once(
+        spark, [partial(checked_dimension, spec, builds[spec.view]) for spec in specs]
+    )
+
+    def write(spec: layout.TableSpec, df: DataFrame, seconds: float) -> TableMetrics:
+        started = time.monotonic()
+        rows = write_counted(df, f"{target}/{spec.directory}")
+        return TableMetrics(spec.view, rows, seconds + time.monotonic() - started)
+
+    metrics = _at_once(
+        spark, [partial(write, spec, *found) for spec, found in zip(specs, checked)]
+    )
+    tables = {spec.view: _stored(df, spec, target) for spec, (df, _) in zip(specs, checked)}
+    return tables, metrics
 
 
 def publish_fact(
@@ -150,22 +188,20 @@ def build_model(
     places = observed_places(feed).checkpoint()
 
     if config.unknown_countries == "member":
-        country = country_dimension_unknown_member(feed, maps.country_members)
+        country = partial(country_dimension_unknown_member, feed, maps.country_members)
     else:
-        country = country_dimension(feed, maps.country)
-
-    plans = [
-        (layout.LOCATION, location_dimension(places, maps.port)),
-        (layout.DEMOGRAPHICS, demographics_dimension(places, maps.port, sources.demographics)),
-        (layout.COUNTRY, country),
-        (layout.DATE, date_dimension(feed)),
-        (layout.JUNK, junk_dimension(maps.transport, layout.VISA_TYPES)),
-    ]
-    tables: dict[str, DataFrame] = {}
-    metrics = []
-    for spec, df in plans:
-        tables[spec.view], measured = publish_dimension(df, spec, target)
-        metrics.append(measured)
+        country = partial(country_dimension, feed, maps.country)
+
+    builds = {
+        layout.LOCATION.view: partial(location_dimension, places, maps.port),
+        layout.DEMOGRAPHICS.view: partial(
+            demographics_dimension, places, maps.port, sources.demographics
+        ),
+        layout.COUNTRY.view: country,
+        layout.DATE.view: partial(date_dimension, feed),
+        layout.JUNK.view: partial(junk_dimension, maps.transport, layout.VISA_TYPES),
+    }
+    tables, metrics = publish_dimensions(spark, builds, target)
 
     dims = stored_dimensions(tables)
     if config.unknown_countries == "member":

@@ -1,5 +1,7 @@
 """Bad input must raise, or give the documented null."""
 
+from collections import Counter
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -8,7 +10,8 @@ import fixture
 from starkit.functions import day_to_iso, percent
 from starkit.operators.checks import CheckFailed, require_unique
 from starkit.operators.lookup import Lookup, star_lookup
-from starkit.plans.model import BuildConfig, run_build
+from starkit.plans.layout import TABLES
+from starkit.plans.model import BuildConfig, load_model, run_build
 from starkit.sources.labels import parse_sections, read_label_texts
 from starkit.sources.staging import SourceSpec, read_source, stage
 
@@ -77,11 +80,11 @@ def test_ambiguous_lookup(spark):
         require_unique(twice, "twice", ["k"])
 
 
-def test_failed_check_keeps_the_earlier_table(spark, tmp_path):
+def test_failed_check_keeps_the_earlier_model(spark, tmp_path):
     paths = fixture.write_fixture(spark, tmp_path)
     config = BuildConfig(**paths, target=str(tmp_path / "model"), export_maps=False)
     run_build(spark, config)
-    before = spark.read.parquet(f"{config.target}/immigration.parquet").count()
+    before = {spec.view: Counter(load_model(spark, config.target)[spec.view].collect()) for spec in TABLES}
     # No feed row has a port the map knows.
     feed = spark.createDataFrame(fixture.FEED, fixture.FEED_SCHEMA).withColumn("i94port", F.lit("ZZZ"))
     feed.select("*", *[F.lit("").alias(n) for n in fixture.EXTRA_COLUMNS]).write.parquet(
@@ -90,7 +93,8 @@ def test_failed_check_keeps_the_earlier_table(spark, tmp_path):
     bad = BuildConfig(**{**paths, "feed_path": str(tmp_path / "other")}, target=config.target, export_maps=False)
     with pytest.raises(CheckFailed, match="dim_arrival_location"):
         run_build(spark, bad)
-    assert spark.read.parquet(f"{config.target}/immigration.parquet").count() == before
+    after = load_model(spark, config.target)
+    assert {view: Counter(after[view].collect()) for view in before} == before
 
 
 @pytest.mark.parametrize("option", [{"unknown_countries": "guess"}, {"fact_keys": "guess"}])
