@@ -10,7 +10,12 @@ from starkit.functions.codes import (
     strip_text,
     whole_code,
 )
-from starkit.functions.dates import CALENDAR, day_to_date, day_to_iso
+from starkit.functions.dates import (
+    CALENDAR,
+    day_to_date,
+    day_to_iso,
+    register_day_function,
+)
 from starkit.functions.numbers import (
     number_to_int,
     percent,
@@ -31,6 +36,7 @@ __all__ = [
     "percent",
     "place_name",
     "place_state",
+    "register_day_function",
     "strip_text",
     "text_to_double",
     "text_to_float",

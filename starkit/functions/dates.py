@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from starkit.functions.numbers import number_to_int
@@ -22,6 +22,14 @@ def day_to_iso(offset: Column) -> Column:
     return F.concat(day_to_date(offset).cast("string"), F.lit("T00:00:00"))
 
 
+def register_day_function(spark: SparkSession) -> None:
+    """Make ``get_datetime(offset)`` available in SQL; Spark inlines its body."""
+    spark.sql(
+        f"""CREATE OR REPLACE TEMPORARY FUNCTION get_datetime(day_offset DOUBLE) RETURNS STRING
+        RETURN concat(CAST(date_add(DATE'{EPOCH}', try_cast(day_offset AS INT)) AS STRING), 'T00:00:00')"""
+    )
+
+
 # Attribute name -> expression on a date column, in table order.
 CALENDAR: dict[str, Callable[[Column], Column]] = {
     "year": F.year,

@@ -1,7 +1,7 @@
 """Surrogate keys.
 
 ``positional_key``  no shuffle; fixed once the table is written.
-``dense_key``       1..N in the order of a unique natural key; for dimensions.
+``dense_key``       1..N in the order of a unique natural key; stores its input once.
 ``row_key``         unique, a function of the rows alone; for large tables.
 ``dense_row_key``   1..N, a function of the rows alone; for large tables.
 """
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starkit.session import scratch_root
+from starkit.session import scratch_path
 
 _SLOT = "_slot"
 _PART = "_part"
@@ -44,17 +44,20 @@ def positional_key(df: DataFrame, name: str = "id") -> DataFrame:
 def dense_key(df: DataFrame, order_by: list[str], name: str = "id") -> DataFrame:
     """Number rows 1..N in the order of ``order_by``, which must be unique.
 
-    Rows are range partitioned and sorted, then checkpointed with their position,
-    so both reads below see the same placement. Only one count per partition is
-    summed up in one place.
+    Rows are range partitioned and sorted, then stored with their position, so both
+    reads below see the same placement, and the one that counts reads positions only.
+    Only one count per partition is summed up in one place.
     """
-    scratch_root(df.sparkSession)
-    placed = (
+    spark = df.sparkSession
+    ranged = (
         df.repartitionByRange(*order_by)
         .sortWithinPartitions(*order_by)
         .withColumn(_SLOT, F.monotonically_increasing_id())
-        .checkpoint()
-        .withColumn(_PART, F.shiftright(_SLOT, _POSITION_BITS))
+    )
+    path = scratch_path(spark, "dense-key")
+    ranged.write.parquet(path)
+    placed = spark.read.schema(ranged.schema).parquet(path).withColumn(
+        _PART, F.shiftright(_SLOT, _POSITION_BITS)
     )
     before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (

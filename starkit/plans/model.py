@@ -13,7 +13,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starkit.functions import day_to_date
+from starkit.functions import day_to_date, register_day_function
 from starkit.operators.checks import require_columns, require_not_empty, require_unique
 from starkit.operators.keys import positional_key, row_key
 from starkit.plans import layout
@@ -65,6 +65,7 @@ class Sources:
 def stage_sources(spark: SparkSession, config: BuildConfig) -> tuple[Sources, list[TableMetrics]]:
     """Stage feed and demographics and build the code maps."""
     scratch_root(spark)  # the checkpoints below need their folder
+    register_day_function(spark)
     staged = stage(
         spark,
         [
@@ -230,6 +231,7 @@ def stored_dimensions(tables: dict[str, DataFrame]) -> Dimensions:
 
 def load_model(spark: SparkSession, target: str) -> dict[str, DataFrame]:
     """Read a written model and register its tables under their view names."""
+    register_day_function(spark)
     tables = {}
     for spec in layout.TABLES:
         # A partitioned fact adds its partition columns to the declared ones.

@@ -7,7 +7,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 import fixture
-from starkit.functions import day_to_iso, percent
+from starkit.functions import day_to_iso, percent, register_day_function
 from starkit.operators.checks import CheckFailed, require_unique
 from starkit.operators.lookup import Lookup, star_lookup
 from starkit.plans.layout import TABLES
@@ -71,6 +71,12 @@ def test_null_day_and_zero_whole(spark):
     assert [tuple(r) for r in found] == [(None, None), ("2016-04-01T00:00:00", 25.0)]
 
 
+def test_day_function_in_sql(spark):
+    register_day_function(spark)
+    found = spark.sql("SELECT get_datetime(20545.0D), get_datetime(NULL), get_datetime(-1)").first()
+    assert tuple(found) == ("2016-04-01T00:00:00", None, "1959-12-31T00:00:00")
+
+
 def test_ambiguous_lookup(spark):
     feed = spark.createDataFrame([(1,)], "x int")
     twice = spark.createDataFrame([(1, 10), (1, 11)], "k int, id int")

@@ -269,6 +269,9 @@ ORACLES: dict[str, str] = {
             AS day_offset, strftime(day, '%Y-%m-%dT%H:%M:%S') AS day_text
         FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 50 <> 0
             THEN CAST(o_orderdate AS DATE) END AS day FROM orders)""",
+    "sql_day_function": """SELECT strftime(CAST(o_orderdate AS DATE), '%Y-%m-%dT%H:%M:%S')
+            AS day_text, count(*) AS orders
+        FROM orders GROUP BY 1""",
     "date_dimension": _with(["calendar"], "SELECT * FROM calendar"),
     "junk_dimension": _with(["junk"], "SELECT * FROM junk"),
     "location_dimension": _with(["location"], "SELECT * FROM location"),

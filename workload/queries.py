@@ -12,6 +12,7 @@ from starkit.functions import (
     number_to_int,
     place_name,
     place_state,
+    register_day_function,
     text_to_double,
     text_to_float,
     text_to_long,
@@ -269,6 +270,16 @@ def sas_day_to_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.withColumn("day_text", day_to_iso(F.col("day_offset")))
 
 
+def sql_day_function(spark: SparkSession, sf_dir: str) -> DataFrame:
+    register_day_function(spark)
+    table(spark, sf_dir, "orders").createOrReplaceTempView("staging_orders")
+    return spark.sql(
+        """SELECT get_datetime(datediff(CAST(o_orderdate AS DATE), DATE'1960-01-01')) AS day_text,
+            count(*) AS orders
+        FROM staging_orders GROUP BY 1"""
+    )
+
+
 def date_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dimensions.date_dimension(sources_for(spark, sf_dir).feed)
 
@@ -411,6 +422,7 @@ QUERIES: dict[str, Query] = {
     "distinct_rows": distinct_rows,
     "pivot_long_to_wide": pivot_long_to_wide,
     "sas_day_to_date": sas_day_to_date,
+    "sql_day_function": sql_day_function,
     "date_dimension": date_dimension,
     "junk_dimension": junk_dimension,
     "location_dimension": location_dimension,
