@@ -61,7 +61,11 @@ def parse_sections(texts: DataFrame, sections: list[str]) -> DataFrame:
         )
         .groupBy("section", "code")
         .agg(F.max_by("label", "place").alias("label"))
-        .select("section", F.nullif("code", F.lit("")).alias("code"), F.nullif("label", F.lit("")).alias("label"))
+        .select(
+            "section",
+            F.nullif("code", F.lit("")).alias("code"),
+            F.nullif("label", F.lit("")).alias("label"),
+        )
     )
 
 

@@ -116,7 +116,9 @@ def test_pivot_keeps_groups_without_listed_values(spark):
 
 def test_lookup_and_rejects(spark):
     feed = spark.createDataFrame([(1, "a"), (2, "b"), (2, "z"), (9, "a"), (None, "a")], "x int, y string")
-    first = Lookup("first", spark.createDataFrame([(1, 10), (2, 20)], "k int, id int"), {"k": F.col("x")}, {"id": "first_id"})
+    # Null keys match nothing, however many there are.
+    numbers = spark.createDataFrame([(1, 10), (2, 20), (None, 30), (None, 40)], "k int, id int")
+    first = Lookup("first", numbers, {"k": F.col("x")}, {"id": "first_id"})
     second = Lookup(
         "second", spark.createDataFrame([("a", 1), ("b", 2), ("b", 3)], "k string, id int"),
         {"k": F.col("y")}, {"id": "second_id"}, allow_fanout=True,

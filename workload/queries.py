@@ -106,10 +106,13 @@ def _part_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
         "file", F.floor(F.col("p_partkey") / LABEL_FILE_ENTRIES)
     )
     entries = parts.select("file", "p_partkey", F.posexplode(lines).alias("n", "line"))
-    frame = F.array(
-        F.struct(F.lit(-1).cast("bigint").alias("p_partkey"), F.lit(0).alias("n"), F.lit("value partl").alias("line")),
-        F.struct(F.lit(2**62).alias("p_partkey"), F.lit(0).alias("n"), F.lit(";").alias("line")),
-    )
+
+    def mark(place, text):
+        return F.struct(
+            F.lit(place).cast("bigint").alias("p_partkey"), F.lit(0).alias("n"), F.lit(text).alias("line")
+        )
+
+    frame = F.array(mark(-1, "value partl"), mark(2**62, ";"))
     frames = parts.select("file").distinct().select("file", F.inline(frame))
     (
         entries.union(frames)
