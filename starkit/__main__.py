@@ -30,7 +30,8 @@ def main() -> None:
     _, metrics = run_build(get_spark(), config)
     for table in metrics:
         rows = "" if table.rows is None else f"{table.rows} rows, "
-        print(f"{table.table}: {rows}{table.seconds:.1f} s")
+        fanout = f", {table.fanout_keys} keys with several rows" if table.fanout_keys else ""
+        print(f"{table.table}: {rows}{table.seconds:.1f} s{fanout}")
 
 
 if __name__ == "__main__":

@@ -10,3 +10,5 @@ class TableMetrics:
     table: str
     rows: int | None  # None where nothing was counted
     seconds: float
+    # Lookup keys with several rows, each of which multiplies fact rows.
+    fanout_keys: int = 0

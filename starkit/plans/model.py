@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from starkit.functions import day_to_date, register_day_function
 from starkit.operators.checks import require_columns, require_not_empty, require_unique
+from starkit.operators.guards import duplicate_keys
 from starkit.operators.keys import positional_key, row_key
 from starkit.plans import layout
 from starkit.plans.codemaps import CodeMaps, build_code_maps
@@ -203,6 +204,11 @@ def build_model(
         layout.JUNK.view: partial(junk_dimension, maps.transport, layout.VISA_TYPES),
     }
     tables, metrics = publish_dimensions(spark, builds, target)
+    shared_ports = duplicate_keys(tables[layout.DEMOGRAPHICS.view], ["port_code"]).count()
+    metrics = [
+        replace(m, fanout_keys=shared_ports) if m.table == layout.DEMOGRAPHICS.view else m
+        for m in metrics
+    ]
 
     dims = stored_dimensions(tables)
     if config.unknown_countries == "member":

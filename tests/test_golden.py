@@ -112,6 +112,8 @@ def test_metrics(built):
         "fact_immigration": 5,
     }
     assert all(m.seconds >= 0 for m in built[1])
+    # Two cities share the port LOS.
+    assert {m.table: m.fanout_keys for m in built[1] if m.fanout_keys} == {"dim_demographics": 1}
 
 
 def test_users_sql_runs_on_the_views(spark, tables):
