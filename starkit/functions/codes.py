@@ -16,7 +16,7 @@ UNKNOWN_CODE = 9999
 
 def strip_text(col: Column) -> Column:
     """Trim every kind of white space; Spark's own trim removes spaces only."""
-    return F.regexp_replace(F.regexp_replace(col, r"^\s+", ""), r"\s+$", "")
+    return F.regexp_replace(F.regexp_replace(col, r"(?U)^\s+", ""), r"(?U)\s+$", "")
 
 
 def is_unknown_label(label: Column) -> Column:

@@ -40,12 +40,15 @@ def _match(lookup: Lookup, null_safe: bool = False) -> Column:
 
 def _require_single_matches(lookups: list[Lookup]) -> None:
     """Fail, in one job, if any lookup could multiply rows without leave."""
+    checked = set()  # a table may serve several roles
     repeated = []
     for lookup in lookups:
-        if not lookup.allow_fanout:
-            keys = list(lookup.on)
-            matchable = lookup.table.na.drop("any", subset=keys)
-            repeated.append(duplicate_keys(matchable, keys).select(F.lit(lookup.name)))
+        keys = list(lookup.on)
+        if lookup.allow_fanout or (id(lookup.table), *keys) in checked:
+            continue
+        checked.add((id(lookup.table), *keys))
+        matchable = lookup.table.na.drop("any", subset=keys)
+        repeated.append(duplicate_keys(matchable, keys).select(F.lit(lookup.name)))
     found = reduce(DataFrame.union, repeated).head(1) if repeated else []
     if found:
         raise CheckFailed(f"{found[0][0]}: lookup key is not unique")

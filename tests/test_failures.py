@@ -51,7 +51,7 @@ def test_missing_section_or_end(spark, tmp_path, text):
 def test_label_text_rules(spark, tmp_path):
     (tmp_path / "labels").write_bytes(
         b"value wanted 0 = 'first line'\r\n1='one'\r\n 2 = 'it''s'\r\n3=''\r\n='x'\r\n"
-        b"1\t=\t' last '\n4=a=b\n5 = 'cut; 6 = 'late'\n"
+        b"1\t=\t' last\xc2\xa0'\n4=a=b\n5 = 'cut; 6 = 'late'\n"
     )
     entries = parse_sections(read_label_texts(spark, str(tmp_path / "labels")), ["wanted"])
     found = {(r.code, r.label) for r in entries.collect()}
