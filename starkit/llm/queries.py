@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starkit.llm import bpe
+from starkit.llm import binary, bpe, packing, simhash, substrings
 
 BYTE_TOKENIZER = "byte_bpe_50k.json"
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -30,6 +30,50 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_bpe": op1_bpe}
+def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of 50-word windows that an earlier document has are removed."""
+    return substrings.remove_repeats(_read(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in as few sequences of 4096 tokens as the islands find."""
+    docs = _read(spark, sf_dir, "documents")
+    return packing.pack_documents(docs, public_tokenizers.path(WORD_TOKENIZER))
+
+
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The component of near-duplicates of every document."""
+    return simhash.near_duplicates(_read(spark, sf_dir, "documents")).select(
+        "doc_id",
+        F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
+        "component_id",
+    )
+
+
+def op7_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Matrix rows with their segments; digests of the three byte columns."""
+    docs = _read(spark, sf_dir, "documents")
+    rows = binary.matrices(docs, public_tokenizers.path(WORD_TOKENIZER))
+    return rows.select(
+        "sequence_id",
+        "n_tokens",
+        "n_segments",
+        "doc_ids",
+        "pieces",
+        F.crc32("ids").alias("ids_crc32"),
+        F.crc32("cu_seqlens").alias("cu_seqlens_crc32"),
+        F.crc32("position_ids").alias("position_ids_crc32"),
+    )
+
+
+QUERIES = {
+    "op1_bpe": op1_bpe,
+    "op2_substrings": op2_substrings,
+    "op3_packing": op3_packing,
+    "op5_simhash": op5_simhash,
+    "op7_binary": op7_binary,
+}
 
 ORACLES: dict[str, str] = {}
