@@ -116,6 +116,11 @@ class Groups:
         return all(self.find(node) == root for node in nodes)
 
 
+def _differing(bits: np.ndarray) -> np.ndarray:
+    """Ones of each number; of signed numbers NumPy would count those of the magnitude."""
+    return np.bitwise_count(bits.view(np.uint64))
+
+
 def verified_links(
     first: np.ndarray, second: np.ndarray, distance: int, groups: Groups, block: int = 512
 ) -> Iterator[tuple[int, int]]:
@@ -124,7 +129,7 @@ def verified_links(
         left = first[a : a + block]
         for b in range(0, len(second), block):
             right = second[b : b + block]
-            close = np.bitwise_count(left[:, None] ^ right[None, :]) <= distance
+            close = _differing(left[:, None] ^ right[None, :]) <= distance
             for i, j in zip(*np.nonzero(close)):
                 one, other = int(left[i]), int(right[j])
                 if one != other and groups.join(one, other):
@@ -156,7 +161,7 @@ def links_of_buckets(indexed: DataFrame, distance: int, limit: int) -> DataFrame
             links, members = [], []
             sizes = ends - starts
             pair = starts[sizes == 2]
-            close = np.bitwise_count(prints[pair] ^ prints[pair + 1]) <= distance
+            close = _differing(prints[pair] ^ prints[pair + 1]) <= distance
             for at in pair[close].tolist():
                 one, other = int(prints[at]), int(prints[at + 1])
                 if groups.join(one, other):
