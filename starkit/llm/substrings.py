@@ -6,11 +6,15 @@
    neighbouring windows mostly share one, so a sketch has a twentieth of the load, and a
    cell still never holds less than the number of documents with the window.
 2. A second pass keeps the windows whose cells are all marked. Only they are grouped,
-   by 128 bits of hash, and the smallest document of each group owns the window.
+   by 128 bits of hash, and the smallest document of each group owns the window. They are
+   shuffled once.
+   Windows that the sketch finds in ``HOT_DOCUMENTS`` or more go another way, since all
+   rows of one would meet in a task: their owners come from a map-side aggregate, and a
+   join gives them back without dealing the rows by window.
 
 The estimate only ever errs upwards, so no repeated window is lost; what it lets through
-wrongly is found to have one document. The marks are a bitmap of ``ROWS`` times the
-cells, at most ``MAX_CELLS`` each (64 MB in all), and are all that is broadcast. A corpus
+wrongly is found to have one document. The marks are two bitmaps of ``ROWS`` times the
+cells, at most ``MAX_CELLS`` each (128 MB in all), and are all that is broadcast. A corpus
 that outgrows them makes the prefilter coarser, not the result.
 """
 
@@ -22,7 +26,7 @@ from itertools import compress
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starkit.llm.common import documents, slices, stored
@@ -40,10 +44,13 @@ WINDOW = 50
 ANCHOR_WORDS = 8
 ROWS = 4
 MIN_CELLS, MAX_CELLS = 1 << 16, 1 << 27
+HOT_DOCUMENTS = 10_000
 # Cells of one block of a sketch; a cell's place in it takes 16 bits.
 _BLOCK_BITS = 16
 # Anchors that a task holds before it hands on a sketch; bounds its memory.
 FLUSH_ANCHORS = 1 << 20
+# A sketch's counts stop here.
+_MOST = 65_535
 _ROW_SALTS = np.array(
     [0x8EBC6AF09C88C6E3, 0x589965CC75374CC3, 0x1D8E4E27C47D124F, 0xEB44ACCAB455D165], np.uint64
 )
@@ -67,13 +74,13 @@ def _anchors(words, hashes: np.ndarray, window: int, starts: np.ndarray) -> np.n
 
 
 def partition_sketches(docs: DataFrame, cells: int, window: int) -> DataFrame:
-    """``(row, block, once, more)``: places in the block of cells that one document, or
-    more than one, of a task's share counts in."""
+    """``(row, block, once, more, counts)``: places in the block of cells that one document
+    of a task's share counts in, of those that more do, and how many."""
     bits = cells.bit_length() - 1
 
     def emitted(anchors: list[np.ndarray]) -> pa.RecordBatch:
         values = np.concatenate(anchors)
-        rows, blocks, once, more = [], [], [], []
+        rows, blocks, once, more, many = [], [], [], [], []
         for row in range(ROWS):
             found, counts = np.unique(_cells(values, row, bits), return_counts=True)
             block = (found >> np.uint64(_BLOCK_BITS)).astype(np.int64)
@@ -85,9 +92,14 @@ def partition_sketches(docs: DataFrame, cells: int, window: int) -> DataFrame:
                 blocks.append(block[first])
                 once.append(place[first:last][single].tobytes())
                 more.append(place[first:last][~single].tobytes())
+                many.append(np.minimum(counts[first:last][~single], _MOST).astype("<u2").tobytes())
         return pa.RecordBatch.from_arrays(
-            [pa.array(rows, pa.int32()), pa.array(blocks, pa.int64()), pa.array(once), pa.array(more)],
-            names=["row", "block", "once", "more"],
+            [
+                pa.array(rows, pa.int32()),
+                pa.array(blocks, pa.int64()),
+                *(pa.array(column, pa.binary()) for column in (once, more, many)),
+            ],
+            names=["row", "block", "once", "more", "counts"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,49 +126,56 @@ def partition_sketches(docs: DataFrame, cells: int, window: int) -> DataFrame:
         if held:
             yield emitted(held)
 
-    return docs.select("text").mapInArrow(run, "row int, block bigint, once binary, more binary")
+    return docs.select("text").mapInArrow(
+        run, "row int, block bigint, once binary, more binary, counts binary"
+    )
 
 
 def merged_marks(sketches: DataFrame) -> DataFrame:
-    """``(row, block, marks)``: a bit for every cell that two or more documents count in."""
+    """``(row, block, marks, hot)``: a bit for every cell that two or more documents count
+    in, and one for every cell of a hot number. Counts stop at 65,535."""
 
     def merge(key: tuple, parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts = np.zeros(1 << _BLOCK_BITS, np.uint8)
+        sums = np.zeros(1 << _BLOCK_BITS, np.int64)
         for frame in parts:
-            for once, more in zip(frame["once"], frame["more"]):
-                places = np.frombuffer(once, "<u2")  # each place once in a sketch
-                counts[places] = np.minimum(counts[places] + 1, 2)
-                counts[np.frombuffer(more, "<u2")] = 2
-        marks = np.packbits(counts > 1, bitorder="little").tobytes()
-        yield pd.DataFrame({"row": [key[0]], "block": [key[1]], "marks": [marks]})
+            for once, more, counts in zip(frame["once"], frame["more"], frame["counts"]):
+                sums[np.frombuffer(once, "<u2")] += 1  # each place once in a sketch
+                sums[np.frombuffer(more, "<u2")] += np.frombuffer(counts, "<u2")
+        bits = [np.packbits(sums >= n, bitorder="little").tobytes() for n in (2, HOT_DOCUMENTS)]
+        yield pd.DataFrame(
+            {"row": [key[0]], "block": [key[1]], "marks": [bits[0]], "hot": [bits[1]]}
+        )
 
     return sketches.groupBy("row", "block").applyInPandas(
-        merge, "row int, block bigint, marks binary"
+        merge, "row int, block bigint, marks binary, hot binary"
     )
 
 
 def marked_cells(docs: DataFrame, window: int, cells: int | None = None) -> np.ndarray:
-    """The merged sketch as a bitmap for each row; its size is bounded by ``MAX_CELLS``."""
+    """The merged sketch as two bitmaps for each row, of repeated and of hot cells; their
+    size is bounded by ``MAX_CELLS``."""
     if cells is None:
         size = docs.agg(F.sum(F.octet_length("text"))).first()[0]
         cells = cells_for(size or 0, window)
-    marks = np.zeros((ROWS, cells // 8), np.uint8)
+    marks = np.zeros((2, ROWS, cells // 8), np.uint8)
     block_bytes = 1 << (_BLOCK_BITS - 3)
     found = merged_marks(partition_sketches(docs, cells, window))
     for part in found.toLocalIterator():
-        begin = part["block"] * block_bytes
-        marks[part["row"], begin : begin + block_bytes] = np.frombuffer(part["marks"], np.uint8)
+        span = slice(part["block"] * block_bytes, (part["block"] + 1) * block_bytes)
+        marks[0, part["row"], span] = np.frombuffer(part["marks"], np.uint8)
+        marks[1, part["row"], span] = np.frombuffer(part["hot"], np.uint8)
     return marks
 
 
 def candidate_windows(docs: DataFrame, marks: np.ndarray, window: int) -> DataFrame:
-    """``(h1, h2, doc_id, text_key, start)`` of the windows estimated to repeat."""
+    """``(h1, h2, hot, doc_id, place)`` of the windows estimated to repeat; ``place`` is the
+    text's number above 32 bits of the first word's position."""
     spark = docs.sparkSession
     sketch = spark.sparkContext.broadcast(marks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks = sketch.value
-        bits = (8 * marks.shape[1]).bit_length() - 1
+        bits = (8 * marks.shape[2]).bit_length() - 1
         for batch in slices(batches):
             words = words_of(batch["text"])
             starts, text = window_starts(words, window)
@@ -164,24 +183,28 @@ def candidate_windows(docs: DataFrame, marks: np.ndarray, window: int) -> DataFr
                 continue
             hashes = word_hashes(words)
             anchors = _anchors(words, hashes, window, starts)
-            kept = np.arange(len(anchors))
+            kept, hot = np.arange(len(anchors)), np.ones(len(anchors), bool)
             for row in range(ROWS):
                 cell = _cells(anchors[kept], row, bits)
-                bit = marks[row, (cell >> np.uint64(3)).astype(np.int64)] >> (cell & np.uint64(7)).astype(np.uint8)
-                kept = kept[(bit & 1).astype(bool)]
+                byte, bit = (cell >> np.uint64(3)).astype(np.int64), cell & np.uint64(7)
+                marked = (marks[0, row, byte] >> bit.astype(np.uint8) & 1).astype(bool)
+                hot &= (marks[1, row, byte] >> bit.astype(np.uint8) & 1).astype(bool)
+                kept, hot = kept[marked], hot[marked]
             starts, text = starts[kept], text[kept]
+            keys = batch["text_key"].to_numpy(zero_copy_only=False)[text].astype(np.uint64)
+            start = (starts - words.first[:-1][text]).astype(np.uint64)
             columns = [
                 pa.array(rolling(hashes, window, base)[starts].view(np.int64))
                 for base in WINDOW_BASES
             ]
-            columns += [batch["doc_id"].take(pa.array(text)), batch["text_key"].take(pa.array(text))]
-            columns.append(pa.array((starts - words.first[:-1][text]).astype(np.int32)))
+            columns += [pa.array(hot), batch["doc_id"].take(pa.array(text))]
+            columns.append(pa.array((keys << np.uint64(32) | start).view(np.int64)))
             yield pa.RecordBatch.from_arrays(
-                columns, names=["h1", "h2", "doc_id", "text_key", "start"]
+                columns, names=["h1", "h2", "hot", "doc_id", "place"]
             )
 
     return docs.select("doc_id", "text_key", "text").mapInArrow(
-        run, "h1 bigint, h2 bigint, doc_id bigint, text_key bigint, start int"
+        run, "h1 bigint, h2 bigint, hot boolean, doc_id bigint, place bigint"
     )
 
 
@@ -200,26 +223,30 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, cells: int | None =
     """
     rows = keyed(docs)
     marks = marked_cells(rows, window, cells)
-    candidates = stored(candidate_windows(rows, marks, window), "windows")
-    owners = (
-        candidates.groupBy("h1", "h2")
-        .agg(
-            F.min("doc_id").alias("owner"),
-            F.max("doc_id").alias("last"),
-            F.max(F.col("doc_id").isNull()).alias("any_null"),
-        )
-        .filter((F.col("owner") < F.col("last")) | (F.col("any_null") & F.col("owner").isNotNull()))
-        .select("h1", "h2", "owner")
-    )
-    # Stored, so that the join deals both sides anew and may split a hot window.
-    owners = stored(owners, "owners")
-    later = F.col("doc_id").isNull() | (F.col("owner") < F.col("doc_id"))
-    return (
-        candidates.join(owners, ["h1", "h2"])
-        .filter(later)
-        .groupBy("doc_id", "text_key")
-        .agg(F.collect_set("start").alias("starts"))
-    )
+    candidates = candidate_windows(rows, marks, window)
+    together = Window.partitionBy("h1", "h2")
+    usual = candidates.filter(~F.col("hot")).withColumn("owner", F.min("doc_id").over(together))
+    removed = usual.filter(_owned_by_other()).select("doc_id", "place")
+    if marks[1].any():
+        removed = removed.union(_later_hot(candidates.filter("hot")))
+    return removed.groupBy(
+        "doc_id", F.shiftrightunsigned("place", 32).alias("text_key")
+    ).agg(F.collect_set(F.col("place").bitwiseAND(0xFFFFFFFF).cast("int")).alias("starts"))
+
+
+def _owned_by_other() -> Column:
+    """A row without id comes after all others."""
+    owner, doc_id = F.col("owner"), F.col("doc_id")
+    return owner.isNotNull() & (doc_id.isNull() | (owner < doc_id))
+
+
+def _later_hot(hot: DataFrame) -> DataFrame:
+    """``(doc_id, place)`` of hot windows that a document of a smaller id holds, too."""
+    owners = hot.groupBy("h1", "h2").agg(F.min("doc_id").alias("owner"))
+    # Stored, so that a join by key may split a window with very many rows.
+    owners = stored(owners, "hot-owners")
+    joined = hot.join(owners, ["h1", "h2"])
+    return joined.filter(_owned_by_other()).select("doc_id", "place")
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, cells: int | None = None) -> DataFrame:
