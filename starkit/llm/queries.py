@@ -6,7 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starkit.llm import binary, bpe, packing, simhash, substrings
+from starkit.llm import (
+    binary,
+    bpe,
+    hosts,
+    language,
+    nearest,
+    packing,
+    sharding,
+    simhash,
+    substrings,
+    toxicity,
+)
 
 BYTE_TOKENIZER = "byte_bpe_50k.json"
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -43,6 +54,19 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, public_tokenizers.path(WORD_TOKENIZER))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every text, learned from the labels of four folds of five."""
+    docs = _read(spark, sf_dir, "documents")
+    rows = toxicity.labelled_rows(docs, _read(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, toxicity.train(rows))
+    return scored.select(
+        "doc_id",
+        toxicity.held_out().alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
+    )
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The component of near-duplicates of every document."""
     return simhash.near_duplicates(_read(spark, sf_dir, "documents")).select(
@@ -52,6 +76,14 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every text, learned from three folds of four."""
+    docs = _read(spark, sf_dir, "documents")
+    model = language.train_on_rest(docs)
+    found = language.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op7_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Matrix rows with their segments; digests of the three byte columns."""
     docs = _read(spark, sf_dir, "documents")
@@ -68,12 +100,52 @@ def op7_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shard and slot under a permutation of row numbers."""
+    placed = sharding.shard_documents(_read(spark, sf_dir, "documents"))
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op9_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base measures of every text, and whether its own rules and its host's keep it."""
+    return hosts.judged(_read(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+    )
+
+
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of each query among all others."""
+    vectors = _read(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
+    queries = vectors.filter(F.pmod("vec_id", F.lit(nearest.QUERY_STEP)) == 0)
+    return nearest.nearest(vectors, queries).select("query_id", "rank", "vec_id", "score")
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_substrings": op2_substrings,
     "op3_packing": op3_packing,
+    "op4_toxicity": op4_toxicity,
     "op5_simhash": op5_simhash,
+    "op6_language": op6_language,
     "op7_binary": op7_binary,
+    "op8_sharding": op8_sharding,
+    "op9_hosts": op9_hosts,
+    "op10_nearest": op10_nearest,
 }
 
 ORACLES: dict[str, str] = {}
