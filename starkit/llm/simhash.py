@@ -19,16 +19,18 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starkit.llm.common import documents, slices, stored
+from starkit.llm.common import documents, fresh_name, slices, stored
 from starkit.llm.components import connected_components
 
 SHINGLE_WORDS = 4
 DISTANCE = 4
 SEED = 42
 BITS = 64
+# Buckets of up to so many fingerprints are verified together.
+FEW = 32
 # Fingerprints of a bucket that one task verifies; more are dealt out in chunks.
 BUCKET_LIMIT = 4096
 CHUNK = 2048
@@ -136,6 +138,17 @@ def verified_links(
                     yield one, other
 
 
+def _close_neighbours(keys: np.ndarray, prints: np.ndarray, distance: int) -> Iterator[tuple[int, int]]:
+    """Links within many small buckets at once: each with its next row, the one after, ..."""
+    for step in range(1, FEW):
+        together = np.flatnonzero(keys[:-step] == keys[step:])
+        if not len(together):
+            return
+        left, right = prints[together], prints[together + step]
+        close = (_differing(left ^ right) <= distance) & (left != right)
+        yield from zip(left[close].tolist(), right[close].tolist())
+
+
 def _link_rows(links: list[tuple[int, int]]) -> list[pa.Array]:
     pairs = np.array(links, np.int64).reshape(-1, 2)
     return [pa.array(pairs[:, 0]), pa.array(pairs[:, 1])]
@@ -160,13 +173,11 @@ def links_of_buckets(indexed: DataFrame, distance: int, limit: int) -> DataFrame
                 starts, ends = starts[:-1], ends[:-1]
             links, members = [], []
             sizes = ends - starts
-            pair = starts[sizes == 2]
-            close = _differing(prints[pair] ^ prints[pair + 1]) <= distance
-            for at in pair[close].tolist():
-                one, other = int(prints[at]), int(prints[at + 1])
+            few = np.repeat((sizes > 1) & (sizes <= FEW), sizes)
+            for one, other in _close_neighbours(keys[: len(few)][few], prints[: len(few)][few], distance):
                 if groups.join(one, other):
                     links.append((one, other))
-            for start, end in zip(starts[sizes > 2].tolist(), ends[sizes > 2].tolist()):
+            for start, end in zip(starts[sizes > FEW].tolist(), ends[sizes > FEW].tolist()):
                 bucket = prints[start:end]
                 if end - start > limit:
                     members += [(int(keys[start]), value) for value in bucket.tolist()]
@@ -249,14 +260,64 @@ def near_duplicates(
     component has no id at all. Repeated rows come once each; an empty table gives none.
     """
     marked = stored(fingerprints(docs, words), "fingerprints")
-    prints = stored(
-        marked.groupBy("fingerprint").agg(F.min("doc_id").alias("least_id")), "distinct-prints"
-    )
+    named = grouped(marked, distance).select("fingerprint", "component_id")
+    return marked.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
+
+
+def grouped(marked: DataFrame, distance: int) -> DataFrame:
+    """``(fingerprint, root, component_id)`` of the distinct fingerprints of
+    ``marked(doc_id, fingerprint)``; ``root`` is the same for all of a component."""
+    prints = marked.groupBy("fingerprint").agg(F.min("doc_id").alias("least_id"))
+    prints = stored(prints, "distinct-prints")
     roots = connected_components(linked(prints.select("fingerprint"), distance))
     rooted = prints.join(
         roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left"
     ).select("fingerprint", "least_id", F.coalesce("root", "fingerprint").alias("root"))
     rooted = stored(rooted, "rooted")
     names = stored(rooted.groupBy("root").agg(F.min("least_id").alias("component_id")), "names")
-    named = stored(rooted.join(names, "root").select("fingerprint", "component_id"), "named")
-    return marked.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    return stored(rooted.join(names, "root").drop("least_id"), "named")
+
+
+def keep_first(docs: DataFrame, distance: int = DISTANCE, words: int = SHINGLE_WORDS) -> DataFrame:
+    """The rows of ``docs``, as they are, of which one stays for each group of
+    near-duplicates: the smallest doc_id, and of rows that share it the smallest text
+    number. A row without id stays only if its group has no row with one."""
+    key, name, copy = (fresh_name(docs, n) for n in ("_text_key", "_kept_id", "_copy"))
+    text_key = F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(-1))
+    ids = docs.select(F.col("doc_id").cast("bigint"), "text", text_key.alias("text_key"))
+    marked = stored(_fingerprints_with_keys(ids, words), "fingerprints")
+    named = grouped(marked, distance).select("fingerprint", "root")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key"))
+    kept = (
+        marked.join(named, "fingerprint")
+        .groupBy("root")
+        .agg(first.alias("first"))
+        .select(F.col("first.doc_id").alias(name), F.col("first.text_key").alias(f"{name}_text"))
+    )
+    kept = stored(kept, "kept")
+    repeated = marked.groupBy("doc_id", "text_key").count().filter("count > 1")
+    repeated = stored(repeated.join(kept, _same(F.col("doc_id"), F.col("text_key"), name), "left_semi"), "repeated")
+    keyed = docs.withColumn(key, text_key)
+    stays = keyed.join(kept, _same(keyed["doc_id"].cast("bigint"), keyed[key], name), "left_semi")
+    if repeated.isEmpty():
+        return stays.drop(key)
+    # Rows that repeat an id and a text: one of each stays.
+    repeated = repeated.select(F.col("doc_id").alias(name), F.col("text_key").alias(f"{name}_text"))
+    same = _same(stays["doc_id"].cast("bigint"), stays[key], name)
+    order = Window.partitionBy("doc_id", key).orderBy(F.xxhash64(*docs.columns))
+    one = stays.join(repeated, same, "left_semi").withColumn(copy, F.row_number().over(order))
+    return stays.join(repeated, same, "left_anti").union(one.filter(F.col(copy) == 1).drop(copy)).drop(key)
+
+
+def _same(doc_id: Column, text_key: Column, name: str) -> Column:
+    return doc_id.eqNullSafe(F.col(name)) & (text_key == F.col(f"{name}_text"))
+
+
+def _fingerprints_with_keys(ids: DataFrame, words: int) -> DataFrame:
+    @F.pandas_udf("bigint")
+    def marked(texts):
+        import pandas as pd
+
+        return pd.Series(np.array([simhash(text, words) for text in texts], np.uint64).view(np.int64))
+
+    return ids.select("doc_id", "text_key", marked("text").alias("fingerprint"))

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starkit.llm.common import documents, slices, stored
+from starkit.llm.common import documents, fresh_name, slices, stored
 from starkit.llm.windows import (
     WINDOW_BASES,
     mixed,
@@ -44,7 +44,7 @@ WINDOW = 50
 ANCHOR_WORDS = 8
 ROWS = 4
 MIN_CELLS, MAX_CELLS = 1 << 16, 1 << 27
-HOT_DOCUMENTS = 10_000
+HOT_DOCUMENTS = 1000
 # Cells of one block of a sketch; a cell's place in it takes 16 bits.
 _BLOCK_BITS = 16
 # Anchors that a task holds before it hands on a sketch; bounds its memory.
@@ -268,10 +268,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, cells: int | None = No
                 words = (text or "").encode().split()  # at the same six bytes
                 sizes.append(len(words))
                 if starts:
-                    cover = np.zeros(len(words) + 1, np.int32)
-                    np.add.at(cover, np.array(starts), 1)
-                    np.add.at(cover, np.array(starts) + window, -1)
-                    keep = np.cumsum(cover[:-1]) == 0
+                    keep = kept_words(len(words), starts, window)
                     changed.append(_without(text, keep))
                     words = list(compress(words, keep.tolist()))
                 else:
@@ -295,6 +292,45 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, cells: int | None = No
     )
 
 
+def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """``docs`` with all their columns, repeated passages cut out of ``text``: the rest keeps
+    its white space. Rows without such a passage stay as they are."""
+    found = repeated_windows(docs, window)
+    names = {name: fresh_name(docs, f"_{name}") for name in found.columns}
+    found = found.withColumnsRenamed(names)
+    key = fresh_name(docs, "_own_key")
+    rows = docs.withColumn(key, F.crc32(F.col("text").cast("binary")))
+    same = rows["doc_id"].cast("bigint").eqNullSafe(found[names["doc_id"]])
+    joined = rows.join(found, same & (rows[key] == found[names["text_key"]]), "left")
+
+    @F.pandas_udf("string")
+    def cut(texts, starts):
+        import pandas as pd
+
+        result = []
+        for text, begins in zip(texts, starts):
+            if begins is None or not len(begins):
+                result.append(text)
+            else:
+                keep = kept_words(len(text.encode().split()), begins, window)
+                result.append(_without(text, keep))
+        return pd.Series(result, dtype=object)
+
+    starts = F.col(names["starts"])
+    text = F.when(starts.isNull(), F.col("text")).otherwise(
+        cut(F.when(starts.isNotNull(), F.col("text").cast("string")), starts)
+    )
+    return joined.withColumn("text", text).select(*docs.columns)
+
+
+def kept_words(count: int, starts, window: int) -> np.ndarray:
+    """Whether each word is outside of all windows that begin at ``starts``."""
+    cover = np.zeros(count + 1, np.int32)
+    np.add.at(cover, np.array(starts), 1)
+    np.add.at(cover, np.array(starts) + window, -1)
+    return np.cumsum(cover[:-1]) == 0
+
+
 def _without(text: str, keep: np.ndarray) -> str:
     """The text without the words that are not kept and the white space behind them."""
     words = words_of(pa.array([text]))
