@@ -18,6 +18,9 @@ from starkit.llm import (
     substrings,
     toxicity,
 )
+from starkit.llm.oracles import ORACLES
+
+__all__ = ["ORACLES", "QUERIES"]
 
 BYTE_TOKENIZER = "byte_bpe_50k.json"
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -147,5 +150,3 @@ QUERIES = {
     "op9_hosts": op9_hosts,
     "op10_nearest": op10_nearest,
 }
-
-ORACLES: dict[str, str] = {}
