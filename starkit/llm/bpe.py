@@ -16,7 +16,7 @@ import json
 import re
 import unicodedata
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -70,12 +70,11 @@ class Memo:
         self._older: dict[str, bytes] = {}
         self._half = limit // 2
 
-    def missing(self, keys: set[str]) -> list[str]:
-        """The keys without a result. All others are in ``recent`` afterwards."""
-        if len(self.recent) > self._half:
-            self._older, self.recent = self.recent, {}
+    def unknown(self, keys: set[str]) -> list[str]:
+        """Of keys that ``recent`` lacks, those without a result; the others are in
+        ``recent`` afterwards."""
         unknown = []
-        for key in keys.difference(self.recent):
+        for key in keys:
             value = self._older.get(key)
             if value is None:
                 unknown.append(key)
@@ -83,10 +82,15 @@ class Memo:
                 self.recent[key] = value
         return unknown
 
-    def forget_long(self, keys: list[str]) -> None:
+    def turn(self) -> None:
+        """Begin a new half if this one is full; not while results are being collected."""
+        if len(self.recent) > self._half:
+            self._older, self.recent = self.recent, {}
+
+    def forget_long(self, keys: Iterable[str]) -> None:
         for key in keys:
             if len(key) > MEMO_CHARS:
-                del self.recent[key]
+                self.recent.pop(key, None)
 
 
 class PairRanks:
@@ -158,6 +162,7 @@ class Bpe:
         for token, number in added.items():
             self._bytes[number] = token.encode()
         self._ranks = PairRanks(self._pairs)
+        self._tokens = pa.array(self._bytes, pa.binary())
         self._merged_ids = np.array(self._merged, np.int64)
         self._first_ids = np.array(self._first, np.int64)
         self._last_ids = np.array(self._last, np.int64)
@@ -305,48 +310,55 @@ class Bpe:
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, packed as ``dtype``."""
-        cut, wanted, words_of = [], set(), {}
+        self._word_ids.turn()
+        self._chunk_ids.turn()
+        known = {"words": self._word_ids.recent, "chunks": self._chunk_ids.recent}
+        lacking: dict[str, set[str]] = {"words": set(), "chunks": set()}
+        cut = []
         for text in texts:
             mine = []
             for kind, stretch in self._segments(text):
-                if kind == "chunks":
-                    content = stretch.split(" ")
-                    wanted.update(content)
-                elif kind == "words":
-                    content = self._words.findall(stretch)
-                else:
-                    content = np.array([self._added[stretch]], self.dtype).tobytes()
-                mine.append((kind, content))
+                if kind == "added":
+                    ids = np.array([self._added[stretch]], self.dtype).tobytes()
+                    mine.append((kind, [], [ids]))
+                    continue
+                keys = stretch.split(" ") if kind == "chunks" else self._words.findall(stretch)
+                values = list(map(known[kind].get, keys))
+                if None in values:
+                    lacking[kind].update([k for k, v in zip(keys, values) if v is None])
+                mine.append((kind, keys, values))
             cut.append(mine)
-        chunks = self._chunk_ids.missing(wanted)
-        for chunk in chunks:
+        self._learn(lacking["words"], lacking["chunks"])
+        result = []
+        for mine in cut:
+            parts = []
+            for kind, keys, values in mine:
+                if None in values:
+                    found = known[kind]
+                    values = [found[k] if v is None else v for k, v in zip(keys, values)]
+                parts += values
+            result.append(b"".join(parts))
+        for memo, keys in ((self._word_ids, lacking["words"]), (self._chunk_ids, lacking["chunks"])):
+            memo.forget_long(keys)
+        return result
+
+    def _learn(self, words: set[str], chunks: set[str]) -> None:
+        """Put the ids of all these words and chunks into the memos."""
+        words_of = {}
+        for chunk in self._chunk_ids.unknown(chunks):
             if not self._lower:
                 words_of[chunk] = self._words.findall(f" {chunk}")
             elif chunk.isascii() or max(chunk) <= LATIN_END:
                 words_of[chunk] = self._words.findall(self._normal(chunk))
             else:
                 self._chunk_ids.recent[chunk] = self._library_ids(chunk)
-        needed = set().union(*words_of.values())
-        for mine in cut:
-            for kind, content in mine:
-                if kind == "words":
-                    needed.update(content)
-        words = self._word_ids.missing(needed)
-        self._merge_words(words)
-        ids_of_word, ids_of_chunk = self._word_ids.recent, self._chunk_ids.recent
-        for chunk, found in words_of.items():
-            ids_of_chunk[chunk] = b"".join(map(ids_of_word.__getitem__, found))
-        lookup = {"words": ids_of_word.__getitem__, "chunks": ids_of_chunk.__getitem__}
-        result = [
-            b"".join(
-                content if kind == "added" else b"".join(map(lookup[kind], content))
-                for kind, content in mine
-            )
-            for mine in cut
-        ]
-        self._word_ids.forget_long(words)
-        self._chunk_ids.forget_long(chunks)
-        return result
+        found = self._word_ids.recent
+        needed = set().union(*words_of.values()).difference(found)
+        unknown = self._word_ids.unknown(needed | words)
+        self._merge_words(unknown)
+        for chunk, parts in words_of.items():
+            self._chunk_ids.recent[chunk] = b"".join(map(found.__getitem__, parts))
+        self._word_ids.forget_long([word for word in unknown if word not in words])
 
     def encode(self, text: str) -> bytes:
         return self.encode_all([text])[0]
@@ -354,6 +366,21 @@ class Bpe:
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self._bytes.__getitem__, ids)).decode("utf-8", "replace")
 
+    def decode_all(self, ids: pa.ListArray) -> pa.Array:
+        """The texts of many lists of ids: the bytes of all tokens, gathered at once, are
+        cut at the ends of the lists. Bytes that are not UTF-8 are replaced, list by list."""
+        ids = ids.fill_null([]) if ids.null_count else ids
+        tokens = self._tokens.take(ids.flatten())
+        offsets = ids.offsets.to_numpy() - ids.offsets[0].as_py()
+        ends = np.frombuffer(tokens.buffers()[1], np.int32)[: len(tokens) + 1][offsets]
+        buffers = [None, pa.py_buffer(ends.tobytes()), tokens.buffers()[2] or pa.py_buffer(b"")]
+        texts = pa.Array.from_buffers(pa.string(), len(ids), buffers)
+        try:
+            texts.validate(full=True)
+        except pa.ArrowInvalid:
+            return pa.array([self.decode(one) for one in ids.to_pylist()], pa.string())
+        return texts
+
 
 @lru_cache(maxsize=2)
 def loaded(source: bytes) -> Bpe:
@@ -400,9 +427,8 @@ def decode(encoded: DataFrame, tokenizer_path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = loaded(source.value)
         for batch in slices(batches):
-            texts = [bpe.decode(ids or []) for ids in batch["ids"].to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], batch["ids"], pa.array(texts, pa.string())],
+                [batch["doc_id"], batch["ids"], bpe.decode_all(batch["ids"])],
                 names=["doc_id", "ids", "text"],
             )
 
