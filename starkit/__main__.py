@@ -17,6 +17,9 @@ def main() -> None:
     parser.add_argument("--unknown-countries", choices=["drop", "member"], default="drop")
     parser.add_argument("--fact-keys", choices=["positional", "stable"], default="positional")
     parser.add_argument("--partition-fact", action="store_true")
+    parser.add_argument("--demographics-separator", default=";")
+    parser.add_argument("--map-delimiter", default=";", help="of the exported code maps")
+    parser.add_argument("--count-rejects", action="store_true", help="report rows lost per lookup")
     args = parser.parse_args()
     config = BuildConfig(
         feed_path=args.feed,
@@ -26,6 +29,9 @@ def main() -> None:
         unknown_countries=args.unknown_countries,
         fact_keys=args.fact_keys,
         partition_fact=args.partition_fact,
+        demographics_separator=args.demographics_separator,
+        map_delimiter=args.map_delimiter,
+        count_rejects=args.count_rejects,
     )
     _, metrics = run_build(get_spark(), config)
     for table in metrics:

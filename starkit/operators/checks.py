@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +37,12 @@ def require_unique(df: DataFrame, name: str, keys: list[str]) -> None:
         raise CheckFailed(f"{name}: key {keys} is not unique")
 
 
+def require_keys(df: DataFrame, name: str, keys: list[str]) -> None:
+    """Every row has all of its key."""
+    if not df.filter(reduce(or_, [F.col(key).isNull() for key in keys])).isEmpty():
+        raise CheckFailed(f"{name}: key {keys} is null")
+
+
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """One row ``(table_name, row_count, passed)`` per table; empty tables fail."""
     counts = [

@@ -28,6 +28,8 @@ _POSITION_BITS = 33
 ROW_KEY_BUCKETS = 1 << 20
 ROW_KEY_BITS = 40
 DENSE_BUCKETS = 1 << 16
+# The totals of all buckets are broadcast: about 24 bytes each.
+MOST_DENSE_BUCKETS = 16**5
 COPY_SPAN = 100_000
 
 
@@ -146,6 +148,8 @@ def dense_row_key(
     Costs one more pass than ``row_key``: bucket totals are summed up, at most
     one row per bucket, and broadcast back.
     """
+    if buckets > MOST_DENSE_BUCKETS:
+        raise ValueError(f"buckets must be at most {MOST_DENSE_BUCKETS}, not {buckets}")
     runs = _placed_copies(df, bucket_on, buckets, copy_span)
     before = Window.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (

@@ -3,6 +3,9 @@
 No broadcast hints. Dimensions are read back from parquet, so their size is
 known, and Spark broadcasts those below ``spark.sql.autoBroadcastJoinThreshold``.
 A larger one is sort-merge joined, with hot keys split by adaptive execution.
+It splits a join only where both sides are dealt anew. A lookup by a key that an
+earlier one has used is therefore matched null-safe, on keys without nulls: the rows
+are the same, but the earlier partitioning is not reused.
 """
 
 from __future__ import annotations
@@ -38,6 +41,17 @@ def _match(lookup: Lookup, null_safe: bool = False) -> Column:
     return reduce(lambda left, right: left & right, matches)
 
 
+def _repeats(lookups: list[Lookup]) -> list[bool]:
+    """Whether an earlier lookup goes by one of the same expressions on the feed."""
+    used: set[str] = set()
+    repeats = []
+    for lookup in lookups:
+        own = {str(expression) for expression in lookup.on.values()}
+        repeats.append(not own.isdisjoint(used))
+        used |= own
+    return repeats
+
+
 def _require_single_matches(lookups: list[Lookup]) -> None:
     """Fail, in one job, if any lookup could multiply rows without leave."""
     checked = set()  # a table may serve several roles
@@ -63,12 +77,13 @@ def star_lookup(feed: DataFrame, lookups: list[Lookup], verify: bool = True) ->
     if verify:
         _require_single_matches(lookups)
     result = feed
-    for lookup in lookups:
-        dimension = lookup.table.select(
+    for lookup, again in zip(lookups, _repeats(lookups)):
+        table = lookup.table.na.drop("any", subset=list(lookup.on)) if again else lookup.table
+        dimension = table.select(
             *[F.col(key).alias(_key(lookup, key)) for key in lookup.on],
             *[F.col(column).alias(output) for column, output in lookup.take.items()],
         )
-        result = result.join(dimension, _match(lookup)).drop(
+        result = result.join(dimension, _match(lookup, null_safe=again)).drop(
             *[_key(lookup, key) for key in lookup.on]
         )
     return result
@@ -81,16 +96,18 @@ def reject_report(feed: DataFrame, lookups: list[Lookup]) -> DataFrame:
     """
     _require_single_matches(lookups)
     marked = feed
-    for lookup in lookups:
+    for lookup, again in zip(lookups, _repeats(lookups)):
         names = [_key(lookup, key) for key in lookup.on]
         keys = lookup.table.select(*[F.col(k).alias(n) for k, n in zip(lookup.on, names)])
         if lookup.allow_fanout:
-            # Null-safe on keys without nulls: matches the same rows, but does not reuse
-            # the partitioning of ``distinct``, so that a large join can split hot keys.
-            keys = keys.na.drop("any").distinct()
+            # For the same reason as a repeated key: ``distinct`` partitions by the key.
+            keys = keys.distinct()
+        null_safe = again or lookup.allow_fanout
+        if null_safe:
+            keys = keys.na.drop("any")
         marked = marked.join(
             keys.withColumn(f"_hit_{lookup.name}", F.lit(True)),
-            _match(lookup, null_safe=lookup.allow_fanout),
+            _match(lookup, null_safe=null_safe),
             "left",
         )
     misses = {lookup.name: F.col(f"_hit_{lookup.name}").isNull() for lookup in lookups}

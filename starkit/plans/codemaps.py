@@ -31,6 +31,8 @@ class CodeMaps:
     transport: DataFrame
     port: DataFrame
     visa: DataFrame
+    # The maps as they are exported, before countries are put together.
+    exported: dict[layout.MapSpec, DataFrame]
 
 
 def country_members(codes: DataFrame) -> DataFrame:
@@ -65,13 +67,14 @@ def _checked(df: DataFrame, spec: layout.MapSpec) -> DataFrame:
     return df.na.drop("any")
 
 
-def build_code_maps(
-    spark: SparkSession,
-    texts: DataFrame,
-    export_to: str | None = None,
-    delimiter: str = ";",
-) -> CodeMaps:
-    """Parse, check and register the maps; optionally export them as delimited files."""
+def export_code_maps(maps: CodeMaps, folder: str, delimiter: str = ";") -> None:
+    """Write all maps as delimited files."""
+    for spec, df in maps.exported.items():
+        write_code_map(df, f"{folder}/{spec.file}", delimiter)
+
+
+def build_code_maps(spark: SparkSession, texts: DataFrame) -> CodeMaps:
+    """Parse, check and register the maps."""
     sections = [
         layout.COUNTRY_SECTION,
         layout.PORT_SECTION,
@@ -96,10 +99,6 @@ def build_code_maps(
         layout.VISA_MAP: literal_map(spark, layout.VISA_TYPES, "visa_code", "visa_type"),
     }
     clean = {spec: _checked(df, spec) for spec, df in maps.items()}
-    if export_to is not None:
-        for spec, df in clean.items():
-            write_code_map(df, f"{export_to}/{spec.file}", delimiter)
-
     result = CodeMaps(
         country=cluster_unknown(clean[layout.COUNTRY_MAP]),
         # Texts like 7 and 07 are one code; as in the dimension, neither label is kept.
@@ -110,6 +109,7 @@ def build_code_maps(
         transport=clean[layout.TRANSPORT_MAP],
         port=clean[layout.PORT_MAP],
         visa=clean[layout.VISA_MAP],
+        exported=clean,
     )
     result.country.createOrReplaceTempView(layout.COUNTRY_MAP.view)
     result.state.createOrReplaceTempView(layout.STATE_MAP.view)

@@ -91,24 +91,30 @@ def observed_countries(feed: DataFrame) -> DataFrame:
     return citizenships.union(residences).distinct()
 
 
+def _seen_codes(feed: DataFrame) -> DataFrame:
+    """Observed countries as codes; texts like 135 and 135.0 are one."""
+    return observed_countries(feed).select(whole_code(F.col("code")).alias("code")).distinct()
+
+
 def country_dimension(feed: DataFrame, country_map: DataFrame) -> DataFrame:
     """Countries seen in either role. Codes re-keyed as unknown match nothing."""
-    seen = observed_countries(feed).select(whole_code(F.col("code")).alias("code"))
+    seen = _seen_codes(feed)
     matched = seen.join(country_map, F.col("code") == F.col("country_id"))
     return unique_guard(matched.select("country_id", "country_name"), ["country_id"])
 
 
 def country_dimension_unknown_member(feed: DataFrame, members: DataFrame) -> DataFrame:
     """As ``country_dimension``, but unknown codes share one member of the dimension."""
-    seen = observed_countries(feed).select(whole_code(F.col("code")).alias("code"))
+    seen = _seen_codes(feed)
     matched = seen.join(members, F.col("code") == F.col("country_code"))
     return unique_guard(matched.select("country_id", "country_name").distinct(), ["country_id"])
 
 
 def date_dimension(feed: DataFrame) -> DataFrame:
-    """Distinct arrival days with their calendar attributes."""
+    """Distinct arrival days with their calendar attributes; no day, no row."""
     offset = F.col(layout.ARRIVAL_DAY)
     days = feed.select(number_to_int(offset).alias(layout.ARRIVAL_DAY)).distinct()
+    days = days.filter(offset.isNotNull())
     day = day_to_date(offset)
     return days.select(
         layout.ARRIVAL_DAY,

@@ -157,3 +157,7 @@ FACT = TableSpec(
     "id",
 )
 TABLES = (LOCATION, DEMOGRAPHICS, COUNTRY, DATE, JUNK, FACT)
+
+# Under a target: one folder for each build, and the log of those that were completed.
+BUILD_PREFIX = "build-"
+PUBLISHED = "published"

@@ -1,24 +1,33 @@
-"""Build the star from its sources, write it, and load it again."""
+"""Build the star from its sources, write it, and load it again.
+
+Each build writes dimensions, fact and maps into a folder of its own under the target.
+When all are complete, one row in the target's log of builds makes it the model that
+``load_model`` reads. Until then nothing of an earlier model is touched.
+"""
 
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 from functools import partial
-from typing import TypeVar
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starkit.functions import day_to_date, register_day_function
-from starkit.operators.checks import require_columns, require_not_empty, require_unique
+from starkit.operators.checks import (
+    CheckFailed,
+    require_columns,
+    require_keys,
+    require_not_empty,
+    require_unique,
+)
 from starkit.operators.guards import duplicate_keys
 from starkit.operators.keys import positional_key, row_key
 from starkit.plans import layout
-from starkit.plans.codemaps import CodeMaps, build_code_maps
+from starkit.plans.codemaps import CodeMaps, build_code_maps, export_code_maps
 from starkit.plans.dimensions import (
     country_dimension,
     country_dimension_unknown_member,
@@ -28,15 +37,13 @@ from starkit.plans.dimensions import (
     location_dimension,
     observed_places,
 )
-from starkit.plans.fact import Dimensions, fact_rows
+from starkit.plans.fact import Dimensions, fact_rejects, fact_rows, rows_without_day
 from starkit.plans.metrics import TableMetrics
 from starkit.plans.sqltables import write_counted
-from starkit.session import scratch_path, scratch_root
+from starkit.session import at_once, scratch_path, scratch_root
 from starkit.sources.labels import read_label_texts
 from starkit.sources.staging import SourceSpec, stage
 
-T = TypeVar("T")
-
 
 @dataclass(frozen=True)
 class BuildConfig:
@@ -54,6 +61,8 @@ class BuildConfig:
     fact_keys: str = "positional"  # or "stable": ids that depend on the rows alone
     partition_fact: bool = False  # by arrival_year and arrival_month
     export_maps: bool = True
+    map_delimiter: str = ";"
+    count_rejects: bool = False  # feed rows lost per lookup, from one more pass over the feed
 
 
 @dataclass(frozen=True)
@@ -82,11 +91,7 @@ def stage_sources(spark: SparkSession, config: BuildConfig) -> tuple[Sources, li
         ],
     )
     started = time.monotonic()
-    maps = build_code_maps(
-        spark,
-        read_label_texts(spark, config.labels_path),
-        export_to=config.target if config.export_maps else None,
-    )
+    maps = build_code_maps(spark, read_label_texts(spark, config.labels_path))
     metrics = [TableMetrics(view, None, source.seconds) for view, source in staged.items()]
     metrics.append(TableMetrics("code_maps", None, time.monotonic() - started))
     sources = Sources(
@@ -95,19 +100,28 @@ def stage_sources(spark: SparkSession, config: BuildConfig) -> tuple[Sources, li
     return sources, metrics
 
 
-def _stored(df: DataFrame, spec: layout.TableSpec, target: str) -> DataFrame:
-    """The written table under its view name, read with the schema it was written with."""
-    stored = df.sparkSession.read.schema(df.schema).parquet(f"{target}/{spec.directory}")
-    stored.createOrReplaceTempView(spec.view)
-    return stored
+def _stored(df: DataFrame, spec: layout.TableSpec, folder: str) -> DataFrame:
+    """The written table, read with the schema it was written with."""
+    return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{spec.directory}")
+
+
+def publish(spark: SparkSession, target: str, build: str) -> None:
+    """Make a completed build the model. A file of one row appears as a whole."""
+    entry = spark.range(1).select(
+        F.lit(build).alias("build"), F.current_timestamp().alias("published_at")
+    )
+    entry.write.mode("append").parquet(f"{target}/{layout.PUBLISHED}")
 
 
-def _at_once(spark: SparkSession, tasks: list[Callable[[], T]]) -> list[T]:
-    """Run independent Spark work together, so that the last tasks of one job leave
-    no executor idle. Results come in the order of ``tasks``."""
-    wrapped = [inheritable_thread_target(spark)(task) for task in tasks]
-    with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
-        return list(pool.map(lambda task: task(), wrapped))
+def current_folder(spark: SparkSession, target: str) -> str:
+    """The folder of the build that was published last."""
+    log = spark.read.schema("build string, published_at timestamp").parquet(
+        f"{target}/{layout.PUBLISHED}"
+    )
+    last = log.agg(F.max_by("build", F.struct("published_at", "build"))).first()[0]
+    if last is None:
+        raise CheckFailed(f"{target}: no build was published")
+    return f"{target}/{last}"
 
 
 def checked_dimension(
@@ -121,45 +135,42 @@ def checked_dimension(
     df = build().select(*spec.columns).checkpoint()
     require_not_empty(df, spec.view)
     require_columns(df, spec.view, spec.schema)
+    require_keys(df, spec.view, [spec.key])
     require_unique(df, spec.view, [spec.key])
     return df, time.monotonic() - started
 
 
-def publish_dimensions(
-    spark: SparkSession, builds: dict[str, Callable[[], DataFrame]], target: str
+def write_dimensions(
+    spark: SparkSession, builds: dict[str, Callable[[], DataFrame]], folder: str
 ) -> tuple[dict[str, DataFrame], list[TableMetrics]]:
-    """Build, check and write the dimensions, and read them back.
-
-    Nothing is written before all of them have passed their checks, so a failed one
-    leaves an earlier model untouched.
-    """
+    """Build, check and write the dimensions, and read them back."""
     specs = [spec for spec in layout.TABLES if spec.view in builds]
-    checked = _at_once(
+    checked = at_once(
         spark, [partial(checked_dimension, spec, builds[spec.view]) for spec in specs]
     )
 
     def write(spec: layout.TableSpec, df: DataFrame, seconds: float) -> TableMetrics:
         started = time.monotonic()
-        rows = write_counted(df, f"{target}/{spec.directory}")
+        rows = write_counted(df, f"{folder}/{spec.directory}")
         return TableMetrics(spec.view, rows, seconds + time.monotonic() - started)
 
-    metrics = _at_once(
+    metrics = at_once(
         spark, [partial(write, spec, *found) for spec, found in zip(specs, checked)]
     )
-    tables = {spec.view: _stored(df, spec, target) for spec, (df, _) in zip(specs, checked)}
+    tables = {spec.view: _stored(df, spec, folder) for spec, (df, _) in zip(specs, checked)}
     return tables, metrics
 
 
-def publish_fact(
+def write_fact(
     rows: DataFrame,
-    target: str,
+    folder: str,
     keys: str = "positional",
     partitioned: bool = False,
 ) -> tuple[DataFrame, TableMetrics]:
-    """Check, number and write the fact, optionally by year and month of arrival."""
+    """Number and write the fact, optionally by year and month of arrival. It is known to
+    be empty from the rows counted while it is written, without a pass of its own."""
     started = time.monotonic()
     spec = layout.FACT
-    require_not_empty(rows, spec.view)
     fact = row_key(rows) if keys == "stable" else rows
     partition_by: tuple[str, ...] = ()
     if partitioned:
@@ -173,15 +184,20 @@ def publish_fact(
         # Last, so that the ids come from the tasks that write them.
         fact = positional_key(fact)
     require_columns(fact, spec.view, {**spec.schema, **{name: "int" for name in partition_by}})
-    written = write_counted(fact, f"{target}/{spec.directory}", partition_by)
-    return _stored(fact, spec, target), TableMetrics(spec.view, written, time.monotonic() - started)
+    written = write_counted(fact, f"{folder}/{spec.directory}", partition_by)
+    if not written:
+        raise CheckFailed(f"{spec.view}: no rows")
+    return _stored(fact, spec, folder), TableMetrics(spec.view, written, time.monotonic() - started)
 
 
 def build_model(
     spark: SparkSession, sources: Sources, config: BuildConfig
 ) -> tuple[dict[str, DataFrame], list[TableMetrics]]:
-    """Dimensions first, written and read back, then the fact on top of them."""
-    feed, maps, target = sources.feed, sources.maps, config.target
+    """Dimensions first, written and read back, then the fact on top of them, then the maps.
+    Only then the build is published and its tables take the views' names."""
+    feed, maps = sources.feed, sources.maps
+    build = f"{layout.BUILD_PREFIX}{uuid.uuid4().hex}"
+    folder = f"{config.target}/{build}"
     if config.unknown_countries not in ("drop", "member"):
         raise ValueError(f"unknown_countries: {config.unknown_countries}")
     if config.fact_keys not in ("positional", "stable"):
@@ -203,7 +219,7 @@ def build_model(
         layout.DATE.view: partial(date_dimension, feed),
         layout.JUNK.view: partial(junk_dimension, maps.transport, layout.VISA_TYPES),
     }
-    tables, metrics = publish_dimensions(spark, builds, target)
+    tables, metrics = write_dimensions(spark, builds, folder)
     shared_ports = duplicate_keys(tables[layout.DEMOGRAPHICS.view], ["port_code"]).count()
     metrics = [
         replace(m, fanout_keys=shared_ports) if m.table == layout.DEMOGRAPHICS.view else m
@@ -217,14 +233,30 @@ def build_model(
         maps.country_members.write.parquet(path)
         dims = replace(dims, country_members=spark.read.parquet(path))
 
-    stored, measured = publish_fact(
-        fact_rows(feed, dims), target, config.fact_keys, config.partition_fact
+    stored, measured = write_fact(
+        fact_rows(feed, dims), folder, config.fact_keys, config.partition_fact
     )
     tables[layout.FACT.view] = stored
     metrics.append(measured)
+    if config.count_rejects:
+        metrics += reject_metrics(feed, dims)
+    if config.export_maps:
+        export_code_maps(maps, folder, config.map_delimiter)
+    publish(spark, config.target, build)
+    for view, df in tables.items():
+        df.createOrReplaceTempView(view)
     return tables, metrics
 
 
+def reject_metrics(feed: DataFrame, dims: Dimensions) -> list[TableMetrics]:
+    """Feed rows lost per lookup and in all, and rows without a day, which are kept."""
+    started = time.monotonic()
+    lost = {r["lookup_name"]: r["rejected_rows"] for r in fact_rejects(feed, dims).collect()}
+    lost["without_day"] = rows_without_day(feed)
+    seconds = time.monotonic() - started
+    return [TableMetrics(f"rejected:{name}", rows, seconds) for name, rows in lost.items()]
+
+
 def stored_dimensions(tables: dict[str, DataFrame]) -> Dimensions:
     """The dimensions of a written model, as the fact's lookups need them."""
     return Dimensions(
@@ -238,10 +270,10 @@ def stored_dimensions(tables: dict[str, DataFrame]) -> Dimensions:
 def load_model(spark: SparkSession, target: str) -> dict[str, DataFrame]:
     """Read a written model and register its tables under their view names."""
     register_day_function(spark)
-    tables = {}
+    tables, folder = {}, current_folder(spark, target)
     for spec in layout.TABLES:
         # A partitioned fact adds its partition columns to the declared ones.
-        df = spark.read.schema(spec.ddl).parquet(f"{target}/{spec.directory}")
+        df = spark.read.schema(spec.ddl).parquet(f"{folder}/{spec.directory}")
         df.createOrReplaceTempView(spec.view)
         tables[spec.view] = df
     return tables

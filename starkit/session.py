@@ -4,9 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
+T = TypeVar("T")
+
 # Session defaults; a caller's own settings win over them.
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -51,3 +57,11 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path under the scratch folder that no other call uses."""
     return f"{scratch_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def at_once(spark: SparkSession, tasks: list[Callable[[], T]]) -> list[T]:
+    """Run independent Spark work together, so that the last tasks of one job leave
+    no executor idle. Results come in the order of ``tasks``."""
+    wrapped = [inheritable_thread_target(spark)(task) for task in tasks]
+    with ThreadPoolExecutor(max_workers=max(1, len(tasks))) as pool:
+        return list(pool.map(lambda task: task(), wrapped))

@@ -5,11 +5,13 @@ from __future__ import annotations
 import re
 import time
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from starkit.operators.checks import require_columns, require_not_empty
+from starkit.session import at_once
 
 
 @dataclass(frozen=True)
@@ -56,17 +58,20 @@ def read_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
 
 
 def stage(spark: SparkSession, specs: list[SourceSpec]) -> dict[str, Staged]:
-    """Read, check and register every source under its view name."""
-    staged = {}
-    for spec in specs:
+    """Read and check all sources together, then register each under its view name."""
+
+    def checked(spec: SourceSpec) -> Staged:
         started = time.monotonic()
         df = read_source(spark, spec)
-        require_not_empty(df, spec.view)
         if spec.columns is not None:
             require_columns(df, spec.view, spec.columns)
-        df.createOrReplaceTempView(spec.view)
-        staged[spec.view] = Staged(df, time.monotonic() - started)
-    return staged
+        require_not_empty(df, spec.view)
+        return Staged(df, time.monotonic() - started)
+
+    staged = at_once(spark, [partial(checked, spec) for spec in specs])
+    for spec, source in zip(specs, staged):
+        source.df.createOrReplaceTempView(spec.view)
+    return {spec.view: source for spec, source in zip(specs, staged)}
 
 
 def normalize_column_names(df: DataFrame) -> DataFrame:

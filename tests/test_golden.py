@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 import fixture
 from starkit.__main__ import main
 from starkit.plans import layout, reports
-from starkit.plans.model import BuildConfig, load_model, run_build, stage_sources
+from starkit.plans.model import BuildConfig, current_folder, load_model, run_build, stage_sources
 from starkit.sources.mapfiles import read_code_map
 
 
@@ -58,11 +58,11 @@ def test_code_maps(spark, config):
 
 def test_exported_maps_read_back(spark, config, tables):
     exported = read_code_map(
-        spark, f"{config.target}/i94port.csv", "port_code string, port_name string, port_state string"
+        spark, f"{current_folder(spark, config.target)}/i94port.csv", "port_code string, port_name string, port_state string"
     )
     assert rows(exported) == rows(spark.table("map_port"))
     countries = read_code_map(
-        spark, f"{config.target}/i94cit_res.csv", "country_code string, country_name string"
+        spark, f"{current_folder(spark, config.target)}/i94cit_res.csv", "country_code string, country_name string"
     )
     assert ("403", "INVALID: STATELESS") in rows(countries)
 

@@ -2,6 +2,7 @@
 
 import re
 from collections import Counter
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,10 +14,10 @@ from starkit.operators.lookup import Lookup, reject_report, star_lookup
 from starkit.plans import reports
 from starkit.plans.model import load_model, stored_dimensions
 from starkit.plans.fact import fact_rows
+from workload.queries import QUERIES
 from workload.visits import model_for, sources_for
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = entry_module.queries()
 
 
 def plan_of(df):
@@ -133,6 +134,53 @@ def test_large_dimensions_fall_back_and_split_hot_keys(spark, no_broadcast, fano
     assert rejected == {"big": sum(v >= 4000 for v in values), "any": sum(v >= 4000 for v in values)}
 
 
+def test_two_large_lookups_by_one_hot_key_are_both_split(spark, no_broadcast):
+    """Two lookups on a key with a third of the rows, and a broadcast one between them."""
+    feed = spark.range(60_000).repartition(8).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5000).alias("x"),
+        (F.col("id") % 3).alias("y"),
+        F.sha2(F.col("id").cast("string"), 256).alias("payload"),
+    )
+    table = spark.range(4000).select(F.col("id").alias("k"), (F.col("id") * 10).alias("ref"))
+    nothing = spark.createDataFrame([(None, 1)], "k long, ref long")
+    few = F.broadcast(spark.range(3).select(F.col("id").alias("k"), F.col("id").alias("few")))
+    lookups = [
+        Lookup("one", table.union(nothing), {"k": F.col("x")}, {"ref": "one"}),
+        Lookup("few", few, {"k": F.col("y")}, {"few": "few"}),
+        Lookup("two", table.union(nothing), {"k": F.col("x")}, {"ref": "two"}),
+    ]
+    joined = star_lookup(feed, lookups)
+    plan = final_plan_of(joined)
+    assert plan.count("SortMergeJoin(skew=true)") == plan.count("SortMergeJoin") == 2
+    wanted = sum((7 if n % 3 == 0 else n % 5000) < 4000 for n in range(60_000))
+    assert joined.count() == wanted
+    report = reject_report(feed, lookups)
+    plan = final_plan_of(report)
+    assert plan.count("SortMergeJoin(skew=true)") == plan.count("SortMergeJoin") == 2
+    rejected = {r.lookup_name: r.rejected_rows for r in report.collect()}
+    assert rejected == {"one": 60_000 - wanted, "few": 0, "two": 60_000 - wanted, "any": 60_000 - wanted}
+
+
+def test_unknown_members_do_not_shuffle_the_feed(spark, tmp_path):
+    """A thousand stored codes and their members are known to be small."""
+    tables = load_model(spark, model_for(spark, SF_DIR))
+    codes = spark.range(1000).select(
+        F.col("id").cast("int").alias("country_code"),
+        F.col("id").cast("int").alias("country_id"),
+        F.concat(F.lit("country "), F.col("id")).alias("country_name"),
+    )
+    codes.write.parquet(str(tmp_path / "members"))
+    codes.select("country_id", "country_name").write.parquet(str(tmp_path / "countries"))
+    dims = replace(
+        stored_dimensions(tables),
+        country=spark.read.parquet(str(tmp_path / "countries")),
+        country_members=spark.read.parquet(str(tmp_path / "members")),
+    )
+    plan = final_plan_of(fact_rows(sources_for(spark, SF_DIR).feed, dims))
+    assert "SortMergeJoin" not in plan
+    assert not re.search(r"\bExchange\b", plan)
+
+
 def test_guard_splits_a_hot_key(spark, no_broadcast):
     """A third of the rows share a key that passes with one non-null value."""
     hot = F.col("id") % 3 == 0
