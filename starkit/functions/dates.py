@@ -23,7 +23,10 @@ def day_to_iso(offset: Column) -> Column:
 
 
 def register_day_function(spark: SparkSession) -> None:
-    """Make ``get_datetime(offset)`` available in SQL; Spark inlines its body."""
+    """Make ``get_datetime(offset)`` available in SQL; Spark inlines its body.
+
+    Fixed value: the function's name, which users' SQL relies on.
+    """
     spark.sql(
         f"""CREATE OR REPLACE TEMPORARY FUNCTION get_datetime(day_offset DOUBLE) RETURNS STRING
         RETURN concat(CAST(date_add(DATE'{EPOCH}', try_cast(day_offset AS INT)) AS STRING), 'T00:00:00')"""

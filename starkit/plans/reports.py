@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 from starkit.functions import percent
 from starkit.plans import layout
 
+# The names of result columns below (``visitor_amount``, ``arrival_day``, ``amount``,
+# ``citizenship``, ``city``, ``ratio``, ...) are fixed values that users' SQL relies on.
+
 Tables = dict[str, DataFrame]
 
 

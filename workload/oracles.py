@@ -10,11 +10,13 @@ _EPOCH = "DATE '1960-01-01'"
 _CTES: dict[str, tuple[list[str], str]] = {
     "visit": (
         [],
-        f"""SELECT CAST(s_nationkey AS VARCHAR) AS port, CAST(n_regionkey AS VARCHAR) AS addr,
+        f"""SELECT CASE WHEN l_linenumber = 6 AND l_quantity > 40 THEN 'ZZZ'
+                ELSE CAST(s_nationkey AS VARCHAR) END AS port, CAST(n_regionkey AS VARCHAR) AS addr,
             c_nationkey AS cit, s_nationkey AS res,
             CAST(date_diff('day', {_EPOCH}, CAST(l_shipdate AS DATE)) AS INTEGER) AS arrdate,
             CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 3 END AS visa,
-            CASE l_linestatus WHEN 'F' THEN 1 ELSE 2 END AS mode,
+            CASE WHEN l_linenumber = 7 THEN NULL WHEN l_linestatus = 'F' THEN 1 ELSE 2 END
+                AS mode,
             CAST(l_quantity AS INTEGER) AS age,
             CAST(year(l_shipdate) - l_quantity AS INTEGER) AS birth,
             o_orderpriority AS gender, CAST(l_linenumber AS VARCHAR) AS airline
@@ -50,11 +52,23 @@ _CTES: dict[str, tuple[list[str], str]] = {
             nullif(count(*) FILTER (c_mktsegment = 'MACHINERY'), 0) AS machinery
         FROM customer GROUP BY c_nationkey""",
     ),
+    "profile": (
+        ["city_whole"],
+        """SELECT * EXCLUDE (machinery), 0.5 AS age_part,
+            CASE WHEN c_nationkey % 9 <> 4 THEN machinery END AS machinery
+        FROM city_whole WHERE c_nationkey % 9 <> 4
+            OR coalesce(automobile, building, furniture, household) IS NOT NULL
+        UNION ALL BY NAME
+        SELECT c_nationkey, total, even, odd, overdrawn, wealthy, machinery, 0.7 AS age_part,
+            CAST(NULL AS BIGINT) AS automobile, CAST(NULL AS BIGINT) AS building,
+            CAST(NULL AS BIGINT) AS furniture, CAST(NULL AS BIGINT) AS household
+        FROM city_whole WHERE c_nationkey % 9 = 4 AND machinery IS NOT NULL""",
+    ),
     "demographics": (
-        ["place", "city_whole"],
-        """SELECT row_number() OVER (ORDER BY port_code) AS id, port_code,
+        ["place", "profile"],
+        """SELECT row_number() OVER (ORDER BY port_code, age_part) AS id, port_code,
             upper(n_name[1]) || lower(n_name[2:]) AS city, r_name AS state, state_code,
-            CAST(n_nationkey + 20.5 AS FLOAT) AS median_age,
+            CAST(n_nationkey + 20 + age_part AS FLOAT) AS median_age,
             even AS male_population, odd AS female_population, total AS total_population,
             overdrawn AS number_of_veterans, wealthy AS foreign_born,
             CAST(2 + (n_nationkey % 10) / 10.0 AS DOUBLE) AS average_household_size,
@@ -63,7 +77,7 @@ _CTES: dict[str, tuple[list[str], str]] = {
             machinery AS asian_population
         FROM place JOIN nation ON port_code = CAST(n_nationkey AS VARCHAR)
         JOIN region ON n_regionkey = r_regionkey
-        JOIN city_whole ON c_nationkey = n_nationkey""",
+        JOIN profile ON c_nationkey = n_nationkey WHERE n_nationkey % 12 <> 11""",
     ),
     "member": (
         [],
@@ -101,6 +115,19 @@ _CTES: dict[str, tuple[list[str], str]] = {
             AS transport_code, CASE l_linestatus WHEN 'F' THEN 'Air' ELSE 'Sea' END
             AS transport_type FROM lineitem)""",
     ),
+    "code_maps": (
+        [],
+        """SELECT 'map_cit_res' AS map_name, CAST(n_nationkey AS VARCHAR) AS code,
+            CASE WHEN n_name LIKE 'NATION\\_2%' ESCAPE '\\' THEN 'INVALID: ' ELSE '' END || n_name
+                AS label, CAST(NULL AS VARCHAR) AS state FROM nation
+        UNION ALL SELECT 'map_port', CAST(n_nationkey AS VARCHAR), n_name,
+            CAST(n_regionkey AS VARCHAR) FROM nation
+        UNION ALL SELECT 'map_addr', CAST(r_regionkey AS VARCHAR), r_name, NULL FROM region
+        UNION ALL SELECT DISTINCT 'map_transport_mode', CASE l_linestatus WHEN 'F' THEN '1' ELSE '2' END,
+            CASE l_linestatus WHEN 'F' THEN 'Air' ELSE 'Sea' END, NULL FROM lineitem
+        UNION ALL SELECT 'map_visa', code, label, NULL
+        FROM (VALUES ('1', 'Business'), ('2', 'Pleasure'), ('3', 'Student')) v(code, label)""",
+    ),
     "fact": (
         ["visit", "location", "junk", "country", "demographics"],
         """SELECT l.id AS arrival_location_id, v.arrdate AS arrival_date_id,
@@ -129,6 +156,8 @@ def _with(needed: list[str], body: str) -> str:
     for name in needed:
         add(name)
     parts = ", ".join(f"{name} AS ({_CTES[name][1]})" for name in ordered)
+    if body.startswith("WITH "):
+        return f"WITH {parts}, {body.removeprefix('WITH ')}"
     return f"WITH {parts} {body}"
 
 
@@ -188,7 +217,7 @@ def _model_rows() -> str:
 
 
 _PORT_MISS = "port NOT IN (SELECT port_code FROM location)"
-_JUNK_MISS = "(visa, mode) NOT IN (SELECT (visa_code, transport_code) FROM junk)"
+_JUNK_MISS = "mode IS NULL OR (visa, mode) NOT IN (SELECT (visa_code, transport_code) FROM junk)"
 _CIT_MISS = "cit NOT IN (SELECT country_id FROM country)"
 _RES_MISS = "res NOT IN (SELECT country_id FROM country)"
 _CITY_MISS = "port NOT IN (SELECT port_code FROM demographics)"
@@ -298,6 +327,30 @@ ORACLES: dict[str, str] = {
         FROM fact f {_CITIZEN_JOIN} JOIN country r ON f.country_id_residence = r.country_id
         GROUP BY c.country_name, r.country_name""",
     ),
+    "codemap_set": _with(
+        ["code_maps"],
+        "SELECT * FROM code_maps CROSS JOIN (VALUES ('built'), ('file')) o(origin)",
+    ),
+    "fact_partitioned": _with(
+        ["fact"],
+        f"""SELECT *, CAST(year({_EPOCH} + arrival_date_id) AS INTEGER) AS arrival_year,
+            CAST(month({_EPOCH} + arrival_date_id) AS INTEGER) AS arrival_month FROM fact""",
+    ),
+    "fact_positional": _with(
+        ["fact"], "SELECT *, count(*) AS fact_rows, count(*) AS fact_ids FROM fact GROUP BY ALL"
+    ),
+    "fact_unknown_member": _with(
+        ["visit", "location", "junk", "member", "demographics"],
+        """SELECT l.id AS arrival_location_id, v.arrdate AS arrival_date_id,
+            j.id AS visa_transport_id, c.country_id AS country_id_citizenship,
+            r.country_id AS country_id_residence, d.id AS arrlocation_demographics_id,
+            v.age AS immigrant_age, v.birth AS immigrant_birthyear,
+            v.gender AS immigrant_gender, v.airline
+        FROM visit v JOIN location l ON l.port_code = v.port
+        JOIN junk j ON v.visa = j.visa_code AND v.mode = j.transport_code
+        JOIN member c ON c.code = v.cit JOIN member r ON r.code = v.res
+        JOIN demographics d ON d.port_code = v.port""",
+    ),
     "fact_rejects_by_lookup": _with(
         ["fact"],
         " UNION ALL ".join(
@@ -322,42 +375,59 @@ ORACLES: dict[str, str] = {
         FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_mktsegment""",
     "report_top_locations": _with(
         ["fact"],
-        f"""SELECT port_name AS city, count(*) AS visitor_amount FROM fact f {_LOCATION_JOIN}
-        GROUP BY port_name ORDER BY 2 DESC, 1 LIMIT 5""",
+        """WITH counted AS (SELECT arrival_location_id AS id, count(*) AS n FROM fact GROUP BY 1)
+        SELECT port_name AS city, CAST(sum(n) AS BIGINT) AS visitor_amount
+        FROM counted JOIN location USING (id)
+        GROUP BY city ORDER BY visitor_amount DESC, city LIMIT 5""",
     ),
     "report_busiest_weekday": _with(
         ["fact", "calendar"],
-        f"""SELECT dayofweek_name AS arrival_day, port_name AS city, count(*) AS visitor_amount
-        FROM fact f {_LOCATION_JOIN} AND l.port_name = 'NATION_9'
-        {_DATE_JOIN} AND d.month = 4 AND d.year = 1998
-        GROUP BY port_name, dayofweek_name ORDER BY 3 DESC, 1, 2 LIMIT 1""",
+        """WITH april AS (SELECT * FROM calendar WHERE year = 1998 AND month = 4),
+        ports AS (SELECT id, port_name FROM location WHERE port_name = 'NATION_9')
+        SELECT dayofweek_name AS arrival_day, port_name AS city, count(*) AS visitor_amount
+        FROM april JOIN fact ON arrdate = arrival_date_id JOIN ports ON id = arrival_location_id
+        GROUP BY ALL ORDER BY visitor_amount DESC, arrival_day LIMIT 1""",
     ),
     "report_top_origins": _with(
         ["fact"],
-        f"""SELECT country_name, count(*) AS visitor_amount FROM fact f {_CITIZEN_JOIN}
-        GROUP BY country_name ORDER BY 2 DESC, 1 LIMIT 5""",
+        """WITH counted AS (
+            SELECT country_id_citizenship AS country_id, count(*) AS n FROM fact GROUP BY 1)
+        SELECT country_name, n AS visitor_amount FROM counted JOIN country USING (country_id)
+        ORDER BY n DESC, country_name LIMIT 5""",
     ),
     "report_top_locations_for_origin": _with(
         ["fact"],
-        f"""SELECT port_name AS city, count(*) AS visitor_amount
-        FROM fact f {_CITIZEN_JOIN} AND c.country_name = 'NATION_7' {_LOCATION_JOIN}
-        GROUP BY port_name ORDER BY 2 DESC, 1 LIMIT 5""",
+        """WITH counted AS (
+            SELECT arrival_location_id AS id, count(*) AS n FROM fact
+            WHERE country_id_citizenship IN (
+                SELECT country_id FROM country WHERE country_name = 'NATION_7') GROUP BY 1)
+        SELECT port_name AS city, CAST(sum(n) AS BIGINT) AS visitor_amount
+        FROM counted JOIN location USING (id)
+        GROUP BY city ORDER BY visitor_amount DESC, city LIMIT 5""",
     ),
     "report_origin_vs_share": _with(
         ["fact"],
-        f"""SELECT citizenship, city, amount_visitor, round(share, 2) AS ratio FROM (
-            SELECT c.country_name AS citizenship, l.port_name AS city,
-                count(*) AS amount_visitor,
-                (CAST(g.asian_population AS DOUBLE) / nullif(g.total_population, 0)) * 100 AS share
-            FROM fact f {_CITIZEN_JOIN} AND c.country_name = 'NATION_7' {_LOCATION_JOIN}
-            JOIN demographics g ON f.arrlocation_demographics_id = g.id
-            GROUP BY 1, 2, 4 ORDER BY 3 DESC, 1, 2, 4 NULLS FIRST LIMIT 5)""",
+        """WITH shares AS (
+            SELECT id AS profile, 100 * (CAST(asian_population AS DOUBLE)
+                / nullif(total_population, 0)) AS share FROM demographics),
+        counted AS (
+            SELECT arrival_location_id AS id, arrlocation_demographics_id AS profile,
+                count(*) AS n FROM fact
+            WHERE country_id_citizenship IN (
+                SELECT country_id FROM country WHERE country_name = 'NATION_7') GROUP BY ALL),
+        summed AS (
+            SELECT port_name AS city, share, CAST(sum(n) AS BIGINT) AS amount_visitor
+            FROM counted JOIN location USING (id) JOIN shares USING (profile) GROUP BY ALL)
+        SELECT 'NATION_7' AS citizenship, city, amount_visitor, round(share, 2) AS ratio
+        FROM summed ORDER BY amount_visitor DESC, city, share NULLS FIRST LIMIT 5""",
     ),
     "report_top_locations_by_purpose": _with(
         ["fact"],
-        f"""SELECT visa_type, port_name AS city, count(*) AS amount
-        FROM fact f {_JUNK_JOIN} AND visa_type IN ('Student') {_LOCATION_JOIN}
-        GROUP BY visa_type, port_name ORDER BY 3 DESC, 1, 2 LIMIT 5""",
+        """WITH purposes AS (SELECT id, visa_type FROM junk WHERE visa_type = 'Student')
+        SELECT visa_type, port_name AS city, count(*) AS amount
+        FROM purposes JOIN fact ON purposes.id = visa_transport_id
+        JOIN location ON location.id = arrival_location_id
+        GROUP BY ALL ORDER BY amount DESC, city LIMIT 5""",
     ),
     "report_share_correlation": _with(
         ["fact"],

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,15 +24,15 @@ from starkit.operators.guards import duplicate_keys, unique_guard, unique_guard_
 from starkit.operators.keys import dense_key, dense_row_key, row_key
 from starkit.operators.pivot import pivot_sum
 from starkit.plans import dimensions, layout, reports
-from starkit.plans.codemaps import cluster_unknown
+from starkit.plans.codemaps import cluster_unknown, export_code_maps
 from starkit.plans.fact import fact_rejects, fact_rows
-from starkit.plans.model import load_model, stored_dimensions
+from starkit.plans.model import build_model, load_model, stored_dimensions, write_fact
 from starkit.plans.sqltables import SqlTable, build_sql_tables
 from starkit.session import scratch_path
 from starkit.sources.labels import literal_map, parse_sections, read_label_texts
 from starkit.sources.mapfiles import read_code_map, write_code_map
 from starkit.sources.staging import SourceSpec, normalize_column_names, read_source, stage
-from workload.visits import model_for, sources_for, table, transport_labels
+from workload.visits import config_for, model_for, sources_for, table, transport_labels
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -333,6 +335,55 @@ def fact_star_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return row_key(fact_lookup_rows(spark, sf_dir))
 
 
+def codemap_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All entries of the five code maps, as built and as read back from their files."""
+    maps = sources_for(spark, sf_dir).maps
+    folder = scratch_path(spark, "code-maps")
+    export_code_maps(maps, folder, "|")
+    parts = []
+    for spec, built in maps.exported.items():
+        schema = ", ".join(f"{name} string" for name in spec.columns)
+        read = read_code_map(spark, f"{folder}/{spec.file}", schema, "|")
+        for origin, df in (("built", built), ("file", read)):
+            code, label, *state = spec.columns
+            parts.append(
+                df.select(
+                    F.lit(spec.view).alias("map_name"),
+                    F.col(code).alias("code"),
+                    F.col(label).alias("label"),
+                    (F.col(state[0]) if state else F.lit(None).cast("string")).alias("state"),
+                    F.lit(origin).alias("origin"),
+                )
+            )
+    return reduce(DataFrame.union, parts)
+
+
+def _written_fact(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+    stored, _ = write_fact(fact_lookup_rows(spark, sf_dir), scratch_path(spark, "fact"), **options)
+    return stored
+
+
+def fact_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact as it is stored by year and month of arrival."""
+    return _written_fact(spark, sf_dir, partitioned=True).drop("id")
+
+
+def fact_positional(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Equal fact rows, and how many different ids they got."""
+    stored = _written_fact(spark, sf_dir)
+    values = [name for name in stored.columns if name != "id"]
+    return stored.groupBy(*values).agg(
+        F.count(F.lit(1)).alias("fact_rows"), F.count_distinct("id").alias("fact_ids")
+    )
+
+
+def fact_unknown_member(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact of a model whose unknown countries share one member."""
+    config = replace(config_for(scratch_path(spark, "members")), unknown_countries="member")
+    tables, _ = build_model(spark, sources_for(spark, sf_dir), config)
+    return tables[layout.FACT.view].drop("id")
+
+
 def fact_role_playing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.by_origin_pair(_model(spark, sf_dir))
 
@@ -411,6 +462,7 @@ QUERIES: dict[str, Query] = {
     "codemap_parse": codemap_parse,
     "codemap_literal": codemap_literal,
     "codemap_csv_roundtrip": codemap_csv_roundtrip,
+    "codemap_set": codemap_set,
     "split_place_label": split_place_label,
     "cluster_unknown": cluster_unknown_labels,
     "drop_nulls": drop_nulls,
@@ -437,6 +489,9 @@ QUERIES: dict[str, Query] = {
     "surrogate_key_copies": surrogate_key_copies,
     "fact_lookup_rows": fact_lookup_rows,
     "fact_star_join": fact_star_join,
+    "fact_partitioned": fact_partitioned,
+    "fact_positional": fact_positional,
+    "fact_unknown_member": fact_unknown_member,
     "fact_role_playing": fact_role_playing,
     "fact_rejects_by_lookup": fact_rejects_by_lookup,
     "check_not_empty": check_not_empty,

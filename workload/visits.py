@@ -1,7 +1,9 @@
 """Stand-in sources for the star, derived from the test tables by Spark.
 
 A visit is a line item: its supplier's nation is the port and the residence, its
-customer's nation the citizenship, its ship date the arrival.
+customer's nation the citizenship, its ship date the arrival. Some ports are unknown,
+some modes are missing, some ports have no city, and some cities have two profiles, so
+that every lookup loses rows and the fact fans out.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ SEGMENT_GROUPS = {
     "HOUSEHOLD": "American Indian and Alaska Native",
     "MACHINERY": "Asian",
 }
+UNKNOWN_PORT = "ZZZ"
 DEMOGRAPHICS_SCHEMA = ", ".join(
     f"`{name}` string"
     for name in (
@@ -55,7 +58,9 @@ def visit_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(home, F.col("c_nationkey") == F.col("n_nationkey"))
         .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
         .select(
-            _text("s_nationkey").alias(layout.PORT),
+            F.when((F.col("l_linenumber") == 6) & (F.col("l_quantity") > 40), UNKNOWN_PORT)
+            .otherwise(_text("s_nationkey"))
+            .alias(layout.PORT),
             _text("n_regionkey").alias(layout.STATE),
             F.col("c_nationkey").cast("double").alias(layout.CITIZENSHIP),
             F.col("s_nationkey").cast("double").alias(layout.RESIDENCE),
@@ -64,7 +69,10 @@ def visit_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(F.col("l_returnflag") == "N", 2.0)
             .otherwise(3.0)
             .alias(layout.VISA),
-            F.when(F.col("l_linestatus") == "F", 1.0).otherwise(2.0).alias(layout.TRANSPORT),
+            F.when(F.col("l_linenumber") == 7, None)
+            .when(F.col("l_linestatus") == "F", 1.0)
+            .otherwise(2.0)
+            .alias(layout.TRANSPORT),
             F.col("l_quantity").alias(layout.AGE),
             (F.year(ship_day) - F.col("l_quantity")).alias(layout.BIRTH_YEAR),
             F.col("o_orderpriority").alias(layout.GENDER),
@@ -74,7 +82,10 @@ def visit_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def city_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per nation and customer segment, all columns as text."""
+    """One row per nation and customer segment, all columns as text.
+
+    One nation in twelve has no row; in one of nine, a group has a median age of its own.
+    """
     customers = table(spark, sf_dir, "customer")
     nations = table(spark, sf_dir, "nation").join(
         table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
@@ -91,16 +102,20 @@ def city_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         SEGMENT_GROUPS.items(),
         F,
     )
-    segments = customers.groupBy("c_nationkey", group.alias("Race")).agg(
-        F.count(F.lit(1)).cast("string").alias("Count")
+    segments = (
+        customers.filter(F.col("c_nationkey") % 12 != 11)
+        .groupBy("c_nationkey", group.alias("Race"))
+        .agg(F.count(F.lit(1)).cast("string").alias("Count"))
     )
+    apart = (F.col("n_nationkey") % 9 == 4) & (F.col("Race") == "Asian")
+    age_part = F.when(apart, ".7").otherwise(".5")
     return (
         segments.join(whole, "c_nationkey")
         .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
         .select(
             F.initcap("n_name").alias("City"),
             F.col("r_name").alias("State"),
-            F.concat((F.col("n_nationkey") + 20).cast("string"), F.lit(".5")).alias("Median Age"),
+            F.concat((F.col("n_nationkey") + 20).cast("string"), age_part).alias("Median Age"),
             _text("even").alias("Male Population"),
             _text("odd").alias("Female Population"),
             _text("total").alias("Total Population"),
