@@ -1,7 +1,9 @@
 """Toxicity: a linear classifier on character n-grams scaled by log-count ratios.
 
 For each n-gram, r is the logarithm of how much more often toxic training texts hold it
-than others (naive Bayes). These counts cover every labelled training row. A text is the
+than others (naive Bayes), or zero where the counts do not tell the classes apart: the
+rare n-grams of single texts would teach the regression those texts. These counts cover
+every labelled training row. A text is the
 vector of r over the n-grams it holds, scaled to unit length, and a logistic regression
 on a bounded sample of labelled rows weighs them.
 """
@@ -26,6 +28,8 @@ SAMPLE_ROWS = 4000
 # Labels that are broadcast at most (16 bytes each); more are joined by a shuffle.
 BROADCAST_LABELS = 1_000_000
 SMOOTHING = 1.0
+# A ratio counts if it is so many standard errors from zero.
+CERTAINTY = 3.0
 PENALTY = 1e-4
 STEPS = 300
 
@@ -82,9 +86,12 @@ def class_counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return found[:, :-1], found[:, -1]
 
 
-def log_count_ratios(counts: np.ndarray) -> np.ndarray:
+def log_count_ratios(counts: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """From the rows of each class (clean, toxic) with each feature, and the rows of each."""
     clean, toxic = counts + SMOOTHING
-    return np.log(toxic / toxic.sum()) - np.log(clean / clean.sum())
+    most = rows + 2 * SMOOTHING
+    ratios = np.log(toxic / most[1]) - np.log(clean / most[0])
+    return np.where(np.abs(ratios) > CERTAINTY * np.sqrt(1 / clean + 1 / toxic), ratios, 0.0)
 
 
 def fit(examples: list[tuple[np.ndarray, int]], ratios: np.ndarray, share: float) -> ToxicityModel:
@@ -120,7 +127,7 @@ def train(rows: DataFrame, bound: int = SAMPLE_ROWS) -> ToxicityModel:
     learned from. Other labels teach nothing; without rows every score is a half."""
     rows = rows.filter(F.col("toxic").isin(0, 1))
     counts, classes = class_counts(rows)
-    ratios = log_count_ratios(counts)
+    ratios = log_count_ratios(counts, classes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):

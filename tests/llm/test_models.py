@@ -106,7 +106,7 @@ def test_ratios_and_regression_find_the_insults():
     examples = [(presence(letters(text), toxicity.SPEC), label) for text, label in zip(texts, labels)]
     for present, label in examples:
         found[label, present] += 1
-    ratios = toxicity.log_count_ratios(found)
+    ratios = toxicity.log_count_ratios(found, np.array([240, 60]))
     model = toxicity.fit(examples, ratios, 0.2)
     assert model.score("the scoundrel sat in the garden by the river") > 0.5 > model.score(" ".join(plain))
     assert 0 <= model.score("") == model.score(None) <= 1
@@ -184,9 +184,13 @@ def brute_force_nearest(rows, queries, k):
             asking[i] = min(asking.get(i, tuple(v)), tuple(v))
     found = []
     for q, v in asking.items():
-        scores = [
-            (-sum(a * b for a, b in zip(v, w)), i) for i, w in candidates if i != q and len(w) == len(v)
-        ]
+        scores = []
+        for i, w in candidates:
+            if i != q and len(w) == len(v):
+                total = 0.0  # in order; sum() would compensate for rounding
+                for a, b in zip(v, w):
+                    total += a * b
+                scores.append((-total, i))
         found += [(q, rank, i, -s) for rank, (s, i) in enumerate(sorted(scores)[:k], 1)]
     return sorted(found)
 
