@@ -116,17 +116,15 @@ def host_verdicts(rated: DataFrame) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n_docs"), F.count_if("failed").alias("n_failed"))
         .withColumn("rate", F.col("n_failed") / F.col("n_docs"))
     )
+    # Stored, since both the prior and the verdicts read it and it comes from all texts.
+    hosts = stored(hosts, "host-counts")
     mean, spread = F.avg("rate"), F.var_pop("rate")
     strength = F.when(spread > 0, mean * (1 - mean) / spread - 1).otherwise(MOST_STRENGTH)
-    prior = hosts.agg(
-        mean.alias("mean"),
-        F.least(F.greatest(strength, F.lit(LEAST_STRENGTH)), F.lit(MOST_STRENGTH)).alias("strength"),
-    )
-    shrunk = (F.col("n_failed") + F.col("mean") * F.col("strength")) / (
-        F.col("n_docs") + F.col("strength")
-    )
-    # One row of prior meets every host.
-    return hosts.join(F.broadcast(prior)).select(
+    strength = F.least(F.greatest(strength, F.lit(LEAST_STRENGTH)), F.lit(MOST_STRENGTH))
+    prior = hosts.agg(mean.alias("mean"), strength.alias("strength")).first()
+    failures, documents = (prior["mean"] or 0.0) * prior["strength"], prior["strength"]
+    shrunk = (F.col("n_failed") + failures) / (F.col("n_docs") + documents)
+    return hosts.select(
         "host",
         "n_docs",
         "n_failed",
