@@ -236,8 +236,10 @@ def linked(
 ) -> DataFrame:
     """Links ``(node, other)`` that connect all fingerprints within ``distance``, directly or
     through others, from distinct ``prints(fingerprint)``."""
-    indexed = prints.select("fingerprint", F.explode(variants(F.col("fingerprint"), distance)).alias("variant"))
     tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Fingerprints are small to read, but each becomes 64 variants: spread that work.
+    spread = prints.select("fingerprint").repartition(tasks, "fingerprint")
+    indexed = spread.select("fingerprint", F.explode(variants(F.col("fingerprint"), distance)).alias("variant"))
     dealt = indexed.select("variant", "fingerprint").repartition(tasks, "variant")
     found = stored(
         links_of_buckets(dealt.sortWithinPartitions("variant", "fingerprint"), distance, limit), "bucket-links"
