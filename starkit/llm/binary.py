@@ -3,8 +3,8 @@
 Pieces are packed by best-fit decreasing. The open sequences of a group are counted by
 the room they have left, and a segment tree over the rooms 0..capacity finds the smallest
 room that is large enough in a number of steps that grows with the logarithm of the
-capacity alone. Groups are dealt by hash and hold a few ten thousand pieces, so each is
-a task's small work, and a group's last sequence is all that it can lose.
+capacity alone. Groups are dealt by hash and hold some megabytes of text each, so each is
+a task's small work, and about a sequence is all that a group can lose.
 
 A shard is one row: an id matrix (rows x capacity), the cumulative segment lengths of
 each row, and the position of each id in its segment, all little-endian bytes.
@@ -12,19 +12,16 @@ each row, and the position of each id in its segment, all little-endian bytes.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starkit.llm.bpe import loaded, vocabulary
-from starkit.llm.common import slices, stored
 from starkit.llm.pieces import CAPACITY, cut_documents
 
-GROUP_PIECES = 32_768
+# Text of one group, on average.
+GROUP_BYTES = 24 << 20
 # Fills the matrix behind a sequence's last id; never inside a segment.
 PAD_ID = 0
 
@@ -78,109 +75,89 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> np.ndarray:
     return sequences
 
 
-def pack_decreasing(
-    items: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_PIECES
-) -> DataFrame:
-    """``(item, sequence_id, offset)`` for ``items(item, length)``, by best-fit decreasing.
-
-    ``item`` is unique and ``length`` from 1 to ``capacity``. The same items give the same
-    packing. No item gives no row.
-    """
-    groups = max(1, -(-items.count() // group_pieces))
-
-    def packed(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("item", ignore_index=True)
-        lengths = frame["length"].to_numpy(np.int64)
-        sequences = best_fit_decreasing(lengths, capacity)
-        order = np.argsort(sequences, kind="stable")
-        sizes, bins = lengths[order], sequences[order]
-        before = np.cumsum(sizes) - sizes
-        starts = np.searchsorted(bins, np.arange(bins[-1] + 1))
-        return pd.DataFrame(
-            {
-                "item": frame["item"].to_numpy()[order],
-                "sequence_id": (int(key[0]) << _BIN_BITS) | bins,
-                "offset": before - before[starts][bins],
-            }
+def laid_out(
+    frame: pd.DataFrame, group: int, capacity: int, pad_id: int, id_type: np.dtype
+) -> pd.DataFrame:
+    """The pieces ``(item, doc_id, no_id, piece, length, ids)`` of a group, packed into rows."""
+    frame = frame.sort_values("item", ignore_index=True)
+    sequences = best_fit_decreasing(frame["length"].to_numpy(np.int64), capacity)
+    position = np.dtype("<u2" if capacity <= 1 << 16 else "<u4")
+    ids_of = frame["doc_id"].astype(object).where(~frame["no_id"], None)
+    doc_ids, pieces = ids_of.tolist(), frame["piece"].tolist()
+    data, rows = frame["ids"].tolist(), []
+    order = np.argsort(sequences, kind="stable")
+    cuts = np.flatnonzero(np.diff(sequences[order])) + 1
+    for number, members in enumerate(np.split(order, cuts)):
+        members = members.tolist()
+        ids = np.frombuffer(b"".join(data[m] for m in members), id_type)
+        sizes = [len(data[m]) // id_type.itemsize for m in members]
+        ends = np.cumsum([0, *sizes]).astype("<i4")
+        sizes.append(capacity - len(ids))
+        row = np.full(capacity, pad_id, id_type)
+        row[: len(ids)] = ids
+        rows.append(
+            (
+                group << _BIN_BITS | number,
+                len(ids),
+                len(members),
+                [doc_ids[m] for m in members],
+                [pieces[m] for m in members],
+                row.tobytes(),
+                ends.tobytes(),
+                np.concatenate([np.arange(size, dtype=position) for size in sizes]).tobytes(),
+            )
         )
+    return pd.DataFrame(rows, columns=_NAMES)
 
-    group = F.pmod(F.xxhash64("item"), F.lit(groups)).alias("group_id")
-    dealt = items.select("item", "length", group)
-    tasks = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (
-        dealt.repartition(tasks, "group_id")
-        .groupBy("group_id")
-        .applyInPandas(packed, "item bigint, sequence_id bigint, offset bigint")
-    )
+
+_NAMES = ["sequence_id", "n_tokens", "n_segments", "doc_ids", "pieces"]
+_NAMES += ["ids", "cu_seqlens", "position_ids"]
+_SCHEMA = (
+    "sequence_id bigint, n_tokens bigint, n_segments bigint, doc_ids array<bigint>, "
+    "pieces array<int>, ids binary, cu_seqlens binary, position_ids binary"
+)
 
 
 def matrices(
-    docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, pad_id: int = PAD_ID
+    docs: DataFrame,
+    tokenizer_path: str,
+    capacity: int = CAPACITY,
+    pad_id: int = PAD_ID,
+    group_bytes: int = GROUP_BYTES,
 ) -> DataFrame:
     """One row per sequence, ready to be laid under one another as a matrix.
 
     ``(sequence_id, n_tokens, n_segments, doc_ids array<bigint>, pieces array<int>, ids,
     cu_seqlens, position_ids)``. ``ids`` is a matrix row of ``capacity`` unsigned ids,
-    16 bits wide where the vocabulary allows and else 32, padded with ``pad_id``; ``cu_seqlens`` are 0 and the signed 32-bit ends of the segments;
-    ``position_ids`` are unsigned 16-bit (32-bit for a longer capacity) and start again
-    from 0 with every segment, padding included. Nothing is lost: a long document is cut
-    into pieces, each a segment with its document and number. An empty or null text is
-    one segment of the end id; repeated rows are segments of their own; an empty table
-    gives no rows.
+    16 bits wide where the vocabulary allows and else 32, padded with ``pad_id``;
+    ``cu_seqlens`` are 0 and the signed 32-bit ends of the segments; ``position_ids`` are
+    unsigned 16-bit (32-bit for a longer capacity) and start again from 0 with every
+    segment, padding included. Nothing is lost: a long document is cut into pieces, each a
+    segment with its document and number. An empty or null text is one segment of the end
+    id; repeated rows are segments of their own; an empty table gives no rows.
+
+    Ids are shuffled once: the pieces of a group are packed and laid where they meet.
     """
-    pieces = stored(
-        cut_documents(docs, tokenizer_path, capacity, with_ids=True).withColumn(
-            "item", F.monotonically_increasing_id()
-        ),
-        "id-pieces",
-    )
-    placed = pieces.join(pack_decreasing(pieces.select("item", "length"), capacity), "item")
     id_type = loaded(vocabulary(docs.sparkSession, tokenizer_path).value).dtype
-    position = np.dtype("<u2" if capacity <= 1 << 16 else "<u4")
+    # A document without text counts as well, since it is an id.
+    size = F.coalesce(F.octet_length(F.col("text").cast("string")), F.lit(0)) + 8
+    total = docs.agg(F.sum(size)).first()[0] or 0
+    groups = max(1, -(-total // group_bytes))
+    pieces = cut_documents(docs, tokenizer_path, capacity, with_ids=True).select(
+        F.monotonically_increasing_id().alias("item"),
+        # pandas has no missing integers, only floats that round large ids.
+        F.coalesce("doc_id", F.lit(0)).alias("doc_id"),
+        F.col("doc_id").isNull().alias("no_id"),
+        "piece",
+        "length",
+        "ids",
+    )
+    dealt = pieces.withColumn("group_id", F.pmod(F.xxhash64("item"), F.lit(groups)))
 
-    def laid(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            rows: list[tuple] = []
-            for sequence, segments in zip(
-                batch["sequence_id"].to_pylist(), batch["segments"].to_pylist()
-            ):
-                ids = np.frombuffer(b"".join(s["ids"] for s in segments), id_type)
-                sizes = [s["length"] for s in segments] + [capacity - len(ids)]
-                ends = np.cumsum([0, *sizes[:-1]]).astype("<i4")
-                positions = np.concatenate([np.arange(size, dtype=position) for size in sizes])
-                row = np.full(capacity, pad_id, id_type)
-                row[: len(ids)] = ids
-                rows.append(
-                    (
-                        sequence,
-                        len(ids),
-                        len(segments),
-                        [s["doc_id"] for s in segments],
-                        [s["piece"] for s in segments],
-                        row.tobytes(),
-                        ends.tobytes(),
-                        positions.tobytes(),
-                    )
-                )
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 8, types)], names=names
-            )
+    def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        return laid_out(frame, int(key[0]), capacity, pad_id, id_type)
 
-    names = ["sequence_id", "n_tokens", "n_segments", "doc_ids", "pieces", "ids"]
-    names += ["cu_seqlens", "position_ids"]
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32())]
-    types += [pa.binary()] * 3
-    # A sequence holds at most ``capacity`` ids, so this group is bounded.
-    segments = F.sort_array(F.collect_list(F.struct("offset", "doc_id", "piece", "length", "ids")))
-    return (
-        placed.groupBy("sequence_id")
-        .agg(segments.alias("segments"))
-        .mapInArrow(
-            laid,
-            "sequence_id bigint, n_tokens bigint, n_segments bigint, doc_ids array<bigint>, "
-            "pieces array<int>, ids binary, cu_seqlens binary, position_ids binary",
-        )
-    )
+    return dealt.groupBy("group_id").applyInPandas(run, _SCHEMA)
 
 
 def write_matrices(rows: DataFrame, path: str) -> None:
