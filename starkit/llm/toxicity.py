@@ -103,7 +103,7 @@ def fit(examples: list[tuple[np.ndarray, int]], ratios: np.ndarray, share: float
     vectors = [scaled(present, ratios) for present, _ in examples]
     features = np.concatenate([present for present, _ in examples])
     values = np.concatenate(vectors)
-    row = np.repeat(np.arange(len(examples)), [len(vector) for vector in vectors])
+    row = np.repeat(np.arange(len(examples), dtype=np.int32), [len(vector) for vector in vectors])
     labels = np.array([label for _, label in examples], float)
     used, column = np.unique(features, return_inverse=True)
     weights, bias = np.zeros(len(used)), 0.0
@@ -128,13 +128,15 @@ def train(rows: DataFrame, bound: int = SAMPLE_ROWS) -> ToxicityModel:
     rows = rows.filter(F.col("toxic").isin(0, 1))
     counts, classes = class_counts(rows)
     ratios = log_count_ratios(counts, classes)
+    shared = rows.sparkSession.sparkContext.broadcast(ratios != 0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            found = [
-                presence(letters(text), SPEC).astype(np.int32).tobytes()
-                for text in batch["text"].to_pylist()
-            ]
+            found = []
+            for text in batch["text"].to_pylist():
+                present = presence(letters(text), SPEC)
+                # A feature without a ratio cannot change the regression.
+                found.append(present[shared.value[present]].astype(np.int32).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [batch["toxic"], batch["order"], pa.array(found, pa.binary())],
                 names=["toxic", "order", "features"],
