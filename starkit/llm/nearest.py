@@ -4,7 +4,7 @@ Vectors are laid in blocks with an 8-bit copy, its scale, and the length of the
 quantisation error. A task gets a block of queries and a block of candidates. The product
 of their 8-bit tiles gives every inner product up to a bound, since
 |x.y - x'.y'| <= |x - x'| |y| + |x'| |y - y'|. Pairs whose upper bound reaches the k-th best
-lower bound of their query survive and are computed from the original vectors; every
+lower bound of their query, or the k-th score found before, survive and are computed from the original vectors; every
 other pair is proven not to be among the k nearest. A heap per query merges the tiles.
 """
 
@@ -105,8 +105,11 @@ def inner_products(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     return total
 
 
-def survivors(queries: Block, candidates: Block, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs that may be among the k nearest of their query within these two blocks."""
+def survivors(
+    queries: Block, candidates: Block, k: int, floor: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs that may be among the k nearest of their query: their upper bound reaches the
+    k-th lower bound of these blocks and ``floor``, the k-th score found before."""
     dim = queries.tile.shape[1]
     exact = np.float32 if 127 * 127 * dim < 1 << 24 else np.float64  # holds the sums exactly
     product = (queries.tile.astype(exact) @ candidates.tile.astype(exact).T).astype(np.float64)
@@ -117,32 +120,33 @@ def survivors(queries: Block, candidates: Block, k: int) -> tuple[np.ndarray, np
     # What floating-point rounding may add.
     bound += 1e-12 * dim * np.outer(queries.lengths, candidates.lengths)
     own = queries.ids[:, None] == candidates.ids[None, :]
-    lower = np.where(own, -np.inf, product - bound)
-    if lower.shape[1] > k:
-        least = np.partition(lower, -k, axis=1)[:, -k]
+    if product.shape[1] > k:
+        lower = np.where(own, -np.inf, product - bound)
+        floor = np.maximum(floor, np.partition(lower, -k, axis=1)[:, -k])
+    return np.nonzero((product + bound >= floor[:, None]) & ~own)
+
+
+Heap = list[tuple[float, int]]
+
+
+def _push(heap: Heap, score: float, vec_id: int, k: int) -> None:
+    """Keep the k best; of equal scores the smaller ids."""
+    if len(heap) < k:
+        heapq.heappush(heap, (score, -vec_id))
     else:
-        least = np.full(len(queries.ids), -np.inf)
-    return np.nonzero((product + bound >= least[:, None]) & ~own)
+        heapq.heappushpop(heap, (score, -vec_id))
 
 
-def _nearest_in_tile(queries: Block, candidates: Block, k: int) -> pa.RecordBatch:
-    first, second = survivors(queries, candidates, k)
-    scores = np.empty(len(first))
+def _search_tile(queries: Block, candidates: Block, k: int, heaps: list[Heap]) -> None:
+    floor = np.array([heap[0][0] if len(heap) == k else -np.inf for heap in heaps])
+    first, second = survivors(queries, candidates, k, floor)
     for begin in range(0, len(first), _PAIRS):
         part = slice(begin, begin + _PAIRS)
-        scores[part] = inner_products(queries.vectors[first[part]], candidates.vectors[second[part]])
-    order = np.lexsort([candidates.ids[second], -scores, first])
-    first, second, scores = first[order], second[order], scores[order]
-    rank = np.arange(len(first)) - np.searchsorted(first, first)
-    found = rank < k
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(queries.ids[first[found]]),
-            pa.array(candidates.ids[second[found]]),
-            pa.array(scores[found]),
-        ],
-        names=["query_id", "vec_id", "score"],
-    )
+        asked, offered = first[part], second[part]
+        scores = inner_products(queries.vectors[asked], candidates.vectors[offered])
+        rows = zip(asked.tolist(), candidates.ids[offered].tolist(), scores.tolist())
+        for place, vec_id, score in rows:
+            _push(heaps[place], score, vec_id, k)
 
 
 def _merged(tiles: DataFrame, k: int) -> DataFrame:
@@ -161,10 +165,7 @@ def _merged(tiles: DataFrame, k: int) -> DataFrame:
                 if query_id != query:
                     rows += ranked()
                     query, heap = query_id, []
-                if len(heap) < k:
-                    heapq.heappush(heap, (score, -vec_id))
-                else:
-                    heapq.heappushpop(heap, (score, -vec_id))
+                _push(heap, score, vec_id, k)
             yield _rows(rows)
         yield _rows(ranked())
 
@@ -211,26 +212,49 @@ def nearest(
     left = stored(_blocks(stored(asking, "queries"), query_block), "query-blocks")
     right = stored(_blocks(stored(candidates, "candidates"), candidate_block), "candidate-blocks")
     names = ["ids", "vectors", "tile", "scales", "errors"]
-    left_numbers = left.groupBy("dim").agg(F.count(F.lit(1)).alias("q_blocks"), F.collect_set("block").alias("q_all"))
-    right_numbers = right.groupBy("dim").agg(F.collect_set("block").alias("c_all"))
-    # Every pair of blocks is one key, so the tiles spread over all tasks.
-    asked = left.join(right_numbers, "dim").select(
-        "dim", F.col("block").alias("q"), F.explode("c_all").alias("c"), *[F.col(n).alias(f"q_{n}") for n in names]
+    tasks = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # A block of queries goes to so many tasks that all are busy, each with a share of the
+    # candidates. A task keeps heaps over its whole share, so the rows it hands on grow with
+    # the queries and not with the pairs of blocks.
+    left_numbers = left.groupBy("dim").agg(
+        F.collect_set("block").alias("q_all"),
+        F.greatest(F.lit(1), F.ceil(F.lit(tasks) / F.count(F.lit(1)))).cast("int").alias("shares"),
+    )
+    left_numbers = stored(left_numbers, "query-numbers")
+    share = F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share")
+    asked = left.join(left_numbers, "dim").select(
+        "dim", F.col("block").alias("q"), share, *[F.col(n).alias(f"q_{n}") for n in names]
     )
     offered = right.join(left_numbers, "dim").select(
-        "dim", F.explode("q_all").alias("q"), F.col("block").alias("c"), *[F.col(n).alias(f"c_{n}") for n in names]
+        "dim",
+        F.explode("q_all").alias("q"),
+        F.pmod("block", "shares").alias("share"),
+        *[F.col(n).alias(f"c_{n}") for n in names],
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        heaps: dict[tuple[int, int], tuple[np.ndarray, list[Heap]]] = {}
         for batch in batches:
             for place in range(batch.num_rows):
                 row = batch.slice(place, 1).to_pylist()[0]
                 queries = Block.read(row, row["dim"], "q_")
                 candidates = Block.read(row, row["dim"], "c_")
+                key = (row["dim"], row["q"])
+                if key not in heaps:
+                    heaps[key] = (queries.ids, [[] for _ in queries.ids])
+                own = heaps[key][1]
                 for start in range(0, len(queries.ids), _STRIP):
-                    yield _nearest_in_tile(queries.part(start, _STRIP), candidates, k)
-
-    tiles = asked.join(offered, ["dim", "q", "c"]).mapInArrow(
+                    strip = queries.part(start, _STRIP)
+                    _search_tile(strip, candidates, k, own[start : start + _STRIP])
+        for ids, own in heaps.values():
+            found = [(q, -n, s) for q, heap in zip(ids.tolist(), own) for s, n in heap]
+            types = [pa.int64(), pa.int64(), pa.float64()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*found) if found else [[]] * 3, types)],
+                names=["query_id", "vec_id", "score"],
+            )
+
+    tiles = asked.join(offered, ["dim", "q", "share"]).mapInArrow(
         run, "query_id bigint, vec_id bigint, score double"
     )
     return _merged(tiles, k)

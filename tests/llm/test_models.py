@@ -221,7 +221,7 @@ def test_bounds_hold_and_most_pairs_are_excluded():
         return nearest.Block(ids, part, tile, scales, errors, np.linalg.norm(part, axis=1))
 
     queries, candidates = block(vectors[:20], 0), block(vectors, 0)
-    first, second = nearest.survivors(queries, candidates, 5)
+    first, second = nearest.survivors(queries, candidates, 5, np.full(20, -np.inf))
     exact = vectors[:20] @ vectors.T
     for q in range(20):
         best = [c for c in np.argsort(-exact[q]) if c != q][:5]
