@@ -10,14 +10,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starkit.llm import hosts, language, packing, simhash, substrings
+from starkit.llm import hosts, language, packing, similar, substrings
 from starkit.llm.common import fresh_name, stored
 
 # A document is rejected if its language is less likely than this, or cannot be told.
 MIN_LANGUAGE_SCORE = 0.5
-# Near-duplicates on five words. Fingerprints of texts that share 0.8 of their shingles
-# differ by about 7 bits of 64, those of other texts hardly ever by less than 12.
-NEAR_WORDS, NEAR_DISTANCE = 5, 7
+# Near-duplicates share so much of all their distinct five-word shingles (Jaccard).
+NEAR_WORDS, NEAR_SIMILARITY = 5, 0.8
 TOKENIZER = "word_bpe_49k.json"
 
 
@@ -36,7 +35,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def first_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
-    return simhash.keep_first(docs, NEAR_DISTANCE, NEAR_WORDS)
+    return similar.keep_first(docs, NEAR_WORDS, NEAR_SIMILARITY)
 
 
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

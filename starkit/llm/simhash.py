@@ -38,11 +38,11 @@ CHUNK = 2048
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
-def simhash(text: str | None, words: int = SHINGLE_WORDS) -> int:
-    """The fingerprint of a text; zero if it has no word."""
+def shingle_hashes(text: str | None, words: int = SHINGLE_WORDS) -> bytes:
+    """XXH64 of every shingle of a text, 8 bytes each; none if it has no word."""
     parts = (text or "").encode().translate(_LOWER).split()
     if not parts:
-        return 0
+        return b""
     data = b" ".join(parts)
     # Where each word begins and ends in ``data``.
     sizes = np.fromiter(map(len, parts), np.int64, len(parts))
@@ -50,7 +50,12 @@ def simhash(text: str | None, words: int = SHINGLE_WORDS) -> int:
     starts = (ends - sizes).tolist()
     ends = ends[min(words, len(parts)) - 1 :].tolist()
     digest = xxhash.xxh64_digest
-    hashes = b"".join([digest(data[a:b], SEED) for a, b in zip(starts, ends)])
+    return b"".join([digest(data[a:b], SEED) for a, b in zip(starts, ends)])
+
+
+def simhash(text: str | None, words: int = SHINGLE_WORDS) -> int:
+    """The fingerprint of a text; zero if it has no word."""
+    hashes = shingle_hashes(text, words)
     counts = np.zeros(BITS, np.int64)
     rows = np.frombuffer(hashes, np.uint8).reshape(-1, 8)
     for begin in range(0, len(rows), 1 << 16):  # bounds the unpacked bits of a long text
@@ -149,7 +154,7 @@ def _close_neighbours(keys: np.ndarray, prints: np.ndarray, distance: int) -> It
         yield from zip(left[close].tolist(), right[close].tolist())
 
 
-def _link_rows(links: list[tuple[int, int]]) -> list[pa.Array]:
+def link_arrays(links: list[tuple[int, int]]) -> list[pa.Array]:
     pairs = np.array(links, np.int64).reshape(-1, 2)
     return [pa.array(pairs[:, 0]), pa.array(pairs[:, 1])]
 
@@ -188,7 +193,7 @@ def links_of_buckets(indexed: DataFrame, distance: int, limit: int) -> DataFrame
             for hot, rows in ((False, links), (True, members)):
                 if rows:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([hot] * len(rows)), *_link_rows(rows)],
+                        [pa.array([hot] * len(rows)), *link_arrays(rows)],
                         names=["hot", "node", "other"],
                     )
 
@@ -282,24 +287,36 @@ def grouped(marked: DataFrame, distance: int) -> DataFrame:
 
 def keep_first(docs: DataFrame, distance: int = DISTANCE, words: int = SHINGLE_WORDS) -> DataFrame:
     """The rows of ``docs``, as they are, of which one stays for each group of
-    near-duplicates: the smallest doc_id, and of rows that share it the smallest text
-    number. A row without id stays only if its group has no row with one."""
-    key, name, copy = (fresh_name(docs, n) for n in ("_text_key", "_kept_id", "_copy"))
-    text_key = F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(-1))
-    ids = docs.select(F.col("doc_id").cast("bigint"), "text", text_key.alias("text_key"))
-    marked = stored(_fingerprints_with_keys(ids, words), "fingerprints")
+    near-duplicates, as ``keep_least`` states."""
+    marked = stored(_fingerprints_with_keys(with_text_keys(docs), words), "fingerprints")
     named = grouped(marked, distance).select("fingerprint", "root")
+    return keep_least(docs, marked.join(named, "fingerprint").select("doc_id", "text_key", "root"))
+
+
+def with_text_keys(docs: DataFrame) -> DataFrame:
+    """``(doc_id, text, text_key)``; ``text_key`` is the number of a row's text."""
+    return docs.select(F.col("doc_id").cast("bigint"), "text", _text_key().alias("text_key"))
+
+
+def _text_key() -> Column:
+    return F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(-1))
+
+
+def keep_least(docs: DataFrame, marked: DataFrame) -> DataFrame:
+    """The rows of ``docs``, as they are, of which one stays for each ``root`` of
+    ``marked(doc_id, text_key, root)``: the smallest doc_id, and of rows that share it the
+    smallest text number. A row without id stays only if its group has no row with one."""
+    key, name, copy = (fresh_name(docs, n) for n in ("_text_key", "_kept_id", "_copy"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key"))
     kept = (
-        marked.join(named, "fingerprint")
-        .groupBy("root")
+        marked.groupBy("root")
         .agg(first.alias("first"))
         .select(F.col("first.doc_id").alias(name), F.col("first.text_key").alias(f"{name}_text"))
     )
     kept = stored(kept, "kept")
     repeated = marked.groupBy("doc_id", "text_key").count().filter("count > 1")
     repeated = stored(repeated.join(kept, _same(F.col("doc_id"), F.col("text_key"), name), "left_semi"), "repeated")
-    keyed = docs.withColumn(key, text_key)
+    keyed = docs.withColumn(key, _text_key())
     stays = keyed.join(kept, _same(keyed["doc_id"].cast("bigint"), keyed[key], name), "left_semi")
     if repeated.isEmpty():
         return stays.drop(key)

@@ -1,0 +1,323 @@
+"""Near-duplicate documents by the Jaccard similarity of their shingles.
+
+One SimHash is a weak sieve at a similarity of 0.8: such texts differ in about 10 bits of
+64. So candidates come from ``SEEDS`` independent fingerprints, each cut into four
+segments that are indexed by one-wildcard variants. Two texts meet where a segment of any
+seed differs by at most one bit, and are candidates if the 64 bits of one more seed and 40
+bits around the segment differ little in all. No candidate is taken for a near-duplicate.
+
+Candidates are gathered in connected components, so every shingle set is shuffled once
+and not once per pair. Within a component the similarity of all pairs that are not yet
+joined is computed from the whole sets; a large component is cut into chunks, and pairs of
+chunks are compared by other tasks. Only links of at least ``SIMILARITY`` join texts.
+
+Texts with equal shingle sets are made one first, so copies meet once.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from starkit.llm.common import slices, stored
+from starkit.llm.components import connected_components
+from starkit.llm.simhash import FEW, Groups, keep_least, link_arrays, shingle_hashes, with_text_keys
+
+WORDS = 5
+SIMILARITY = 0.8
+SEEDS = 4
+# Texts of similarity 0.8 differ in 16 of the 104 bits compared, others in 52; standard
+# deviations are 4 and 5.
+COMPARED_DISTANCE = 25
+BUCKET_LIMIT, BUCKET_CHUNK = 4096, 2048
+# Shingle sets that one task compares, and shingles in them.
+CHUNK_SETS, CHUNK_SHINGLES = 1024, 1 << 20
+
+_TAIL_BITS = 40
+_SEGMENT_BITS, _SEGMENTS = 16, 4
+_SALTS = np.array([xxhash.xxh64_intdigest(b"similar", k) for k in range(SEEDS + 1)], np.uint64)
+
+
+def shingle_set(text: str | None, words: int = WORDS) -> np.ndarray:
+    """The distinct shingles' hashes in order; none without a word."""
+    return np.unique(np.frombuffer(shingle_hashes(text, words), "<u8"))
+
+
+def set_number(shingles: np.ndarray) -> int:
+    """A number for equal sets; 0 for the empty one."""
+    return xxhash.xxh64_intdigest(shingles.tobytes()) if len(shingles) else 0
+
+
+def fingerprints(shingles: np.ndarray) -> np.ndarray:
+    """``SEEDS + 1`` independent SimHashes of a set; the first is only compared."""
+    counts = np.zeros(64 * len(_SALTS), np.int64)
+    for begin in range(0, len(shingles), 1 << 14):
+        mixed = shingles[begin : begin + (1 << 14), None] ^ _SALTS
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+            mixed = (mixed ^ (mixed >> np.uint64(shift))) * np.uint64(factor)
+        mixed ^= mixed >> np.uint64(31)
+        bits = np.unpackbits(mixed.view(np.uint8), axis=1)
+        counts += bits.sum(axis=0, dtype=np.uint16 if len(bits) < 1 << 16 else np.int64)
+    return np.packbits(2 * counts > len(shingles)).view(np.uint64)
+
+
+def variant_keys(prints: np.ndarray) -> np.ndarray:
+    """The index keys ``(rows, variants)`` of ``prints(rows, seeds)``: seed, segment,
+    wildcard and the segment without it in the upper 24 bits, and 40 bits from behind it."""
+    keys = []
+    for seed in range(prints.shape[1]):
+        for segment in range(_SEGMENTS):
+            turn = _SEGMENT_BITS * segment
+            turned = prints[:, seed]
+            if turn:
+                turned = (turned << np.uint64(turn)) | (turned >> np.uint64(64 - turn))
+            tail = (turned >> np.uint64(8)) & np.uint64((1 << _TAIL_BITS) - 1)
+            for bit in range(_SEGMENT_BITS):
+                place = (seed * _SEGMENTS + segment) * _SEGMENT_BITS + bit
+                rest = (turned >> np.uint64(48)) & np.uint64(0xFFFF ^ (1 << bit))
+                keys.append(np.uint64(place << 56) | rest << np.uint64(_TAIL_BITS) | tail)
+    return np.stack(keys, axis=1)
+
+
+def _variant(keys: np.ndarray) -> np.ndarray:
+    return keys.view(np.uint64) >> np.uint64(_TAIL_BITS)
+
+
+def _alike(keys: np.ndarray, nodes: np.ndarray, other_keys: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Whether members of one bucket are candidates; what their keys share cancels out."""
+    bits = np.bitwise_count((keys ^ other_keys).view(np.uint64))
+    bits = bits + np.bitwise_count((nodes ^ others).view(np.uint64))
+    return (bits <= COMPARED_DISTANCE) & (nodes != others)
+
+
+def _links_between(keys, nodes, other_keys, others, groups: Groups, block: int = 512) -> list[tuple[int, int]]:
+    links = []
+    for a in range(0, len(nodes), block):
+        for b in range(0, len(others), block):
+            left, right = nodes[a : a + block], others[b : b + block]
+            found = _alike(
+                keys[a : a + block, None], left[:, None], other_keys[None, b : b + block], right[None, :]
+            )
+            for i, j in zip(*np.nonzero(found)):
+                if groups.join(int(left[i]), int(right[j])):
+                    links.append((int(left[i]), int(right[j])))
+    return links
+
+
+def _bucket_links(indexed: DataFrame, limit: int) -> DataFrame:
+    """Rows ``(hot, node, other)``: candidate links that join groups not joined before, or
+    rows ``(key, node)`` of a bucket above ``limit``. ``indexed(key, node)`` is dealt by
+    variant and sorted by key."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        groups = Groups()
+        keys, nodes = np.empty(0, np.int64), np.empty(0, np.int64)
+
+        def settled(last: bool) -> Iterator[pa.RecordBatch]:
+            nonlocal keys, nodes
+            variants = _variant(keys)
+            cuts = np.flatnonzero(np.diff(variants)) + 1
+            starts, ends = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(keys)]])
+            if not last:
+                starts, ends = starts[:-1], ends[:-1]
+            sizes = ends - starts
+            few = np.repeat((sizes > 1) & (sizes <= FEW), sizes)
+            some, some_keys, some_nodes = (column[: len(few)][few] for column in (variants, keys, nodes))
+            links, members = [], []
+            for step in range(1, FEW):
+                near = np.flatnonzero(some[:-step] == some[step:])
+                if not len(near):
+                    break
+                far = near + step
+                near, far = (x[_alike(some_keys[near], some_nodes[near], some_keys[far], some_nodes[far])] for x in (near, far))
+                for pair in zip(some_nodes[near].tolist(), some_nodes[far].tolist()):
+                    if groups.join(*pair):
+                        links.append(pair)
+            for start, end in zip(starts[sizes > FEW].tolist(), ends[sizes > FEW].tolist()):
+                own, bucket = keys[start:end], nodes[start:end]
+                if end - start > limit:
+                    members += zip(own.tolist(), bucket.tolist())
+                elif not groups.all_joined(bucket.tolist()):
+                    links += _links_between(own, bucket, own, bucket, groups)
+            done = int(ends[-1]) if len(ends) else 0
+            keys, nodes = keys[done:], nodes[done:]
+            for hot, rows in ((False, links), (True, members)):
+                if rows:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([hot] * len(rows)), *link_arrays(rows)], names=["hot", "node", "other"]
+                    )
+
+        for batch in batches:
+            keys = np.concatenate([keys, batch["key"].to_numpy()])
+            nodes = np.concatenate([nodes, batch["node"].to_numpy()])
+            ends = _variant(keys[[0, -1]]) if len(keys) else [0, 0]
+            if ends[0] != ends[1]:
+                yield from settled(False)
+        if len(keys):
+            yield from settled(True)
+
+    return indexed.mapInArrow(run, "hot boolean, node bigint, other bigint")
+
+
+def _chunked(rows: DataFrame, group: str, item: str, chunks: DataFrame) -> DataFrame:
+    """``rows`` with ``low``, ``high`` and ``own``: once for each pair of chunks of its
+    ``group`` that holds its own chunk. ``chunks(group, chunks)`` lists the large groups."""
+    own = F.pmod(F.xxhash64(item), F.col("chunks")).cast("int")
+    return (
+        rows.join(chunks, group, "left")
+        .withColumn("chunks", F.coalesce("chunks", F.lit(1)))
+        .withColumn("own", own)
+        .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+        .withColumn("low", F.least("own", "with"))
+        .withColumn("high", F.greatest("own", "with"))
+        .drop("with", "chunks")
+    )
+
+
+def candidate_links(prints: DataFrame, limit: int = BUCKET_LIMIT, chunk: int = BUCKET_CHUNK) -> DataFrame:
+    """Links ``(node, other)`` that connect all candidates, directly or through others, from
+    distinct ``prints(prints binary)``; a node is the first of the fingerprints."""
+    tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            if not batch.num_rows:
+                continue
+            held = np.frombuffer(b"".join(batch["prints"].to_pylist()), np.uint64).reshape(batch.num_rows, -1)
+            keys = variant_keys(held[:, 1:])
+            nodes = np.repeat(held[:, 0], keys.shape[1]).view(np.int64)
+            columns = [pa.array(keys.ravel().view(np.int64)), pa.array(nodes)]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "node"])
+
+    # Prints are small to read, but each becomes 256 variants: spread that work.
+    indexed = prints.repartition(tasks, "prints").mapInArrow(index, "key bigint, node bigint")
+    dealt = indexed.repartition(tasks, F.shiftright("key", _TAIL_BITS)).sortWithinPartitions("key", "node")
+    found = stored(_bucket_links(dealt, limit), "candidate-links")
+    members = found.filter("hot").select(
+        F.shiftright("node", _TAIL_BITS).alias("variant"), F.col("node").alias("key"), F.col("other").alias("node")
+    )
+    counts = members.groupBy("variant").agg(F.ceil(F.count(F.lit(1)) / chunk).cast("int").alias("chunks"))
+
+    def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        keys, nodes, own = (frame[c].to_numpy() for c in ("key", "node", "own"))
+        one, other = own == key[1], own == key[2]
+        links = _links_between(keys[one], nodes[one], keys[other], nodes[other], Groups())
+        return pd.DataFrame(links, columns=["node", "other"], dtype=np.int64)
+
+    chunks = _chunked(members, "variant", "node", counts).groupBy("variant", "low", "high")
+    return found.filter(~F.col("hot")).select("node", "other").union(
+        chunks.applyInPandas(run, "node bigint, other bigint")
+    )
+
+
+def similar_links(sets: list[np.ndarray], similarity: float = SIMILARITY) -> list[tuple[int, int]]:
+    """Links of at least ``similarity`` that connect all such of some sets, none empty. A
+    set is compared with all that nothing has reached yet."""
+    sizes = np.array([len(s) for s in sets])
+    found, codes = np.unique(np.concatenate(sets), return_inverse=True)
+    starts = np.cumsum(sizes) - sizes
+    waiting, links = np.ones(len(sets), bool), []
+    for first in range(len(sets)):
+        reached = [first] if waiting[first] else []
+        waiting[first] = False
+        while reached and waiting.any():
+            one = reached.pop()
+            held = np.zeros(len(found), bool)
+            held[codes[starts[one] : starts[one] + sizes[one]]] = True
+            shared = np.add.reduceat(held[codes], starts, dtype=np.int64)
+            near = np.flatnonzero(waiting & (shared / (sizes + sizes[one] - shared) >= similarity)).tolist()
+            waiting[near] = False
+            reached += near
+            links += [(one, other) for other in near]
+    return links
+
+
+def _verified(sets: DataFrame, similarity: float, chunk_sets: int, chunk_shingles: int) -> DataFrame:
+    """Links ``(node, other)`` between numbers of the ``sets(root, set_id, shingles)``."""
+    size = F.octet_length("shingles") / 8
+    wanted = F.ceil(F.greatest(F.count(F.lit(1)) / chunk_sets, F.sum(size) / chunk_shingles))
+    chunks = sets.groupBy("root").agg(wanted.cast("int").alias("chunks")).filter("chunks > 1")
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.drop_duplicates("set_id")
+        ids = frame["set_id"].tolist()
+        links = similar_links([np.frombuffer(s, np.uint64) for s in frame["shingles"]], similarity)
+        pairs = [(ids[one], ids[other]) for one, other in links]
+        return pd.DataFrame(pairs, columns=["node", "other"], dtype=np.int64)
+
+    dealt = _chunked(sets, "root", "set_id", stored(chunks, "large-candidates"))
+    return dealt.groupBy("root", "low", "high").applyInPandas(run, "node bigint, other bigint")
+
+
+def _signed(numbers: list[int]) -> pa.Array:
+    return pa.array(np.array(numbers, np.uint64).view(np.int64))
+
+
+def _marked(ids: DataFrame, words: int) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            sets = [shingle_set(text, words) for text in batch["text"].to_pylist()]
+            prints = [fingerprints(s).tobytes() for s in sets]
+            columns = [batch["doc_id"], batch["text_key"], _signed([set_number(s) for s in sets])]
+            columns += [_signed([int.from_bytes(p[:8], "little") for p in prints]), pa.array(prints, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_key", "set_id", "node", "prints"])
+
+    return ids.select("doc_id", "text_key", "text").mapInArrow(
+        run, "doc_id bigint, text_key bigint, set_id bigint, node bigint, prints binary"
+    )
+
+
+def _shingles(texts: DataFrame, words: int) -> DataFrame:
+    """The sets of ``texts(root, set_id, text)``; another text with the same id and key is
+    none of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            sets = [shingle_set(text, words) for text in batch["text"].to_pylist()]
+            right = pa.array(_signed([set_number(s) for s in sets]).to_numpy() == batch["set_id"].to_numpy())
+            columns = [batch["root"], batch["set_id"], pa.array([s.tobytes() for s in sets], pa.binary())]
+            names = ["root", "set_id", "shingles"]
+            yield pa.RecordBatch.from_arrays(columns, names=names).filter(right)
+
+    return texts.select("root", "set_id", "text").mapInArrow(
+        run, "root bigint, set_id bigint, shingles binary"
+    )
+
+
+def keep_first(
+    docs: DataFrame,
+    words: int = WORDS,
+    similarity: float = SIMILARITY,
+    chunk_sets: int = CHUNK_SETS,
+    chunk_shingles: int = CHUNK_SHINGLES,
+) -> DataFrame:
+    """The rows of ``docs``, as they are, of which one stays for each group of texts that
+    links of at least ``similarity`` join; which one, ``simhash.keep_least`` states. Texts
+    without a word are one group. Fewer words than ``words`` are one shingle."""
+    ids = with_text_keys(docs)
+    marked = stored(_marked(ids, words), "marked")
+    least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key"))
+    sets = marked.filter("set_id != 0").groupBy("set_id", "node").agg(least.alias("least"))
+    sets = stored(sets.select("set_id", "node", "least.doc_id", "least.text_key"), "sets")
+    prints = stored(marked.filter("set_id != 0").select("prints").distinct(), "prints")
+    roots = connected_components(candidate_links(prints))
+    # Whatever may have a near-duplicate: fingerprints with a link, or of several sets.
+    heads = roots.select(F.col("root").alias("node"), "root").distinct()
+    several = sets.groupBy("node").count().filter("count > 1").select("node", F.col("node").alias("root"))
+    linked = roots.select("node", "root").union(heads)
+    named = linked.union(several.join(linked, "node", "left_anti"))
+    chosen = stored(sets.join(stored(named, "candidates"), "node").drop("node"), "chosen")
+    same = ids["doc_id"].eqNullSafe(chosen["doc_id"]) & (ids["text_key"] == chosen["text_key"])
+    whole = stored(_shingles(ids.join(chosen, same), words), "shingle-sets")
+    links = stored(_verified(whole, similarity, chunk_sets, chunk_shingles), "similar-links")
+    joined = connected_components(links).withColumnRenamed("node", "set_id")
+    grouped = marked.join(joined, "set_id", "left").select(
+        "doc_id", "text_key", F.coalesce("root", "set_id").alias("root")
+    )
+    return keep_least(docs, stored(grouped, "grouped"))

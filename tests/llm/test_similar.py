@@ -1,0 +1,84 @@
+"""Near-duplicates by Jaccard similarity against all pairs."""
+
+import random
+
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from starkit.llm import similar
+
+
+def jaccard(one, other):
+    a, b = (set(zip(*(t.split()[k:] for k in range(5)))) for t in (one, other))
+    return len(a & b) / len(a | b)
+
+
+def corpus():
+    """Texts of 120 words, copies with 1 to 8 words replaced (0.92 to 0.45), and copies of
+    a copy; a chain joins texts that are less alike themselves."""
+    rnd, made = random.Random(11), []
+    for base in range(60):
+        text = [f"w{rnd.randrange(5000)}" for _ in range(120)]
+        made.append(" ".join(text))
+        for _ in range(6):
+            copy = list(text)
+            for place in rnd.sample(range(120), rnd.randint(1, 8)):
+                copy[place] = f"n{rnd.randrange(10**6)}"
+            made.append(" ".join(copy))
+            text = copy if base % 3 == 0 else text
+    return made
+
+
+def least_of_groups(texts):
+    root = list(range(len(texts)))
+    for i, one in enumerate(texts):
+        for j in range(max(0, i - 7), i):
+            if jaccard(one, texts[j]) >= 0.8:
+                a, b = sorted((root[i], root[j]))
+                root = [a if r == b else r for r in root]
+    return sorted(set(root))
+
+
+@pytest.mark.parametrize("chunk_sets", [1024, 3])
+def test_one_of_each_similar_group_stays(spark, chunk_sets):
+    texts = corpus()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = similar.keep_first(docs, chunk_sets=chunk_sets)
+    assert sorted(r["doc_id"] for r in kept.collect()) == least_of_groups(texts)
+
+
+def test_the_pipeline_keeps_one_of_each_similar_group(spark):
+    texts = corpus()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = corpus_pipeline.first_of_near_duplicates(spark, docs, "")
+    assert sorted(r["doc_id"] for r in kept.collect()) == least_of_groups(texts)
+
+
+def test_awkward_rows_and_large_buckets(spark, awkward, empty):
+    kept = sorted((r["doc_id"] or 99, r["text"] or "") for r in similar.keep_first(awkward).collect())
+    # The passage of 60 words joins 2 with one text of 3 and with a row without id.
+    assert [i for i, _ in kept] == [1, 2, 3, 4, 7, 8, 10, 11, 12, 13, 14]
+    assert similar.keep_first(empty).count() == 0
+    prints = {similar.fingerprints(similar.shingle_set(t)).tobytes() for t in corpus()}
+    rows = spark.createDataFrame([(bytearray(p),) for p in sorted(prints)], "prints binary")
+    found = [
+        {tuple(sorted(r)) for r in similar.connected_components(similar.candidate_links(rows, *bounds)).collect()}
+        for bounds in ((4096, 2048), (33, 16))
+    ]
+    assert found[0] == found[1]
+
+
+@pytest.mark.parametrize("size", [60, 300, 1000])
+def test_candidates_have_nearly_all_pairs_at_the_bound(size):
+    rnd, found = np.random.default_rng(3), 0
+    for _ in range(400):
+        shared, own = size * 8 // 9, size // 9  # 8 of 10 distinct shingles are shared
+        values = rnd.integers(0, 1 << 63, shared + 2 * own).astype(np.uint64)
+        pair = values[: shared + own], np.r_[values[:shared], values[shared + own :]]
+        prints = np.stack([similar.fingerprints(np.unique(one)) for one in pair])
+        keys = similar.variant_keys(prints[:, 1:])
+        nodes = prints[:, 0].view(np.int64)
+        met = similar._variant(keys[0]) == similar._variant(keys[1])
+        found += (met & similar._alike(keys[0].view(np.int64), nodes[0], keys[1].view(np.int64), nodes[1])).any()
+    assert found / 400 >= 0.98
