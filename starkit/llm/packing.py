@@ -8,12 +8,16 @@ Each group is packed by several islands, each with its own population of packing
 * crossover injects some well-filled bins of one parent whole into the other, removes the
   bins of that parent which hold one of their pieces, and places the displaced pieces by
   best fit, longest first; a mutation dissolves the emptiest bin in the same way;
-* after each epoch, an island's elite migrates to the next island of its group.
+* between two epochs, an island's elite migrates to the next island of its group; after
+  the last one, the best elite of all islands is the packing of the group.
 
 A group stops when it needs no more bins than its tokens fill, which is proof that no
 packing is better. Afterwards the badly filled bins of all groups are dissolved and
-packed again in fewer groups, until one group is left, so that the total loses at most a
-few bins however many groups there were.
+packed again in at most half as many groups, until one group is left. Pieces too long to
+share a bin with any other badly placed one are left where they are. Where so many bins are badly
+filled that the groups would not become half as many, only the emptiest bins of each
+group and those of the shortest pieces are dissolved. So no group keeps a partial bin of
+its own, and the loss does not grow with the number of groups.
 """
 
 from __future__ import annotations
@@ -23,7 +27,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starkit.llm.common import stored
@@ -36,6 +40,8 @@ POPULATION = 4
 CROSSOVERS = 16
 INJECTED_BINS = 12
 WELL_FILLED = 0.99
+# Share of a group's pieces in the emptiest bins that are dissolved if all would be too many.
+EMPTIEST = 0.125
 
 # Sequence ids: level of repacking, group, bin.
 _BIN_BITS, _GROUP_BITS = 20, 36
@@ -190,11 +196,11 @@ def _pack_groups(
         population = evolve(population, lengths, capacity, CROSSOVERS, random)
         state = (frame["item"].to_numpy(np.int64).tobytes(), lengths.tobytes())
         rows = [(group, island, False, *state, _members(population))]
-        rows += emigrants(group, island, population, lengths)
+        rows += emigrants(group, island, population, lengths, 0)
         return pd.DataFrame(rows, columns=_columns)
 
-    def emigrants(group: int, island: int, population: list[Packing], lengths: np.ndarray):
-        if len(population[0].fills) == fewest_bins(lengths, capacity):
+    def emigrants(group: int, island: int, population: list[Packing], lengths: np.ndarray, epoch: int):
+        if epoch + 1 >= epochs or len(population[0].fills) == fewest_bins(lengths, capacity):
             return []
         return [(group, (island + 1) % islands, True, b"", b"", _members(population[:1]))]
 
@@ -209,7 +215,7 @@ def _pack_groups(
             population.sort(key=lambda packing: -packing.fitness(capacity))
             population = evolve(population[:POPULATION], lengths, capacity, CROSSOVERS, random)
             rows = [(group, island, False, own["items"], own["lengths"], _members(population))]
-            rows += emigrants(group, island, population, lengths)
+            rows += emigrants(group, island, population, lengths, epoch)
             return pd.DataFrame(rows, columns=_columns)
 
         return run
@@ -265,6 +271,30 @@ def _pack_groups(
     )
 
 
+def _emptiest(packed: DataFrame) -> DataFrame:
+    """``(sequence_id, pieces)`` of the emptiest bin of each group, and of the next ones
+    as long as together they hold no more than ``EMPTIEST`` of its pieces; and of as many
+    bins of short pieces only, since these fill gaps that another group left."""
+    bins = packed.groupBy("sequence_id").agg(
+        F.first("bin_fill").alias("fill"),
+        F.max("length").alias("longest"),
+        F.count(F.lit(1)).alias("pieces"),
+    )
+    group = Window.partitionBy(F.shiftright("sequence_id", _BIN_BITS))
+    so_far = (Window.unboundedPreceding, Window.currentRow)
+    emptiest, finest = (group.orderBy(column, "sequence_id") for column in ("fill", "longest"))
+    ranked = bins.select(
+        "sequence_id",
+        "pieces",
+        F.row_number().over(emptiest).alias("rank"),
+        F.sum("pieces").over(emptiest.rowsBetween(*so_far)).alias("held"),
+        F.sum("pieces").over(finest.rowsBetween(*so_far)).alias("held_finest"),
+        F.sum("pieces").over(group).alias("all"),
+    )
+    few = F.least("held", "held_finest") <= EMPTIEST * F.col("all")
+    return ranked.filter((F.col("rank") == 1) | few).select("sequence_id", "pieces")
+
+
 def pack(
     items: DataFrame,
     capacity: int = CAPACITY,
@@ -283,20 +313,32 @@ def pack(
     )
     left = items.filter(F.col("length") < capacity).select("item", "length")
     results, level, count = [full], 0, left.count()
+    groups = max(1, -(-count // group_pieces))
     while True:
-        groups = max(1, -(-count // group_pieces))
         packed = stored(
             _pack_groups(left, groups, level, capacity, islands, epochs), f"packed-{level}"
         )
-        badly_filled = F.col("bin_fill") < WELL_FILLED * capacity
-        again = packed.filter(badly_filled).count() if groups > 1 else 0
-        # Pieces too long to share a sequence stay alone at any level.
-        last = groups == 1 or 2 * again > count
-        kept = packed if last else packed.filter(~badly_filled)
+        if groups == 1:
+            results.append(packed.select("item", "sequence_id", "offset"))
+            break
+        again = F.col("bin_fill") < WELL_FILLED * capacity
+        # What is longer than the room beside the shortest of these stays alone at any level.
+        least = packed.filter(again).agg(F.min("length")).first()[0]
+        if least is not None:
+            again &= F.col("length") <= capacity - least
+        count = packed.filter(again).count()
+        if -(-count // group_pieces) > groups // 2:
+            bins = stored(_emptiest(packed.filter(again)), f"emptiest-{level}")
+            kept = packed.join(bins, "sequence_id", "left_anti")
+            left = packed.join(bins, "sequence_id", "left_semi").select("item", "length")
+            count = bins.agg(F.sum("pieces")).first()[0]
+        else:
+            kept = packed.filter(~again)
+            left = packed.filter(again).select("item", "length")
         results.append(kept.select("item", "sequence_id", "offset"))
-        if last:
+        if not count:
             break
-        left, count = packed.filter(badly_filled).select("item", "length"), again
+        groups = max(1, min(groups // 2, -(-count // group_pieces)))
         level += 1
     union = results[0]
     for result in results[1:]:

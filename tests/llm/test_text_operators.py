@@ -133,6 +133,17 @@ def test_pieces_too_long_to_share_end_the_levels(spark):
     assert packed.select("sequence_id").distinct().count() == packed.count() == 500
 
 
+@pytest.mark.parametrize("lengths", [[300] * 1010, [600, 230] * 505])
+def test_bins_that_are_never_well_filled_are_mended_across_groups(spark, lengths):
+    items = spark.createDataFrame(list(enumerate(lengths)), "item long, length long")
+    packed = packing.pack(items, 1000, group_pieces=100).toPandas()
+    assert sorted(packed["item"]) == list(range(1010))
+    fills = packed.assign(length=[lengths[i] for i in packed["item"]]).groupby("sequence_id")["length"].sum()
+    assert fills.max() <= 1000
+    # Three of 300 fill 0.9 of a bin; one of 600 and one of 230 fill 0.83.
+    assert len(fills) <= (-(-1010 // 3) if lengths[1] == 300 else 505) + 2
+
+
 def test_genetic_operators_keep_every_piece():
     random_ = np.random.default_rng(3)
     lengths = random_.integers(100, 700, 300)
