@@ -19,6 +19,7 @@ from starkit.llm import (
     toxicity,
 )
 from starkit.llm.oracles import ORACLES
+from starkit.session import scratch_path
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -88,9 +89,13 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Matrix rows with their segments; digests of the three byte columns."""
+    """Matrix rows with their segments, written to files; digests of the three byte columns
+    as the files hold them."""
     docs = _read(spark, sf_dir, "documents")
-    rows = binary.matrices(docs, public_tokenizers.path(WORD_TOKENIZER))
+    path = scratch_path(spark, "matrices")
+    made = binary.matrices(docs, public_tokenizers.path(WORD_TOKENIZER))
+    binary.write_matrices(made, path)
+    rows = spark.read.schema(made.schema).parquet(path)
     return rows.select(
         "sequence_id",
         "n_tokens",

@@ -13,7 +13,7 @@ import pytest
 import xxhash
 from tokenizers import Tokenizer
 
-from starkit.llm import binary, bpe, hosts, packing, simhash, substrings
+from starkit.llm import binary, bpe, hosts, packing, queries, simhash, substrings
 from starkit.llm.pieces import cut_documents
 from starkit.llm.components import connected_components
 
@@ -195,6 +195,20 @@ def test_matrices_are_written_as_they_are(awkward, tmp_path):
     assert sorted_rows(back, "sequence_id", "ids") == sorted_rows(rows, "sequence_id", "ids")
 
 
+def test_the_query_takes_its_digests_from_written_matrices(spark, awkward, tmp_path, monkeypatch):
+    awkward.write.parquet(str(tmp_path / "documents.parquet"))
+    paths, write = [], binary.write_matrices
+    monkeypatch.setattr(binary, "write_matrices", lambda rows, path: (paths.append(path), write(rows, path)))
+    found = {r["sequence_id"]: r for r in queries.op7_binary(spark, str(tmp_path)).collect()}
+    assert len(paths) == 1
+    back = spark.read.parquet(paths[0]).collect()
+    assert len(back) == len(found) > 0
+    for r in back:
+        assert len(r["ids"]) == 2 * 4096
+        for column in ("ids", "cu_seqlens", "position_ids"):
+            assert zlib.crc32(r[column]) == found[r["sequence_id"]][f"{column}_crc32"]
+
+
 # Substrings ------------------------------------------------------------------
 
 
