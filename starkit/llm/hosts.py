@@ -160,12 +160,19 @@ def judged(docs: DataFrame, host: str = "source") -> DataFrame:
 
 
 def keep_good(docs: DataFrame, host: str = "source") -> DataFrame:
-    """The rows of ``docs`` that ``judged`` keeps, with all their columns as they are."""
-    mark, name = fresh_name(docs, "_found"), fresh_name(docs, "_host")
-    measured = docs.withColumn(mark, measures(F.col("text")))
-    rated = measured.select(
-        F.col(host).cast("string").alias("host"), counts_against_host(F.col(mark)).alias("failed")
+    """The rows of ``docs`` that ``judged`` keeps, with all their columns as they are.
+
+    Null, empty and blank texts fail and go; rows without host are judged by their text
+    alone; repeated rows are judged and counted each; an empty table gives no rows. Texts
+    are measured once: their two verdicts are stored beside the rows.
+    """
+    mark, own, name = (fresh_name(docs, n) for n in ("_found", "_own_verdicts", "_host"))
+    verdicts = F.struct(
+        base_failed(F.col(mark)).alias("failed"), counts_against_host(F.col(mark)).alias("counts")
     )
+    measured = docs.withColumn(mark, measures(F.col("text"))).withColumn(own, verdicts).drop(mark)
+    measured = stored(measured, "judged")
+    rated = measured.select(F.col(host).cast("string").alias("host"), F.col(own)["counts"].alias("failed"))
     rejected = stored(host_verdicts(rated).filter("rejected").select(F.col("host").alias(name)), "bad-hosts")
-    good = measured.filter(~base_failed(F.col(mark))).drop(mark)
+    good = measured.filter(~F.col(own)["failed"]).drop(own)
     return good.join(rejected, good[host].cast("string") == rejected[name], "left_anti")

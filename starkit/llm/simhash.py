@@ -294,12 +294,14 @@ def keep_first(docs: DataFrame, distance: int = DISTANCE, words: int = SHINGLE_W
 
 
 def with_text_keys(docs: DataFrame) -> DataFrame:
-    """``(doc_id, text, text_key)``; ``text_key`` is the number of a row's text."""
+    """``(doc_id, text, text_key)``; ``text_key`` stands for a row's text."""
     return docs.select(F.col("doc_id").cast("bigint"), "text", _text_key().alias("text_key"))
 
 
 def _text_key() -> Column:
-    return F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(-1))
+    """96 bits that stand for a text where rows share an id, or have none."""
+    number = F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(-1))
+    return F.struct(number.alias("number"), F.xxhash64("text").alias("hash"))
 
 
 def keep_least(docs: DataFrame, marked: DataFrame) -> DataFrame:

@@ -6,8 +6,9 @@
    neighbouring windows mostly share one, so a sketch has a twentieth of the load, and a
    cell still never holds less than the number of documents with the window.
 2. A second pass keeps the windows whose cells are all marked. Only they are grouped,
-   by 128 bits of hash, and the smallest document of each group owns the window. They are
-   shuffled once.
+   by 128 independent bits of hash, and the smallest document of each group owns the
+   window. They are shuffled once, by their anchor: neighbouring windows with one anchor
+   travel as one row.
    Windows that the sketch finds in ``HOT_DOCUMENTS`` or more go another way, since all
    rows of one would meet in a task: their owners come from a map-side aggregate, and a
    join gives them back without dealing the rows by window.
@@ -45,6 +46,8 @@ ANCHOR_WORDS = 8
 ROWS = 4
 MIN_CELLS, MAX_CELLS = 1 << 16, 1 << 27
 HOT_DOCUMENTS = 1000
+# Windows of one anchor that travel together; bounds a row.
+ROW_WINDOWS = 1024
 # Cells of one block of a sketch; a cell's place in it takes 16 bits.
 _BLOCK_BITS = 16
 # Anchors that a task holds before it hands on a sketch; bounds its memory.
@@ -67,7 +70,7 @@ def _cells(anchors: np.ndarray, row: int, bits: int) -> np.ndarray:
     return mixed(anchors ^ _ROW_SALTS[row]) >> np.uint64(64 - bits)
 
 
-def _anchors(words, hashes: np.ndarray, window: int, starts: np.ndarray) -> np.ndarray:
+def _anchors(hashes: np.ndarray, window: int, starts: np.ndarray) -> np.ndarray:
     width = min(ANCHOR_WORDS, window)
     runs = rolling(hashes, width, WINDOW_BASES[0])
     return sliding_minimum(runs, window - width + 1)[starts]
@@ -109,7 +112,7 @@ def partition_sketches(docs: DataFrame, cells: int, window: int) -> DataFrame:
             starts, text = window_starts(words, window)
             if not len(starts):
                 continue
-            anchors = _anchors(words, word_hashes(words), window, starts)
+            anchors = _anchors(word_hashes(words)[0], window, starts)
             # Once per document: neighbouring windows share most anchors.
             change = np.ones(len(anchors), bool)
             change[1:] = (anchors[1:] != anchors[:-1]) | (text[1:] != text[:-1])
@@ -168,8 +171,9 @@ def marked_cells(docs: DataFrame, window: int, cells: int | None = None) -> np.n
 
 
 def candidate_windows(docs: DataFrame, marks: np.ndarray, window: int) -> DataFrame:
-    """``(h1, h2, hot, doc_id, place)`` of the windows estimated to repeat; ``place`` is the
-    text's number above 32 bits of the first word's position."""
+    """``(anchor, hot, doc_id, key, other_key, first, h1, h2)``: neighbouring windows that are
+    estimated to repeat and have one anchor. ``first`` is the position of the first one's
+    first word, ``h1`` and ``h2`` are arrays of both hashes of each."""
     spark = docs.sparkSession
     sketch = spark.sparkContext.broadcast(marks)
 
@@ -182,7 +186,7 @@ def candidate_windows(docs: DataFrame, marks: np.ndarray, window: int) -> DataFr
             if not len(starts):
                 continue
             hashes = word_hashes(words)
-            anchors = _anchors(words, hashes, window, starts)
+            anchors = _anchors(hashes[0], window, starts)
             kept, hot = np.arange(len(anchors)), np.ones(len(anchors), bool)
             for row in range(ROWS):
                 cell = _cells(anchors[kept], row, bits)
@@ -190,32 +194,51 @@ def candidate_windows(docs: DataFrame, marks: np.ndarray, window: int) -> DataFr
                 marked = (marks[0, row, byte] >> bit.astype(np.uint8) & 1).astype(bool)
                 hot &= (marks[1, row, byte] >> bit.astype(np.uint8) & 1).astype(bool)
                 kept, hot = kept[marked], hot[marked]
-            starts, text = starts[kept], text[kept]
-            keys = batch["text_key"].to_numpy(zero_copy_only=False)[text].astype(np.uint64)
-            start = (starts - words.first[:-1][text]).astype(np.uint64)
-            columns = [
-                pa.array(rolling(hashes, window, base)[starts].view(np.int64))
-                for base in WINDOW_BASES
-            ]
-            columns += [pa.array(hot), batch["doc_id"].take(pa.array(text))]
-            columns.append(pa.array((keys << np.uint64(32) | start).view(np.int64)))
-            yield pa.RecordBatch.from_arrays(
-                columns, names=["h1", "h2", "hot", "doc_id", "place"]
-            )
-
-    return docs.select("doc_id", "text_key", "text").mapInArrow(
-        run, "h1 bigint, h2 bigint, hot boolean, doc_id bigint, place bigint"
+            if not len(kept):
+                continue
+            starts, text, anchors = starts[kept], text[kept], anchors[kept]
+            # A row ends where the anchor, the text or the neighbourhood does.
+            new = np.ones(len(kept), bool)
+            new[1:] = (anchors[1:] != anchors[:-1]) | (text[1:] != text[:-1]) | (np.diff(starts) != 1)
+            begin = np.flatnonzero(new)
+            place = np.arange(len(kept)) - np.repeat(begin, np.diff(np.append(begin, len(kept))))
+            begin = np.flatnonzero(place % ROW_WINDOWS == 0)
+            ends = pa.array(np.append(begin, len(kept)), pa.int32())
+            taken = pa.array(text[begin])
+            first = starts[begin] - words.first[:-1][text[begin]]
+            columns = [pa.array(anchors[begin].view(np.int64)), pa.array(hot[begin])]
+            columns += [batch[name].take(taken) for name in ("doc_id", "key", "other_key")]
+            columns.append(pa.array(first, pa.int32()))
+            for found, base in zip(hashes, WINDOW_BASES):
+                values = pa.array(rolling(found, window, base)[starts].view(np.int64))
+                columns.append(pa.ListArray.from_arrays(ends, values))
+            yield pa.RecordBatch.from_arrays(columns, names=_CANDIDATE)
+
+    return docs.select("doc_id", "key", "other_key", "text").mapInArrow(
+        run,
+        "anchor bigint, hot boolean, doc_id bigint, key bigint, other_key bigint, first int, "
+        "h1 array<bigint>, h2 array<bigint>",
     )
 
 
+_CANDIDATE = ["anchor", "hot", "doc_id", "key", "other_key", "first", "h1", "h2"]
+_ROW = ["doc_id", "key", "other_key"]
+
+
+def text_keys(text: Column) -> list[Column]:
+    """128 bits that stand for a text where rows share an id, or have none."""
+    return [F.xxhash64(text), F.xxhash64(F.lit(1), text)]
+
+
 def keyed(docs: DataFrame) -> DataFrame:
-    """Documents with a number of their text. Removal depends on id and text alone, so
+    """Documents with two numbers of their text. Removal depends on id and text alone, so
     rows that share an id but not the text are told apart."""
-    return documents(docs).withColumn("text_key", F.crc32(F.col("text").cast("binary")))
+    key, other = text_keys(F.col("text"))
+    return documents(docs).withColumns({"key": key, "other_key": other})
 
 
 def repeated_windows(docs: DataFrame, window: int = WINDOW, cells: int | None = None) -> DataFrame:
-    """``(doc_id, text_key, starts array<int>)`` for documents with windows that also
+    """``(doc_id, key, other_key, starts array<int>)`` for documents with windows that also
     start in a document of a smaller id; ``starts`` are word positions from 0.
 
     A document without id comes after all others and owns nothing. Rows that share an
@@ -224,14 +247,22 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, cells: int | None =
     rows = keyed(docs)
     marks = marked_cells(rows, window, cells)
     candidates = candidate_windows(rows, marks, window)
-    together = Window.partitionBy("h1", "h2")
-    usual = candidates.filter(~F.col("hot")).withColumn("owner", F.min("doc_id").over(together))
-    removed = usual.filter(_owned_by_other()).select("doc_id", "place")
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    together = Window.partitionBy("anchor", "h1", "h2")
+    usual = _each_window(candidates.filter(~F.col("hot")).repartition(tasks, "anchor"))
+    usual = usual.withColumn("owner", F.min("doc_id").over(together))
+    removed = usual.filter(_owned_by_other()).select(*_ROW, "start")
     if marks[1].any():
-        removed = removed.union(_later_hot(candidates.filter("hot")))
-    return removed.groupBy(
-        "doc_id", F.shiftrightunsigned("place", 32).alias("text_key")
-    ).agg(F.collect_set(F.col("place").bitwiseAND(0xFFFFFFFF).cast("int")).alias("starts"))
+        removed = removed.union(_later_hot(_each_window(candidates.filter("hot"))))
+    return removed.groupBy(*_ROW).agg(F.collect_set("start").alias("starts"))
+
+
+def _each_window(candidates: DataFrame) -> DataFrame:
+    """``(anchor, doc_id, key, other_key, start, h1, h2)``."""
+    pairs = F.arrays_zip("h1", "h2")
+    each = candidates.select("anchor", *_ROW, "first", F.posexplode(pairs).alias("place", "pair"))
+    start = (F.col("first") + F.col("place")).alias("start")
+    return each.select("anchor", *_ROW, start, "pair.h1", "pair.h2")
 
 
 def _owned_by_other() -> Column:
@@ -241,12 +272,12 @@ def _owned_by_other() -> Column:
 
 
 def _later_hot(hot: DataFrame) -> DataFrame:
-    """``(doc_id, place)`` of hot windows that a document of a smaller id holds, too."""
+    """Rows and ``start`` of hot windows that a document of a smaller id holds, too."""
     owners = hot.groupBy("h1", "h2").agg(F.min("doc_id").alias("owner"))
     # Stored, so that a join by key may split a window with very many rows.
     owners = stored(owners, "hot-owners")
     joined = hot.join(owners, ["h1", "h2"])
-    return joined.filter(_owned_by_other()).select("doc_id", "place")
+    return joined.filter(_owned_by_other()).select(*_ROW, "start")
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, cells: int | None = None) -> DataFrame:
@@ -258,7 +289,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, cells: int | None = No
     """
     found = repeated_windows(docs, window, cells)
     rows = keyed(docs)
-    same = rows["doc_id"].eqNullSafe(found["doc_id"]) & (rows["text_key"] == found["text_key"])
+    same = rows["doc_id"].eqNullSafe(found["doc_id"])
+    same &= (rows["key"] == found["key"]) & (rows["other_key"] == found["other_key"])
     joined = rows.join(found, same, "left").select(rows["doc_id"], rows["text"], found["starts"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -298,10 +330,12 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     found = repeated_windows(docs, window)
     names = {name: fresh_name(docs, f"_{name}") for name in found.columns}
     found = found.withColumnsRenamed(names)
-    key = fresh_name(docs, "_own_key")
-    rows = docs.withColumn(key, F.crc32(F.col("text").cast("binary")))
+    own = {name: fresh_name(docs, f"_own_{name}") for name in ("key", "other_key")}
+    rows = docs.withColumns(dict(zip(own.values(), text_keys(F.col("text").cast("string")))))
     same = rows["doc_id"].cast("bigint").eqNullSafe(found[names["doc_id"]])
-    joined = rows.join(found, same & (rows[key] == found[names["text_key"]]), "left")
+    for name, column in own.items():
+        same &= rows[column] == found[names[name]]
+    joined = rows.join(found, same, "left")
 
     @F.pandas_udf("string")
     def cut(texts, starts):

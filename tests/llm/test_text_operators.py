@@ -17,6 +17,7 @@ from starkit.llm import binary, bpe, hosts, packing, queries, simhash, substring
 from starkit.llm.pieces import cut_documents
 from starkit.llm.components import connected_components
 
+PASSAGE = " ".join(f"shared{k}" for k in range(60))
 BYTE, WORD = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "word_bpe_49k.json"))
 
 
@@ -261,6 +262,54 @@ def test_unchanged_text_keeps_its_white_space(awkward, empty):
     assert substrings.without_repeats(empty).count() == substrings.remove_repeats(empty).count() == 0
 
 
+def same_crc(first, second):
+    """Endings that give texts with these beginnings one CRC-32."""
+
+    def ended(text, k):
+        return f"{text} {hashlib.md5(str(k).encode()).hexdigest()[:12]}"
+
+    seen = {zlib.crc32(ended(first, k).encode()): ended(first, k) for k in range(200_000)}
+    tries = (ended(second, k) for k in range(1_000_000))
+    return next((seen[crc], text) for text in tries if (crc := zlib.crc32(text.encode())) in seen)
+
+
+def test_words_that_a_linear_hash_confuses_are_told_apart(spark):
+    morse = "".join("ab"[k.bit_count() % 2] for k in range(1024))
+    rest = " ".join(f"w{k}" for k in range(49))
+    other = morse.translate(str.maketrans("ab", "ba"))
+    docs = spark.createDataFrame([(1, f"{morse} {rest}"), (2, f"{other} {rest}")], "doc_id long, text string")
+    assert [r["n_removed"] for r in substrings.remove_repeats(docs).collect()] == [0, 0]
+
+
+def test_words_at_the_edges_of_the_hash(spark):
+    # Lengths around the eight bytes read at a time and the limit of long words.
+    heads = [x * n for x in "ab" for n in (1, 7, 8, 9, 15, 16, 17, 255, 256, 257, 5000)]
+    pairs = [(k, f"{head} tail") for k, head in enumerate(heads)]
+    pairs += [(100 + k, f"{head} tail") for k, head in enumerate(heads)]
+    found = substrings.remove_repeats(spark.createDataFrame(pairs, "doc_id long, text string"), 2)
+    assert {(r["doc_id"] >= 100, r["n_removed"]) for r in found.collect()} == {(False, 0), (True, 2)}
+
+
+def test_rows_without_id_whose_texts_share_a_crc(spark):
+    long, short = same_crc(f"head {PASSAGE}", "a short one")
+    pairs = [(1, f"first {PASSAGE}"), (None, long), (None, short)]
+    docs = spark.createDataFrame(pairs, "doc_id long, text string")
+    found = {(r["doc_id"], r["n_words"]): r["n_removed"] for r in substrings.remove_repeats(docs).collect()}
+    assert found == {(1, 61): 0, (None, 62): 60, (None, 4): 0}
+    cut = {r["text"] for r in substrings.without_repeats(docs).collect()}
+    assert short in cut and f"first {PASSAGE}" in cut
+
+
+def test_a_row_of_many_windows_is_cut(spark, monkeypatch):
+    monkeypatch.setattr(substrings, "ROW_WINDOWS", 3)
+    text = " ".join(f"w{k % 7}" for k in range(400))
+    docs = spark.createDataFrame([(1, text), (2, f"x {text} y")], "doc_id long, text string")
+    assert sorted((r["doc_id"], r["n_removed"]) for r in substrings.remove_repeats(docs, 9).collect()) == [
+        (1, 0),
+        (2, 400),
+    ]
+
+
 # Near-duplicates -------------------------------------------------------------
 
 
@@ -348,6 +397,22 @@ def test_one_of_each_group_stays(awkward, empty):
     assert simhash.keep_first(empty).count() == 0
 
 
+def test_rows_that_share_a_crc_are_not_repeats(spark):
+    one, other = same_crc("alpha beta gamma delta", "four words of another kind")
+    pairs = [(5, "something else altogether here"), (None, one), (None, other), (None, f"{one} x")]
+    docs = spark.createDataFrame(pairs, "doc_id long, text string")
+    kept = {r["text"] for r in simhash.keep_first(docs).collect()}
+    prints = [brute_force_simhash(t, 4) for _, t in pairs]
+    assert len(set(brute_force_components(prints, 4))) == len(kept)
+    assert {"something else altogether here", one, other} <= kept
+
+
+def test_one_of_many_repeated_rows_without_id_stays(spark):
+    pairs = [(None, f"copy of the very same {PASSAGE}")] * 2000 + [(1, "a text of its own")]
+    kept = simhash.keep_first(spark.createDataFrame(pairs, "doc_id long, text string")).collect()
+    assert sorted(len(r["text"]) for r in kept) == sorted({len(t) for _, t in pairs})
+
+
 # Host rules ------------------------------------------------------------------
 
 
@@ -370,6 +435,17 @@ def test_measures_and_verdicts_of_awkward_rows(awkward, empty):
     assert hosts.judged(empty).count() == hosts.keep_good(empty).count() == 0
 
 
+def test_the_stage_measures_texts_once(spark, awkward, monkeypatch):
+    calls, measures = [], hosts.measures
+    monkeypatch.setattr(hosts, "measures", lambda text: (calls.append(1), measures(text))[1])
+    kept = hosts.keep_good(awkward)
+    assert kept.columns == awkward.columns and len(calls) == 1
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "regexp_count" not in plan
+    wanted = hosts.judged(awkward).filter("kept")
+    assert sorted_rows(kept, "doc_id") == sorted_rows(wanted, "doc_id")
+
+
 def test_host_with_many_failures_loses_good_documents(spark):
     good = "one two three four five six seven eight nine ten eleven twelve"
     pairs = [("bad", "short")] * 45 + [("bad", good)] * 5 + [("fine", good)] * 50 + [(None, good)]
