@@ -9,14 +9,17 @@ from pyspark.sql import functions as F
 from starkit.llm import (
     binary,
     bpe,
+    exact,
     hosts,
     language,
     nearest,
     packing,
+    phrases,
     sharding,
     simhash,
     substrings,
     toxicity,
+    trie,
 )
 from starkit.llm.oracles import ORACLES
 from starkit.session import scratch_path
@@ -143,6 +146,23 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.nearest(vectors, queries).select("query_id", "rank", "vec_id", "score")
 
 
+def op11_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nodes of the prefix trie of all rebuilt conversations."""
+    return trie.prefix_trie(_read(spark, sf_dir, "conversations"))
+
+
+def op12_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's group of equal texts, white space apart, and whether it stays."""
+    return exact.duplicates(_read(spark, sf_dir, "documents")).select(
+        "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("text_digest")).alias("text_sha256")
+    )
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's best collocations."""
+    return phrases.collocations(_read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_substrings": op2_substrings,
@@ -154,4 +174,7 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_hosts": op9_hosts,
     "op10_nearest": op10_nearest,
+    "op11_trie": op11_trie,
+    "op12_exact": op12_exact,
+    "op13_phrases": op13_phrases,
 }
