@@ -6,7 +6,9 @@ its two parts is deleted, and the ranks beside it are looked up again. A scan is
 while a word is short; longer words take the same merges from a heap.
 
 Most words of a corpus repeat, so each Python worker keeps the ids of recent words and
-of recent stretches between spaces, up to a fixed number of entries.
+of recent stretches between spaces, up to a fixed number of entries. With the lower-casing
+vocabulary, whose words never hold white space, whole batches of texts are cut into words
+at once by the classes of their characters, and a word is looked up once a batch.
 """
 
 from __future__ import annotations
@@ -20,12 +22,14 @@ from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from tokenizers import Tokenizer
 
 from starkit.llm.common import documents, slices
+from starkit.llm.windows import Words, word_hashes
 
 # Words of more parts are merged with a heap, whose cost is not quadratic.
 SCAN_PARTS = 192
@@ -44,6 +48,15 @@ NO_RANK = np.iinfo(np.int32).max
 SCAN_WORDS = 16_384
 # Latin Extended-B ends here.
 LATIN_END = "\u024f"
+_BEYOND_LATIN = re.compile(f"[^\0-{LATIN_END}]")
+# Classes of the characters up to there, for cutting whole batches.
+_SPACE, _LETTER, _NUMBER, _OTHER = range(4)
+# Fixed values of the lower-casing format: endings that an apostrophe makes words.
+_SHORT_ENDINGS, _LONG_ENDINGS = "stmd", ("re", "ve", "ll")
+# Characters that are cut and looked up together; a longer stretch without a space is one.
+BATCH_CHARS = 1 << 20
+# Words that the memo of whole batches keeps; about 150 bytes each.
+BATCH_WORDS = 200_000
 # A space that white space or the end follows: there words do not start at each space.
 _LOOSE_SPACE = re.compile(r" (?:\s|\Z)")
 
@@ -93,6 +106,73 @@ class Memo:
                 self.recent.pop(key, None)
 
 
+class BatchMemo:
+    """The ids of recent words by 128 bits of hash, for all words of a batch at once. It
+    begins anew when it holds ``limit`` words."""
+
+    def __init__(self, dtype: np.dtype, limit: int = BATCH_WORDS) -> None:
+        self._dtype, self._limit = dtype, limit
+        self._forget()
+
+    def _forget(self) -> None:
+        self._places: dict[int, int] = {}
+        self._checks = np.empty(0, np.uint64)
+        self._flat = np.empty(0, self._dtype)
+        self._ends = np.zeros(1, np.int64)
+
+    def found(self, words: Words, merged) -> tuple[np.ndarray, np.ndarray] | None:
+        """The ids of all words in order, and how many each has; new words come from
+        ``merged``. None if two words share a hash but not the other one."""
+        if len(self._places) >= self._limit:
+            self._forget()
+        hashes, checks = word_hashes(words)
+        codes, unique = pd.factorize(hashes)
+        first = np.empty(len(unique), np.int64)
+        first[codes[::-1]] = np.arange(len(codes) - 1, -1, -1)
+        if not (checks[first][codes] == checks).all():
+            return None
+        keys = unique.tolist()
+        places = [self._places.get(key, -1) for key in keys]
+        entries = np.array(places, np.int64)
+        new = np.flatnonzero(entries < 0)
+        if len(new):
+            data, at = words.data.tobytes(), first[new]
+            spans = zip(words.starts[at].tolist(), words.ends[at].tolist())
+            ids = merged([data[start:end] for start, end in spans])
+            count = len(self._checks)
+            entries[new] = np.arange(count, count + len(new))
+            self._places.update((keys[n], count + k) for k, n in enumerate(new.tolist()))
+            self._checks = np.concatenate([self._checks, checks[at]])
+            self._flat = np.concatenate([self._flat, np.frombuffer(b"".join(ids), self._dtype)])
+            sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // self._dtype.itemsize
+            self._ends = np.concatenate([self._ends, self._ends[-1] + np.cumsum(sizes)])
+        if not (self._checks[entries] == checks[first]).all():
+            return None
+        entries = entries[codes]
+        starts = self._ends[entries]
+        sizes = self._ends[entries + 1] - starts
+        before = np.cumsum(sizes) - sizes
+        take = np.repeat(starts - before, sizes)
+        return self._flat[take + np.arange(len(take))], sizes
+
+
+def _class_of(character: str) -> int:
+    patterns = {_SPACE: r"\s", _LETTER: r"\p{L}", _NUMBER: r"\p{N}"}
+    return next((c for c, pattern in patterns.items() if regex.match(pattern, character)), _OTHER)
+
+
+def _stretches(text: str) -> Iterator[str]:
+    """A text in pieces of about ``BATCH_CHARS`` that end before a space."""
+    start = 0
+    while len(text) - start > BATCH_CHARS:
+        end = text.find(" ", start + BATCH_CHARS)
+        if end < 0:
+            break
+        yield text[start:end]
+        start = end
+    yield text[start:] if start else text
+
+
 class PairRanks:
     """The rank of a pair of parts, for arrays of pairs: an open hash table."""
 
@@ -168,27 +248,33 @@ class Bpe:
         self._last_ids = np.array(self._last, np.int64)
         self._word_ids, self._chunk_ids = Memo(), Memo()
         self._library = Tokenizer.from_buffer(source) if self._lower else None
+        self._batch_ids = BatchMemo(self.dtype)
+        self._classes = np.array([_class_of(chr(code)) for code in range(ord(LATIN_END) + 1)], np.uint8)
 
     # Words --------------------------------------------------------------------
 
-    def _merge_words(self, words: list[str]) -> None:
-        """Find the ids of new words: short ones together, by similar length."""
+    def _ids_of_words(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each word: short ones together, by similar length."""
         widths = [8, 16, 32, SCAN_PARTS]
-        by_width: list[list[tuple[str, bytes]]] = [[] for _ in widths]
-        for word in words:
-            data = word.encode()
+        by_width: list[list[int]] = [[] for _ in widths]
+        found = [b""] * len(words)
+        for number, data in enumerate(words):
             place = bisect_left(widths, len(data))
             if place < len(widths):
-                by_width[place].append((word, data))
+                by_width[place].append(number)
             else:
                 parts = [self._first[byte] for byte in data[:-1]] + [self._last[data[-1]]]
-                merged = np.array(self._merge_with_heap(parts), self.dtype)
-                self._word_ids.recent[word] = merged.tobytes()
+                found[number] = np.array(self._merge_with_heap(parts), self.dtype).tobytes()
         for width, group in zip(widths, by_width):
             for start in range(0, len(group), SCAN_WORDS):
                 some = group[start : start + SCAN_WORDS]
-                ids = self._merge_by_scan([data for _, data in some], width)
-                self._word_ids.recent.update(zip((word for word, _ in some), ids))
+                for number, ids in zip(some, self._merge_by_scan([words[n] for n in some], width)):
+                    found[number] = ids
+        return found
+
+    def _merge_words(self, words: list[str]) -> None:
+        """Find the ids of new words."""
+        self._word_ids.recent.update(zip(words, self._ids_of_words([word.encode() for word in words])))
 
     def _merge_by_scan(self, words: list[bytes], width: int) -> list[bytes]:
         """One row per word: its parts, and the ranks between neighbours. Each round
@@ -212,9 +298,10 @@ class Bpe:
             if done.any():
                 ended = parts[done].astype(np.int64)
                 kept = ended >= 0
-                flat, ends = ended[kept].astype(self.dtype), np.cumsum(kept.sum(axis=1))
-                for place, ids in zip(places[done].tolist(), np.split(flat, ends[:-1])):
-                    found[place] = ids.tobytes()
+                packed = ended[kept].astype(self.dtype).tobytes()
+                ends = [0, *(np.cumsum(kept.sum(axis=1)) * self.dtype.itemsize).tolist()]
+                for place, start, end in zip(places[done].tolist(), ends, ends[1:]):
+                    found[place] = packed[start:end]
                 if done.all():
                     return found
                 left = ~done
@@ -310,6 +397,75 @@ class Bpe:
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, packed as ``dtype``."""
+        return self._encode_whole(texts) if self._lower else self._encode_by_chunks(texts)
+
+    def _encode_whole(self, texts: list[str]) -> list[bytes]:
+        """Normalised texts of Latin characters without an added token, in batches; the
+        others by their chunks."""
+        parts: list[list[bytes]] = [[] for _ in texts]
+        others, batch, held = [], [], 0
+        for number, text in enumerate(texts):
+            normal = text.lower() if text.isascii() else self._normal(text)
+            latin = text.isascii() or not (_BEYOND_LATIN.search(text) or _BEYOND_LATIN.search(normal))
+            if not latin or (self._added_words is not None and self._added_words.search(text)):
+                others.append(number)
+                continue
+            for stretch in _stretches(normal):
+                batch.append((number, stretch))
+                held += len(stretch)
+                if held >= BATCH_CHARS:
+                    self._encode_batch(batch, parts)
+                    batch, held = [], 0
+        if batch:
+            self._encode_batch(batch, parts)
+        for number, ids in zip(others, self._encode_by_chunks([texts[n] for n in others])):
+            parts[number] = [ids]
+        return [found[0] if len(found) == 1 else b"".join(found) for found in parts]
+
+    def _encode_batch(self, batch: list[tuple[int, str]], parts: list[list[bytes]]) -> None:
+        """Add the ids of each normalised stretch to the parts of its text."""
+        words = self._words_of([stretch for _, stretch in batch])
+        ids = self._batch_ids.found(words, self._ids_of_words)
+        if ids is None:  # two words share a hash
+            for (number, _), packed in zip(batch, self._encode_by_chunks([s for _, s in batch])):
+                parts[number].append(packed)
+            return
+        flat, sizes = ids
+        ends = np.concatenate([[0], np.cumsum(sizes)])[words.first].tolist()
+        for (number, _), start, end in zip(batch, ends, ends[1:]):
+            parts[number].append(flat[start:end].tobytes())
+
+    def _words_of(self, texts: list[str]) -> Words:
+        """What the word pattern finds: a run of letters, a number, a run of others, or an
+        apostrophe at the beginning of a run with one of its endings."""
+        text = "".join(texts)
+        data = np.frombuffer(text.encode(), np.uint8)
+        one_byte = len(data) == len(text)
+        codes = data if one_byte else np.frombuffer(text.encode("utf-32-le"), "<u4")
+        edges = np.cumsum([0, *map(len, texts)])
+        classes = self._classes[codes]
+        starts = np.ones(len(codes) + 1, bool)
+        starts[1:-1] = (classes[1:] != classes[:-1]) | (classes[1:] == _NUMBER)
+        starts[edges] = True
+        quotes = np.flatnonzero((codes == ord("'")) & starts[:-1] & starts[1:])
+        for at in np.setdiff1d(quotes, edges - 1).tolist():
+            # A text's edge is a start, so an ending does not reach over it.
+            for ending in (*_SHORT_ENDINGS, *_LONG_ENDINGS):
+                behind = at + 1 + len(ending)
+                if text.startswith(ending, at + 1) and not starts[at + 2 : behind].any():
+                    starts[at + 1], starts[behind] = False, True
+                    break
+        bounds = np.flatnonzero(starts)
+        begins, ends = bounds[:-1], bounds[1:]
+        kept = classes[begins] != _SPACE
+        begins, ends = begins[kept], ends[kept]
+        first = np.searchsorted(begins, edges)
+        if not one_byte:
+            places = np.concatenate([[0], np.cumsum(1 + (codes > 0x7F))])
+            begins, ends = places[begins], places[ends]
+        return Words(data, begins, ends, first)
+
+    def _encode_by_chunks(self, texts: list[str]) -> list[bytes]:
         self._word_ids.turn()
         self._chunk_ids.turn()
         known = {"words": self._word_ids.recent, "chunks": self._chunk_ids.recent}
