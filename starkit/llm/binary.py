@@ -21,7 +21,9 @@ from starkit.llm.bpe import loaded, vocabulary
 from starkit.llm.pieces import CAPACITY, cut_documents
 
 # Text of one group, on average.
-GROUP_BYTES = 24 << 20
+GROUP_BYTES = 8 << 20
+# Of the written files; bounds what a reader of whole rows holds at a time.
+ROW_GROUP_BYTES = 8 << 20
 # Fills the matrix behind a sequence's last id; never inside a segment.
 PAD_ID = 0
 
@@ -163,5 +165,5 @@ def matrices(
 def write_matrices(rows: DataFrame, path: str) -> None:
     """The matrix rows as Parquet, one file per task; binary columns are written as they
     are, so that a reader lays them under one another without a copy per row."""
-    rows.write.parquet(path)
+    rows.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
 
