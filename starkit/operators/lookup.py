@@ -19,6 +19,9 @@ from pyspark.sql import functions as F
 from starkit.operators.checks import CheckFailed
 from starkit.operators.guards import duplicate_keys
 
+# The column of ``split_lookup``.
+REASONS = "reject_reasons"
+
 
 @dataclass(frozen=True)
 class Lookup:
@@ -89,6 +92,50 @@ def star_lookup(feed: DataFrame, lookups: list[Lookup], verify: bool = True) ->
     return result
 
 
+def split_lookup(feed: DataFrame, lookups: list[Lookup], verify: bool = True) -> DataFrame:
+    """Every feed row with what the lookups take, and ``reject_reasons``, in one pass.
+
+    Bit i of the reasons is set where lookup i has no match; the taken columns of that lookup
+    are null. Rows without a reason are those of ``star_lookup``, as often as there: a
+    lookup that may fan out repeats them. A row with a reason comes once.
+    """
+    if verify:
+        _require_single_matches(lookups)
+    marked, hits = feed, []
+    for lookup, again in zip(lookups, _repeats(lookups)):
+        hits.append(f"_hit_{lookup.name}")
+        keys = [F.col(key).alias(_key(lookup, key)) for key in lookup.on]
+        if lookup.allow_fanout:
+            # Which rows to repeat is known only after all lookups.
+            table = lookup.table.select(*keys).distinct()
+        else:
+            taken = [F.col(column).alias(output) for column, output in lookup.take.items()]
+            table = lookup.table.select(*keys, *taken)
+        # Null-safe for the reasons given in ``reject_report``.
+        null_safe = again or lookup.allow_fanout
+        table = table.na.drop("any", subset=[_key(lookup, key) for key in lookup.on])
+        marked = marked.join(
+            table.withColumn(hits[-1], F.lit(True)), _match(lookup, null_safe), "left"
+        ).drop(*[_key(lookup, key) for key in lookup.on])
+    bits = [F.when(F.col(hit).isNull(), 1 << number).otherwise(0) for number, hit in enumerate(hits)]
+    result = marked.withColumn(REASONS, reduce(lambda left, right: left + right, bits)).drop(*hits)
+    for lookup in lookups:
+        if lookup.allow_fanout:
+            table = lookup.table.na.drop("any", subset=list(lookup.on)).select(
+                *[F.col(key).alias(_key(lookup, key)) for key in lookup.on],
+                *[F.col(column).alias(output) for column, output in lookup.take.items()],
+            )
+            kept = (F.col(REASONS) == 0) & _match(lookup, null_safe=True)
+            result = result.join(table, kept, "left").drop(*[_key(lookup, key) for key in lookup.on])
+    return result
+
+
+def reason_names(lookups: list[Lookup], reasons: Column) -> Column:
+    """The names of the lookups whose bits are set."""
+    names = [F.when(reasons.bitwiseAND(1 << k) != 0, lookup.name) for k, lookup in enumerate(lookups)]
+    return F.array_compact(F.array(*names))
+
+
 def reject_report(feed: DataFrame, lookups: list[Lookup]) -> DataFrame:
     """Feed rows that miss each lookup, and rows that miss any, in one scan.
 

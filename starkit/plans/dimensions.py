@@ -20,6 +20,8 @@ from starkit.operators.keys import dense_key, smart_key
 from starkit.operators.pivot import pivot_sum
 from starkit.plans import layout
 
+LOCATION_KEY = ["port_code", "state_code"]
+
 
 def observed_places(feed: DataFrame) -> DataFrame:
     """Distinct (port, state) pairs of the feed."""
@@ -35,12 +37,15 @@ def _known_places(feed: DataFrame, port_map: DataFrame) -> DataFrame:
     return places.join(port_map, agree).select("port_code", "port_state", "port_name")
 
 
-def location_dimension(feed: DataFrame, port_map: DataFrame) -> DataFrame:
-    """Ports seen in the feed; a (port, state) key with several names is left out."""
+def location_members(feed: DataFrame, port_map: DataFrame) -> DataFrame:
+    """Ports seen in the feed, without ids; a (port, state) key with several names is left out."""
     known = _known_places(feed, port_map).withColumnRenamed("port_state", "state_code").distinct()
-    return dense_key(
-        unique_guard(known, ["port_code", "state_code"]), ["port_code", "state_code"]
-    )
+    return unique_guard(known, LOCATION_KEY)
+
+
+def location_dimension(feed: DataFrame, port_map: DataFrame) -> DataFrame:
+    """The location members, numbered by their key."""
+    return dense_key(location_members(feed, port_map), LOCATION_KEY)
 
 
 def demographics_wide(demographics: DataFrame) -> DataFrame:
@@ -50,10 +55,10 @@ def demographics_wide(demographics: DataFrame) -> DataFrame:
     )
 
 
-def demographics_dimension(
+def demographics_members(
     feed: DataFrame, port_map: DataFrame, demographics: DataFrame
 ) -> DataFrame:
-    """Cities at the feed's ports, matched by name in any case and by state.
+    """Cities at the feed's ports, matched by name in any case and by state, without ids.
 
     A city whose other attributes differ between its rows yields several rows.
     """
@@ -62,7 +67,7 @@ def demographics_dimension(
     same_city = (F.lower("port_name") == F.lower("City")) & (
         F.col("port_state") == F.col("State Code")
     )
-    cities = (
+    return (
         known.join(wide, same_city)
         .select(
             "port_code",
@@ -80,6 +85,13 @@ def demographics_dimension(
         )
         .distinct()
     )
+
+
+def demographics_dimension(
+    feed: DataFrame, port_map: DataFrame, demographics: DataFrame
+) -> DataFrame:
+    """The demographics members, numbered by all their columns."""
+    cities = demographics_members(feed, port_map, demographics)
     return dense_key(cities, cities.columns)
 
 

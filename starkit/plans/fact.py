@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starkit.functions import number_to_int, whole_code
-from starkit.operators.lookup import Lookup, reject_report, star_lookup
+from starkit.operators.lookup import REASONS, Lookup, reject_report, split_lookup, star_lookup
 from starkit.plans import layout
 
+# The column of ``fact_split`` that holds a lost row.
+FEED_ROW = "feed_row"
+
 
 @dataclass(frozen=True)
 class Dimensions:
@@ -67,19 +70,32 @@ def fact_lookups(dims: Dimensions) -> list[Lookup]:
 
 def fact_rows(feed: DataFrame, dims: Dimensions, verify: bool = True) -> DataFrame:
     """The fact without its own id. Without large dimensions nothing is shuffled."""
-    found = star_lookup(feed, fact_lookups(dims), verify)
-    return found.select(
-        "arrival_location_id",
+    return star_lookup(feed, fact_lookups(dims), verify).select(*_fact_columns())
+
+
+def _fact_columns() -> list[Column]:
+    return [
+        F.col("arrival_location_id"),
         number_to_int(F.col(layout.ARRIVAL_DAY)).alias("arrival_date_id"),
-        "visa_transport_id",
-        "country_id_citizenship",
-        "country_id_residence",
-        "arrlocation_demographics_id",
+        F.col("visa_transport_id"),
+        F.col("country_id_citizenship"),
+        F.col("country_id_residence"),
+        F.col("arrlocation_demographics_id"),
         number_to_int(F.col(layout.AGE)).alias("immigrant_age"),
         number_to_int(F.col(layout.BIRTH_YEAR)).alias("immigrant_birthyear"),
         F.col(layout.GENDER).alias("immigrant_gender"),
         F.col(layout.AIRLINE).alias("airline"),
-    )
+    ]
+
+
+def fact_split(feed: DataFrame, dims: Dimensions, verify: bool = True) -> DataFrame:
+    """Fact rows and lost feed rows from one pass over the feed.
+
+    A row without ``reject_reasons`` (0) is a fact row and its ``feed_row`` is null; another one
+    is a feed row that a lookup lost, whole in ``feed_row``.
+    """
+    lost = F.when(F.col(REASONS) != 0, F.struct(*feed.columns)).alias(FEED_ROW)
+    return split_lookup(feed, fact_lookups(dims), verify).select(*_fact_columns(), REASONS, lost)
 
 
 def fact_rejects(feed: DataFrame, dims: Dimensions) -> DataFrame:

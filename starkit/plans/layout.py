@@ -23,6 +23,11 @@ BIRTH_YEAR = "biryear"
 GENDER = "gender"
 AIRLINE = "airline"
 
+USED_COLUMNS = (
+    PORT, STATE, CITIZENSHIP, RESIDENCE, ARRIVAL_DAY, VISA, TRANSPORT, AGE, BIRTH_YEAR, GENDER,
+    AIRLINE,
+)
+
 # Sections of the label text.
 COUNTRY_SECTION = "i94cntyl"
 PORT_SECTION = "i94prtl"
@@ -161,3 +166,6 @@ TABLES = (LOCATION, DEMOGRAPHICS, COUNTRY, DATE, JUNK, FACT)
 # Under a target: one folder for each build, and the log of those that were completed.
 BUILD_PREFIX = "build-"
 PUBLISHED = "published"
+# Under a build that keeps lost feed rows: fact and rejects as partitions of one table.
+SPLIT = "split.parquet"
+FACT_PART, REJECT_PART = f"{SPLIT}/rejected=false", f"{SPLIT}/rejected=true"

@@ -13,6 +13,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, replace
 from functools import partial
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -105,23 +106,90 @@ def _stored(df: DataFrame, spec: layout.TableSpec, folder: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{spec.directory}")
 
 
-def publish(spark: SparkSession, target: str, build: str) -> None:
-    """Make a completed build the model. A file of one row appears as a whole."""
+@dataclass(frozen=True)
+class Published:
+    """An entry of a target's log of builds."""
+
+    number: int
+    build: str
+    kind: str  # "full", "incremental" or "compacted"
+    fact_parts: tuple[str, ...]  # folders of the fact, under the target
+    reject_parts: tuple[str, ...] = ()  # folders of kept lost feed rows
+
+
+_LOG = (
+    "build string, published_at timestamp, number bigint, kind string, "
+    "fact_parts array<string>, reject_parts array<string>"
+)
+
+
+def _log(spark: SparkSession, target: str) -> DataFrame:
+    """Entries in the order of their numbers; those of older versions have none."""
+    log = spark.read.schema(_LOG).parquet(f"{target}/{layout.PUBLISHED}")
+    default = F.array(F.concat("build", F.lit(f"/{layout.FACT.directory}")))
+    return log.select(
+        F.struct(F.coalesce("number", F.lit(0)).alias("number"), "published_at", "build").alias("place"),
+        F.coalesce("kind", F.lit("full")).alias("kind"),
+        F.coalesce("fact_parts", default).alias("fact_parts"),
+        F.coalesce("reject_parts", F.array().cast("array<string>")).alias("reject_parts"),
+    )
+
+
+def published(spark: SparkSession, target: str, *kinds: str) -> list[Published]:
+    """The entries of a target's log, the latest first; of some kinds only, if given. One row
+    a build, so a log of years is some thousand rows."""
+    try:
+        log = _log(spark, target)
+    except AnalysisException:  # nothing was ever published
+        return []
+    if kinds:
+        log = log.filter(F.col("kind").isin(*kinds))
+    return [
+        Published(
+            row["place"]["number"],
+            row["place"]["build"],
+            row["kind"],
+            tuple(row["fact_parts"]),
+            tuple(row["reject_parts"]),
+        )
+        for row in log.orderBy(F.desc("place")).collect()
+    ]
+
+
+def publish(
+    spark: SparkSession,
+    target: str,
+    build: str,
+    kind: str = "full",
+    fact_parts: tuple[str, ...] | None = None,
+    reject_parts: tuple[str, ...] = (),
+) -> None:
+    """Make a completed build the model. A file of one row appears as a whole. It is numbered
+    after what is there, so that clocks of different machines do not matter."""
+    earlier = published(spark, target)
+    parts = (f"{build}/{layout.FACT.directory}",) if fact_parts is None else fact_parts
     entry = spark.range(1).select(
-        F.lit(build).alias("build"), F.current_timestamp().alias("published_at")
+        F.lit(build).alias("build"),
+        F.current_timestamp().alias("published_at"),
+        F.lit(earlier[0].number + 1 if earlier else 1).cast("bigint").alias("number"),
+        F.lit(kind).alias("kind"),
+        F.array(*map(F.lit, parts)).cast("array<string>").alias("fact_parts"),
+        F.array(*map(F.lit, reject_parts)).cast("array<string>").alias("reject_parts"),
     )
     entry.write.mode("append").parquet(f"{target}/{layout.PUBLISHED}")
 
 
+def current_build(spark: SparkSession, target: str) -> Published:
+    """The build that was published last."""
+    entries = published(spark, target)
+    if not entries:
+        raise CheckFailed(f"{target}: no build was published")
+    return entries[0]
+
+
 def current_folder(spark: SparkSession, target: str) -> str:
     """The folder of the build that was published last."""
-    log = spark.read.schema("build string, published_at timestamp").parquet(
-        f"{target}/{layout.PUBLISHED}"
-    )
-    last = log.agg(F.max_by("build", F.struct("published_at", "build"))).first()[0]
-    if last is None:
-        raise CheckFailed(f"{target}: no build was published")
-    return f"{target}/{last}"
+    return f"{target}/{current_build(spark, target).build}"
 
 
 def checked_dimension(
@@ -205,11 +273,7 @@ def build_model(
     # Both place dimensions start from these few pairs.
     places = observed_places(feed).checkpoint()
 
-    if config.unknown_countries == "member":
-        country = partial(country_dimension_unknown_member, feed, maps.country_members)
-    else:
-        country = partial(country_dimension, feed, maps.country)
-
+    country = country_builder(feed, maps, config)
     builds = {
         layout.LOCATION.view: partial(location_dimension, places, maps.port),
         layout.DEMOGRAPHICS.view: partial(
@@ -226,13 +290,7 @@ def build_model(
         for m in metrics
     ]
 
-    dims = stored_dimensions(tables)
-    if config.unknown_countries == "member":
-        # Stored as well, so that its size is known when the fact joins it.
-        path = scratch_path(spark, "country-members")
-        maps.country_members.write.parquet(path)
-        dims = replace(dims, country_members=spark.read.parquet(path))
-
+    dims = lookup_dimensions(spark, tables, maps, config)
     stored, measured = write_fact(
         fact_rows(feed, dims), folder, config.fact_keys, config.partition_fact
     )
@@ -257,6 +315,25 @@ def reject_metrics(feed: DataFrame, dims: Dimensions) -> list[TableMetrics]:
     return [TableMetrics(f"rejected:{name}", rows, seconds) for name, rows in lost.items()]
 
 
+def country_builder(feed: DataFrame, maps: CodeMaps, config: BuildConfig) -> Callable[[], DataFrame]:
+    if config.unknown_countries == "member":
+        return partial(country_dimension_unknown_member, feed, maps.country_members)
+    return partial(country_dimension, feed, maps.country)
+
+
+def lookup_dimensions(
+    spark: SparkSession, tables: dict[str, DataFrame], maps: CodeMaps, config: BuildConfig
+) -> Dimensions:
+    """The written dimensions with the country members, if the model has them."""
+    dims = stored_dimensions(tables)
+    if config.unknown_countries == "member":
+        # Stored as well, so that its size is known when the fact joins it.
+        path = scratch_path(spark, "country-members")
+        maps.country_members.write.parquet(path)
+        dims = replace(dims, country_members=spark.read.parquet(path))
+    return dims
+
+
 def stored_dimensions(tables: dict[str, DataFrame]) -> Dimensions:
     """The dimensions of a written model, as the fact's lookups need them."""
     return Dimensions(
@@ -270,10 +347,13 @@ def stored_dimensions(tables: dict[str, DataFrame]) -> Dimensions:
 def load_model(spark: SparkSession, target: str) -> dict[str, DataFrame]:
     """Read a written model and register its tables under their view names."""
     register_day_function(spark)
-    tables, folder = {}, current_folder(spark, target)
+    tables, current = {}, current_build(spark, target)
     for spec in layout.TABLES:
+        paths = [f"{target}/{current.build}/{spec.directory}"]
+        if spec == layout.FACT:
+            paths = [f"{target}/{part}" for part in current.fact_parts]
         # A partitioned fact adds its partition columns to the declared ones.
-        df = spark.read.schema(spec.ddl).parquet(f"{folder}/{spec.directory}")
+        df = spark.read.schema(spec.ddl).parquet(*paths)
         df.createOrReplaceTempView(spec.view)
         tables[spec.view] = df
     return tables

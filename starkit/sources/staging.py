@@ -19,7 +19,7 @@ class SourceSpec:
     """Where a source lies and what it must look like."""
 
     view: str
-    path: str
+    path: str | tuple[str, ...]  # globs, or a list of files
     format: str = "parquet"
     columns: int | None = None  # expected number of columns
     schema: StructType | str | None = None
@@ -44,15 +44,16 @@ def read_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
     reader = spark.read
     if spec.schema is not None:
         reader = reader.schema(spec.schema)
+    paths = [spec.path] if isinstance(spec.path, str) else list(spec.path)
     if spec.format == "parquet":
-        return reader.parquet(spec.path)
+        return reader.parquet(*paths)
     if spec.format == "csv":
         return (
             reader.option("header", True)
             .option("sep", spec.separator)
             .option("mode", "DROPMALFORMED")
             .option("columnPruning", False)
-            .csv(spec.path)
+            .csv(paths)
         )
     raise ValueError(f"{spec.view}: unknown format {spec.format}")
 
