@@ -18,6 +18,7 @@ from starkit.functions import (
 from starkit.operators.guards import unique_guard, unique_guard_nonnull
 from starkit.operators.keys import dense_key, smart_key
 from starkit.operators.pivot import pivot_sum
+from starkit.operators.similar import nearest_names
 from starkit.plans import layout
 
 LOCATION_KEY = ["port_code", "state_code"]
@@ -55,16 +56,33 @@ def demographics_wide(demographics: DataFrame) -> DataFrame:
     )
 
 
+def _respelled(known: DataFrame, wide: DataFrame, distance: int) -> DataFrame:
+    """``known`` with ``city_name``, lower-cased: the port's name, or where no city of the state
+    has it, the nearest city's within ``distance`` edits."""
+    ports = known.select(F.col("port_state").alias("state"), F.lower("port_name").alias("name"))
+    cities = wide.select(F.col("State Code").alias("state"), F.lower("City").alias("name"))
+    nearest = nearest_names(ports, cities, ["state"], distance).select(
+        F.col("state").alias("port_state"), F.col("left_name").alias("_name"), "right_name"
+    )
+    named = known.withColumn("_name", F.lower("port_name")).join(nearest, ["port_state", "_name"], "left")
+    return named.select(*known.columns, F.coalesce("right_name", "_name").alias("city_name"))
+
+
 def demographics_members(
-    feed: DataFrame, port_map: DataFrame, demographics: DataFrame
+    feed: DataFrame, port_map: DataFrame, demographics: DataFrame, distance: int = 0
 ) -> DataFrame:
     """Cities at the feed's ports, matched by name in any case and by state, without ids.
 
-    A city whose other attributes differ between its rows yields several rows.
+    A city whose other attributes differ between its rows yields several rows. With a
+    ``distance``, a port without a city of its name gets the nearest one in spelling.
     """
     wide = demographics_wide(demographics)
     known = _known_places(feed, port_map)
-    same_city = (F.lower("port_name") == F.lower("City")) & (
+    if distance:
+        known = _respelled(known, wide, distance)
+    else:
+        known = known.withColumn("city_name", F.lower("port_name"))
+    same_city = (F.col("city_name") == F.lower("City")) & (
         F.col("port_state") == F.col("State Code")
     )
     return (
@@ -88,10 +106,10 @@ def demographics_members(
 
 
 def demographics_dimension(
-    feed: DataFrame, port_map: DataFrame, demographics: DataFrame
+    feed: DataFrame, port_map: DataFrame, demographics: DataFrame, distance: int = 0
 ) -> DataFrame:
     """The demographics members, numbered by all their columns."""
-    cities = demographics_members(feed, port_map, demographics)
+    cities = demographics_members(feed, port_map, demographics, distance)
     return dense_key(cities, cities.columns)
 
 

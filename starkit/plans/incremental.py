@@ -31,6 +31,7 @@ from starkit.operators.checks import CheckFailed
 from starkit.operators.keys import dense_key
 from starkit.operators.lookup import REASONS
 from starkit.plans import layout
+from starkit.plans.builds import Published, publish, published
 from starkit.plans.dimensions import (
     LOCATION_KEY,
     date_dimension,
@@ -43,13 +44,10 @@ from starkit.plans.fact import FEED_ROW, Dimensions
 from starkit.plans.metrics import TableMetrics
 from starkit.plans.model import (
     BuildConfig,
-    Published,
     Sources,
     country_builder,
     load_model,
     lookup_dimensions,
-    publish,
-    published,
     stage_sources,
     stored_dimensions,
     write_dimensions,
@@ -107,7 +105,7 @@ def sources_digest(sources: Sources, config: BuildConfig) -> str:
     """Equal for equal label texts, city statistics and options that shape rows."""
     maps = sources.maps
     tables = [maps.port, maps.country, maps.country_members, maps.transport, sources.demographics]
-    parts = [config.unknown_countries]
+    parts = [config.unknown_countries, str(config.city_distance)]
     for table in tables:
         hashed = F.xxhash64(*table.columns)
         row = table.agg(F.count(F.lit(1)), F.coalesce(F.bit_xor(hashed), F.lit(0))).first()
@@ -184,7 +182,9 @@ def _dimensions(
         return _grown(members().select(*spec.columns), table)
 
     cities_key = [c for c in layout.DEMOGRAPHICS.columns if c != "id"]
-    cities = partial(demographics_members, places, maps.port, sources.demographics)
+    cities = partial(
+        demographics_members, places, maps.port, sources.demographics, config.city_distance
+    )
     builds = {
         layout.LOCATION.view: partial(
             keyed, layout.LOCATION, LOCATION_KEY, partial(location_members, places, maps.port)

@@ -230,6 +230,85 @@ _MISSES = {
     "any": " OR ".join([_PORT_MISS, _JUNK_MISS, _CIT_MISS, _RES_MISS, _CITY_MISS]),
 }
 
+_REASONS = list(_MISSES)[:-1]
+_MASK = " + ".join(
+    f"CASE WHEN {_MISSES[name]} THEN {1 << k} ELSE 0 END" for k, name in enumerate(_REASONS)
+)
+_NAMES = ", ".join(f"CASE WHEN reject_reasons & {1 << k} > 0 THEN '{n}' END" for k, n in enumerate(_REASONS))
+_MARKED = f"SELECT *, CAST({_MASK} AS INTEGER) AS reject_reasons FROM visit"
+_ODD_HOME = "TRY_CAST(port AS INTEGER) % 2 = 1 AND addr = CAST(TRY_CAST(port AS INTEGER) % 5 AS VARCHAR)"
+_FIRST_DAY = f"NOT coalesce({_ODD_HOME}, false) AND arrdate % 3 <> 1"
+_BROKEN = """CASE c_custkey % 30
+    WHEN 10 THEN concat_ws(';', c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, 'more')
+    WHEN 20 THEN concat_ws(';', 'x' || c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment)
+    ELSE 'broken;line-' || c_custkey END"""
+_SPELLED = """spelled AS (
+    SELECT c_custkey, c_nationkey, regexp_replace(md5(CAST(c_custkey AS VARCHAR)), '[0-9]', '', 'g') AS n
+    FROM customer),
+lefts AS (SELECT DISTINCT c_nationkey, CASE WHEN length(n) < 5 OR c_custkey % 4 = 3 THEN n
+    WHEN c_custkey % 4 = 0 THEN substr(n, 1, 3) || substr(n, 5)
+    WHEN c_custkey % 4 = 1 THEN substr(n, 1, 2) || substr(n, 4, 1) || substr(n, 3, 1) || substr(n, 5)
+    ELSE n || 'z' END AS left_name FROM spelled),
+rights AS (SELECT DISTINCT c_nationkey, n AS right_name FROM spelled),
+pairs AS (SELECT *, CAST(levenshtein(left_name, right_name) AS INTEGER) AS distance
+    FROM lefts JOIN rights USING (c_nationkey)
+    WHERE left_name <> right_name AND levenshtein(left_name, right_name) <= 2)"""
+_FEATURES = {
+    "fact_quarantine": _with(
+        ["visit", "location", "junk", "country", "demographics"],
+        f"""WITH marked AS ({_MARKED})
+        SELECT port, addr AS state, CAST(cit AS INTEGER) AS i94cit, CAST(res AS INTEGER) AS i94res,
+            arrdate, CAST(mode AS INTEGER) AS transport, airline, reject_reasons,
+            concat_ws('+', {_NAMES}) AS reasons
+        FROM marked WHERE reject_reasons > 0""",
+    ),
+    "fact_quarantine_balance": _with(
+        ["fact"],
+        f"""WITH marked AS ({_MARKED})
+        SELECT 0 AS reject_reasons, count(*) AS row_count, '' AS reasons FROM fact
+        UNION ALL SELECT reject_reasons, count(*), any_value(concat_ws('+', {_NAMES}))
+        FROM marked WHERE reject_reasons > 0 GROUP BY reject_reasons""",
+    ),
+    "incremental_build": _with(
+        ["fact"],
+        """SELECT f.* EXCLUDE (arrival_location_id, arrlocation_demographics_id), l.port_code,
+            l.state_code, d.city, d.median_age
+        FROM fact f JOIN location l ON l.id = arrival_location_id
+        JOIN demographics d ON d.id = arrlocation_demographics_id""",
+    ),
+    "incremental_keys": _with(
+        ["location", "demographics"],
+        f"""WITH early AS (SELECT DISTINCT port, addr FROM visit WHERE {_FIRST_DAY})
+        SELECT 'dim_arrival_location' AS table_name,
+            count(*) FILTER ((port_code, state_code) IN (SELECT (port, addr) FROM early)) AS first_members,
+            count(*) AS last_members, first_members AS kept_ids, count(*) AS ids FROM location
+        UNION ALL SELECT 'dim_demographics',
+            count(*) FILTER ((port_code, state_code) IN (SELECT (port, addr) FROM early)) AS first_members,
+            count(*), first_members, count(*) FROM demographics""",
+    ),
+    "scan_csv_quarantine": f"""WITH lines AS (
+            SELECT c_custkey // 1000 AS file_number, c_custkey, 0 AS n, '' AS line FROM customer
+            UNION ALL SELECT c_custkey // 1000, c_custkey, 1, {_BROKEN} FROM customer
+            WHERE c_custkey % 10 = 0)
+        SELECT CAST(file_number AS INTEGER) AS file_number, record, line FROM (
+            SELECT *, row_number() OVER (PARTITION BY file_number ORDER BY c_custkey, n) AS record
+            FROM lines) WHERE n = 1""",
+    "scan_csv_captured": "SELECT * FROM customer",
+    "scan_drifting_feed": """SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,
+            CASE l_orderkey % 6 WHEN 3 THEN NULL WHEN 1 THEN trunc(l_quantity) ELSE l_quantity END
+                AS l_quantity,
+            CASE WHEN l_orderkey % 6 <> 4 THEN l_returnflag END AS l_returnflag,
+            CASE WHEN l_orderkey % 6 <> 4 THEN l_shipdate END AS l_shipdate
+        FROM lineitem WHERE l_orderkey % 6 <> 5""",
+    "join_similar_place": f"WITH {_SPELLED} SELECT * FROM pairs",
+    "join_nearest_place": f"""WITH {_SPELLED}, wanted AS (
+            SELECT *, min(distance) OVER (PARTITION BY c_nationkey, left_name) AS least FROM pairs
+            WHERE (c_nationkey, left_name) NOT IN (SELECT (c_nationkey, right_name) FROM rights))
+        SELECT c_nationkey, left_name, min(right_name) AS right_name, least AS distance,
+            count(*) - 1 AS rivals
+        FROM wanted WHERE distance = least GROUP BY c_nationkey, left_name, least""",
+}
+
 ORACLES: dict[str, str] = {
     "scan_parquet": "SELECT * FROM customer",
     "scan_csv_dropmalformed": "SELECT * FROM customer",
@@ -373,6 +452,7 @@ ORACLES: dict[str, str] = {
     "model_roundtrip": _with(["fact", "calendar"], _model_rows()),
     "sql_tables": """SELECT c_mktsegment, count(*) AS orders, max(o_totalprice) AS largest
         FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_mktsegment""",
+    **_FEATURES,
     "report_top_locations": _with(
         ["fact"],
         """WITH counted AS (SELECT arrival_location_id AS id, count(*) AS n FROM fact GROUP BY 1)

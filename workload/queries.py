@@ -32,6 +32,7 @@ from starkit.session import scratch_path
 from starkit.sources.labels import literal_map, parse_sections, read_label_texts
 from starkit.sources.mapfiles import read_code_map, write_code_map
 from starkit.sources.staging import SourceSpec, normalize_column_names, read_source, stage
+from workload import features
 from workload.visits import config_for, model_for, sources_for, table, transport_labels
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -512,4 +513,5 @@ QUERIES: dict[str, Query] = {
     "report_season_histogram": _report(reports.season_histogram),
     "report_by_purpose": _report(reports.by_purpose),
     "report_by_mode": _report(reports.by_mode),
+    **features.QUERIES,
 }
