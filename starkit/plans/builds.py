@@ -16,13 +16,18 @@ from starkit.operators.checks import CheckFailed
 from starkit.plans import layout
 
 
+# Kinds of builds that are models; others may share a target's log.
+FULL, INCREMENTAL, COMPACTED = "full", "incremental", "compacted"
+MODELS = (FULL, INCREMENTAL, COMPACTED)
+
+
 @dataclass(frozen=True)
 class Published:
     """An entry of a target's log of builds."""
 
     number: int
     build: str
-    kind: str  # "full", "incremental" or "compacted"
+    kind: str
     fact_parts: tuple[str, ...]  # folders of the fact, under the target
     reject_parts: tuple[str, ...] = ()  # folders of kept lost feed rows
 
@@ -39,7 +44,7 @@ def _log(spark: SparkSession, target: str) -> DataFrame:
     default = F.array(F.concat("build", F.lit(f"/{layout.FACT.directory}")))
     return log.select(
         F.struct(F.coalesce("number", F.lit(0)).alias("number"), "published_at", "build").alias("place"),
-        F.coalesce("kind", F.lit("full")).alias("kind"),
+        F.coalesce("kind", F.lit(FULL)).alias("kind"),
         F.coalesce("fact_parts", default).alias("fact_parts"),
         F.coalesce("reject_parts", F.array().cast("array<string>")).alias("reject_parts"),
     )
@@ -70,7 +75,7 @@ def publish(
     spark: SparkSession,
     target: str,
     build: str,
-    kind: str = "full",
+    kind: str = FULL,
     fact_parts: tuple[str, ...] | None = None,
     reject_parts: tuple[str, ...] = (),
 ) -> None:
@@ -90,13 +95,13 @@ def publish(
 
 
 def current_build(spark: SparkSession, target: str) -> Published:
-    """The build that was published last."""
-    entries = published(spark, target)
+    """The model that was published last."""
+    entries = published(spark, target, *MODELS)
     if not entries:
         raise CheckFailed(f"{target}: no build was published")
     return entries[0]
 
 
 def current_folder(spark: SparkSession, target: str) -> str:
-    """The folder of the build that was published last."""
+    """The folder of the model that was published last."""
     return f"{target}/{current_build(spark, target).build}"

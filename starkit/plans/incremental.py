@@ -31,7 +31,8 @@ from starkit.operators.checks import CheckFailed
 from starkit.operators.keys import dense_key
 from starkit.operators.lookup import REASONS
 from starkit.plans import layout
-from starkit.plans.builds import Published, publish, published
+from starkit.plans.builds import COMPACTED, INCREMENTAL, Published, current_build, publish, published
+from starkit.plans.cube import write_cube
 from starkit.plans.dimensions import (
     LOCATION_KEY,
     date_dimension,
@@ -55,7 +56,6 @@ from starkit.plans.model import (
 from starkit.plans.quarantine import SplitCounts, read_rejects, split_feed, write_split
 from starkit.session import scratch_path
 
-KINDS = ("incremental", "compacted")
 _FILES, _STATE = "feed_files.parquet", "state.parquet"
 _FILES_SCHEMA = "path string, length bigint, modified timestamp"
 _STATE_SCHEMA = "sources string, next_id bigint"
@@ -82,7 +82,7 @@ def feed_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _earlier(spark: SparkSession, target: str) -> Earlier | None:
-    entries = published(spark, target, *KINDS)
+    entries = published(spark, target, INCREMENTAL, COMPACTED)
     if not entries:
         return None
     folder = f"{target}/{entries[0].build}"
@@ -254,7 +254,7 @@ def incremental_build(
     (files if earlier is None else _all_files(files, earlier.files)).write.parquet(f"{folder}/{_FILES}")
     state = spark.createDataFrame([(digest, counts.next_id)], _STATE_SCHEMA)
     state.coalesce(1).write.parquet(f"{folder}/{_STATE}")
-    publish(spark, config.target, build, "incremental", fact_parts, reject_parts)
+    publish(spark, config.target, build, INCREMENTAL, fact_parts, reject_parts)
     return load_model(spark, config.target), metrics
 
 
@@ -295,6 +295,8 @@ def _write_parts(
     counts = write_split(split, folder, earlier.next_id if earlier else 0)
     if counts.fact_rows:
         fact_parts = (*fact_parts, f"{build}/{layout.FACT_PART}")
+        if config.cube:
+            write_cube(spark.read.schema(layout.FACT.ddl).parquet(f"{folder}/{layout.FACT_PART}"), folder)
     if counts.rejected_rows:
         reject_parts = (*reject_parts, f"{build}/{layout.REJECT_PART}")
     return counts, fact_parts, reject_parts
@@ -312,6 +314,6 @@ def _tables_of(spark: SparkSession, target: str, entry: Published) -> dict[str,
 def lost_rows(spark: SparkSession, target: str, feed: DataFrame) -> DataFrame:
     """The model's lost feed rows ``(columns..., reject_reasons)``, with the columns of ``feed``
     that the fact uses."""
-    parts = published(spark, target)[0].reject_parts
+    parts = current_build(spark, target).reject_parts
     used = feed.select(*layout.USED_COLUMNS)
     return read_rejects(spark, [f"{target}/{part}" for part in parts], used)

@@ -29,6 +29,7 @@ from starkit.operators.keys import positional_key, row_key
 from starkit.plans import layout
 from starkit.plans.builds import Published, current_build, current_folder, publish, published
 from starkit.plans.codemaps import CodeMaps, build_code_maps, export_code_maps
+from starkit.plans.cube import CUBE_VIEW, load_cube, write_cube
 from starkit.plans.dimensions import (
     country_dimension,
     country_dimension_unknown_member,
@@ -70,6 +71,7 @@ class BuildConfig:
     partition_fact: bool = False  # by arrival_year and arrival_month
     export_maps: bool = True
     map_delimiter: str = ";"
+    cube: bool = False  # counts for the reports are stored with the fact
     count_rejects: bool = False  # feed rows lost per lookup, from one more pass over the feed
 
 
@@ -217,6 +219,8 @@ def build_model(
     )
     tables[layout.FACT.view] = stored
     metrics.append(measured)
+    if config.cube:
+        write_cube(stored, folder)
     if config.count_rejects:
         metrics += reject_metrics(feed, dims)
     if config.export_maps:
@@ -265,8 +269,9 @@ def stored_dimensions(tables: dict[str, DataFrame]) -> Dimensions:
     )
 
 
-def load_model(spark: SparkSession, target: str) -> dict[str, DataFrame]:
-    """Read a written model and register its tables under their view names."""
+def load_model(spark: SparkSession, target: str, cube: bool = False) -> dict[str, DataFrame]:
+    """Read a written model and register its tables under their view names; with ``cube``,
+    the stored counts as well, which reports then use instead of the fact."""
     register_day_function(spark)
     tables, current = {}, current_build(spark, target)
     for spec in layout.TABLES:
@@ -277,6 +282,8 @@ def load_model(spark: SparkSession, target: str) -> dict[str, DataFrame]:
         df = spark.read.schema(spec.ddl).parquet(*paths)
         df.createOrReplaceTempView(spec.view)
         tables[spec.view] = df
+    if cube:
+        tables[CUBE_VIEW] = load_cube(spark, target)
     return tables
 
 

@@ -2,7 +2,8 @@
 
 Counts are taken per foreign key first and labelled afterwards: the fact is
 reduced map-side to a few rows per task before a label is joined. Conditions on
-dimensions become semi joins that thin the fact out first.
+dimensions become semi joins that thin the fact out first. With a cube among the tables
+(``cube.load_cube``) its counts are added up instead, and the fact is not read.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from starkit.functions import percent
 from starkit.plans import layout
+from starkit.plans.cube import VISITS, facts_for
 
 # The names of result columns below (``visitor_amount``, ``arrival_day``, ``amount``,
 # ``citizenship``, ``city``, ``ratio``, ...) are fixed values that users' SQL relies on.
@@ -51,12 +53,14 @@ def _count(
     measure: str,
     extra: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """Count fact rows by labels of the linked dimensions and by ``extra`` expressions."""
+    """Count fact rows, or add up stored counts, by labels of the linked dimensions and by
+    ``extra`` expressions."""
     extra = extra or {}
     foreign_keys = [link.foreign_key for link in labels]
+    rows = F.sum(VISITS) if VISITS in fact.columns else F.count(F.lit(1))
     counted = fact.groupBy(
         *foreign_keys, *[expression.alias(name) for name, expression in extra.items()]
-    ).agg(F.count(F.lit(1)).alias("_rows"))
+    ).agg(rows.alias("_rows"))
     for number, (link, columns) in enumerate(labels.items()):
         key = f"_key_{number}"
         names = tables[link.view].select(
@@ -74,20 +78,24 @@ def _top(df: DataFrame, measure: str, k: int) -> DataFrame:
     return df.orderBy(F.desc(measure), *others).limit(k)
 
 
+def _facts(tables: Tables, *links: Link) -> DataFrame:
+    return facts_for(tables, *[link.foreign_key for link in links])
+
+
 def _city() -> dict[Link, dict[str, Column]]:
     return {LOCATION: {"city": F.col("port_name")}}
 
 
 def top_locations(tables: Tables, k: int = 5) -> DataFrame:
     """Cities with the most visitors."""
-    fact = tables[layout.FACT.view]
+    fact = _facts(tables, LOCATION)
     return _top(_count(fact, tables, _city(), "visitor_amount"), "visitor_amount", k)
 
 
 def busiest_weekday(tables: Tables, city: str, year: int, month: int, k: int = 1) -> DataFrame:
     """The weekday with the most arrivals in one city and month."""
     in_month = (F.col("month") == month) & (F.col("year") == year)
-    fact = tables[layout.FACT.view]
+    fact = _facts(tables, LOCATION, DATE)
     if "arrival_month" in fact.columns:
         # A fact partitioned by month is read for that month only.
         fact = fact.where((F.col("arrival_year") == year) & (F.col("arrival_month") == month))
@@ -100,14 +108,14 @@ def busiest_weekday(tables: Tables, city: str, year: int, month: int, k: int = 1
 def top_origins(tables: Tables, k: int = 5) -> DataFrame:
     """Citizenships with the most visits."""
     labels = {CITIZENSHIP: {"country_name": F.col("country_name")}}
-    counted = _count(tables[layout.FACT.view], tables, labels, "visitor_amount")
+    counted = _count(_facts(tables, CITIZENSHIP), tables, labels, "visitor_amount")
     return _top(counted, "visitor_amount", k)
 
 
 def top_locations_for_origin(tables: Tables, origin: str, k: int = 5) -> DataFrame:
     """Cities most visited by citizens of one country."""
     fact = _only(
-        tables[layout.FACT.view], tables, CITIZENSHIP, F.col("country_name") == origin
+        _facts(tables, LOCATION, CITIZENSHIP), tables, CITIZENSHIP, F.col("country_name") == origin
     )
     return _top(_count(fact, tables, _city(), "visitor_amount"), "visitor_amount", k)
 
@@ -120,7 +128,7 @@ def origin_vs_share(
     Cities are told apart by the exact share; it is rounded for display only.
     """
     fact = _only(
-        tables[layout.FACT.view], tables, CITIZENSHIP, F.col("country_name") == origin
+        _facts(tables, LOCATION, CITY_PROFILE, CITIZENSHIP), tables, CITIZENSHIP, F.col("country_name") == origin
     )
     labels = {
         CITIZENSHIP: {"citizenship": F.col("country_name")},
@@ -134,7 +142,7 @@ def origin_vs_share(
 def top_locations_by_purpose(tables: Tables, visa_types: list[str], k: int = 5) -> DataFrame:
     """Cities most visited on the given visa types."""
     fact = _only(
-        tables[layout.FACT.view], tables, VISIT_KIND, F.col("visa_type").isin(visa_types)
+        _facts(tables, LOCATION, VISIT_KIND), tables, VISIT_KIND, F.col("visa_type").isin(visa_types)
     )
     labels = {VISIT_KIND: {"visa_type": F.col("visa_type")}, **_city()}
     return _top(_count(fact, tables, labels, "amount"), "amount", k)
@@ -150,7 +158,7 @@ def share_correlation(
         CITY_PROFILE: {"population_share": percent(F.col(group), F.col("total_population"))},
         CITIZENSHIP: {"from_origin": F.col("country_name").isin(origins)},
     }
-    counted = _count(tables[layout.FACT.view], tables, labels, "visits")
+    counted = _count(_facts(tables, LOCATION, CITY_PROFILE, CITIZENSHIP), tables, labels, "visits")
     shares = (
         counted.groupBy("city", "population_share")
         .agg(
@@ -169,27 +177,26 @@ def share_correlation(
 def bucket_by_location(tables: Tables, width: int = 10) -> DataFrame:
     """Visitors by age group, named by its lower bound, and city."""
     age_group = (F.floor(F.col("immigrant_age") / width) * width).cast("int")
-    return _count(
-        tables[layout.FACT.view], tables, _city(), "visitor_amount", {"age_group": age_group}
-    )
+    fact = facts_for(tables, LOCATION.foreign_key, "immigrant_age")
+    return _count(fact, tables, _city(), "visitor_amount", {"age_group": age_group})
 
 
 def season_histogram(tables: Tables) -> DataFrame:
     """Visitors by quarter and city."""
     labels = {DATE: {"quarter": F.col("quarter")}, **_city()}
-    return _count(tables[layout.FACT.view], tables, labels, "visitor_amount")
+    return _count(_facts(tables, LOCATION, DATE), tables, labels, "visitor_amount")
 
 
 def by_purpose(tables: Tables) -> DataFrame:
     """Visitors by visa type."""
     labels = {VISIT_KIND: {"visa_type": F.col("visa_type")}}
-    return _count(tables[layout.FACT.view], tables, labels, "visitor_amount")
+    return _count(_facts(tables, VISIT_KIND), tables, labels, "visitor_amount")
 
 
 def by_mode(tables: Tables) -> DataFrame:
     """Visitors by mode of transport."""
     labels = {VISIT_KIND: {"transport_type": F.col("transport_type")}}
-    return _count(tables[layout.FACT.view], tables, labels, "visitor_amount")
+    return _count(_facts(tables, VISIT_KIND), tables, labels, "visitor_amount")
 
 
 def by_origin_pair(tables: Tables) -> DataFrame:
@@ -198,7 +205,7 @@ def by_origin_pair(tables: Tables) -> DataFrame:
         CITIZENSHIP: {"citizenship": F.col("country_name")},
         RESIDENCE: {"residence": F.col("country_name")},
     }
-    return _count(tables[layout.FACT.view], tables, labels, "visitor_amount")
+    return _count(_facts(tables, CITIZENSHIP, RESIDENCE), tables, labels, "visitor_amount")
 
 
 def inspect(tables: Tables, view: str, n: int = 10) -> DataFrame:

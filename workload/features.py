@@ -9,11 +9,23 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starkit.operators.lookup import REASONS, reason_names
+from starkit.operators.profiles import (
+    DISTINCT_ERROR,
+    PROFILE,
+    RANK_ERROR,
+    described,
+    drift,
+    merged,
+    profile,
+)
 from starkit.operators.similar import nearest_names, similar_names
-from starkit.plans import layout
-from starkit.plans.builds import published
+from starkit.plans import layout, reports
+from starkit.plans.builds import INCREMENTAL, published
+from starkit.plans.clustered import write_clustered
+from starkit.plans.cube import CUBE_DIRECTORY, write_cube
 from starkit.plans.fact import fact_lookups
 from starkit.plans.incremental import incremental_build
+from starkit.plans.maintenance import bag_diff, build_diff, compact, keyed_diff
 from starkit.plans.model import load_model, stored_dimensions
 from starkit.plans.quarantine import explained, read_rejects, split_feed, write_split
 from starkit.session import scratch_path
@@ -83,7 +95,7 @@ def _daily_target(spark: SparkSession, sf_dir: str) -> tuple[str, list[str]]:
     key = spark.sparkContext.applicationId, sf_dir
     if key not in _daily:
         root = scratch_path(spark, "daily")
-        config = replace(write_sources(spark, sf_dir), feed_path=f"{root}/feed/*/*.parquet", target=f"{root}/model")
+        config = replace(write_sources(spark, sf_dir), feed_path=f"{root}/feed/*/*.parquet", target=f"{root}/model", cube=True)
         feed = visit_feed(spark, sf_dir).withColumn("day", F.coalesce(delivery_day(), F.lit(0)))
         whole = f"{root}/whole"
         feed.write.parquet(whole)
@@ -91,7 +103,8 @@ def _daily_target(spark: SparkSession, sf_dir: str) -> tuple[str, list[str]]:
         for day in range(3):
             feed.filter(F.col("day") == day).drop("day").write.parquet(f"{root}/feed/day-{day}")
             incremental_build(spark, config)
-        folders = [f"{config.target}/{entry.build}" for entry in reversed(published(spark, config.target))]
+        entries = published(spark, config.target, INCREMENTAL)
+        folders = [f"{config.target}/{entry.build}" for entry in reversed(entries)]
         _daily[key] = config.target, folders
     return _daily[key]
 
@@ -237,6 +250,140 @@ def join_nearest_place(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("rivals", F.col("rivals").cast("bigint"))
 
 
+# Cube
+
+
+def report_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored counts of all grouping sets of the fact."""
+    folder = scratch_path(spark, "cube")
+    write_cube(load_model(spark, model_for(spark, sf_dir))[layout.FACT.view], folder)
+    return spark.read.parquet(f"{folder}/{CUBE_DIRECTORY}")
+
+
+def report_cube_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visitors by quarter and city from the cubes of three daily builds."""
+    target, _ = _daily_target(spark, sf_dir)
+    return reports.season_histogram(load_model(spark, target, cube=True))
+
+
+# Builds over time
+
+
+def keyed_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers against a later state with planted changes."""
+    before = table(spark, sf_dir, "customer")
+    key = F.col("c_custkey")
+    after = before.filter(key % 50 != 7).withColumns(
+        {
+            "c_acctbal": F.when(key % 7 == 0, F.col("c_acctbal") + 1).otherwise(F.col("c_acctbal")),
+            "c_mktsegment": F.when(key % 11 == 0, F.lit("OTHER")).otherwise(F.col("c_mktsegment")),
+            "c_custkey": F.when(key % 50 == 8, key + 10**9).otherwise(key),
+        }
+    )
+    found = keyed_diff(before, after, ("c_custkey",))
+    return found.withColumn("columns", F.array_join("columns", "+"))
+
+
+def bag_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items without their key, against a later state with fewer and more of some."""
+    lines = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus", "l_linenumber", "l_orderkey")
+    before = lines.filter("l_orderkey % 100 != 1").drop("l_orderkey")
+    after = lines.filter("l_orderkey % 100 != 2 AND NOT (l_returnflag = 'R' AND l_linenumber = 7)")
+    return bag_diff(before, after.drop("l_orderkey"))
+
+
+def build_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Members that the later of three daily builds added to the first one's."""
+    target, _ = _daily_target(spark, sf_dir)
+    numbers = sorted(entry.number for entry in published(spark, target, INCREMENTAL))
+    return build_diff(spark, target, numbers[0], numbers[-1]).drop("columns")
+
+
+def fact_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact of three daily builds after its parts were rewritten as one."""
+    target, _ = _daily_target(spark, sf_dir)
+    compact(spark, target)
+    return incremental_fact(spark, sf_dir)
+
+
+# Profiles and layout
+
+PROFILED = ("customer", "orders", "lineitem", "supplier", "part")
+
+
+def _profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profiles of some tables, merged from those of three parts of each."""
+    parts = []
+    for name in PROFILED:
+        df = table(spark, sf_dir, name)
+        third = F.pmod(F.col(df.columns[0]), F.lit(3))
+        parts += [profile(df.filter(third == k), name) for k in range(3)]
+    stored = scratch_path(spark, "profiles")
+    reduce(DataFrame.union, parts).write.parquet(stored)
+    return merged(spark.read.schema(PROFILE).parquet(stored))
+
+
+def profile_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The exact parts of the merged profiles."""
+    found = described(_profiles(spark, sf_dir))
+    exact = ["table_name", "column_name", "row_count", "null_count", "least", "greatest"]
+    return found.select(*exact, F.round("mean_length", 6).alias("mean_length"))
+
+
+def profile_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether distinct counts and medians of the sketches are within their bounds."""
+    found = described(_profiles(spark, sf_dir), (0.5,))
+    parts = []
+    for name in PROFILED:
+        df = table(spark, sf_dir, name)
+        for column, kind in df.dtypes:
+            number = F.col(column).cast("double") if kind in ("bigint", "int", "double") else F.lit(None).cast("double")
+            own = found.filter((F.col("table_name") == name) & (F.col("column_name") == column))
+            median = own.select("table_name", "column_name", "distinct_estimate", F.col("quantiles")[0].alias("median"))
+            values = df.select(F.col(column).alias("value"), number.alias("number"))
+            exact = values.agg(F.count_distinct("value").alias("exact"), F.count("number").alias("numbers"))
+            ranks = values.join(F.broadcast(median), F.lit(True)).agg(
+                F.count_if(F.col("number") < F.col("median")).alias("below"),
+                F.count_if(F.col("number") <= F.col("median")).alias("up_to"),
+            )
+            both = median.join(exact, F.lit(True)).join(ranks, F.lit(True))
+            half, slack = F.col("numbers") / 2, RANK_ERROR * F.col("numbers") + 1
+            parts.append(
+                both.select(
+                    "table_name",
+                    "column_name",
+                    (F.abs(F.col("distinct_estimate") - F.col("exact")) <= DISTINCT_ERROR * F.col("exact")).alias("distinct_near"),
+                    ((F.col("below") - slack <= half) & (half <= F.col("up_to") + slack)).alias("median_near"),
+                )
+            )
+    return reduce(DataFrame.union, parts)
+
+
+def profile_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What changed from orders to a later state with planted changes."""
+    orders = table(spark, sf_dir, "orders").drop("o_orderdate")
+    later = orders.withColumns(
+        {
+            "o_totalprice": F.col("o_totalprice") * 3,
+            "o_orderstatus": F.when(F.col("o_orderkey") % 4 > 0, F.col("o_orderstatus")),
+            "o_custkey": F.col("o_custkey") % 100,
+            "o_extra": F.lit(1),
+        }
+    ).drop("o_orderpriority")
+    found = drift(profile(orders, "orders"), profile(later, "orders"))
+    return found.withColumn("findings", F.array_join("findings", "+"))
+
+
+def fact_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fact rows of one place and some days, from a fact stored by place, day and citizenship."""
+    fact = load_model(spark, model_for(spark, sf_dir))[layout.FACT.view]
+    path = scratch_path(spark, "clustered")
+    keys = ["arrival_location_id", "arrival_date_id", "country_id_citizenship"]
+    write_clustered(fact, keys, path, file_rows=max(1, fact.count() // 64))
+    stored = spark.read.schema(layout.FACT.ddl).parquet(path)
+    return stored.filter("arrival_location_id = 3 AND arrival_date_id BETWEEN 13500 AND 14000").drop("id")
+
+
 QUERIES = {
     "fact_quarantine": fact_quarantine,
     "fact_quarantine_balance": fact_quarantine_balance,
@@ -247,4 +394,14 @@ QUERIES = {
     "scan_drifting_feed": scan_drifting_feed,
     "join_similar_place": join_similar_place,
     "join_nearest_place": join_nearest_place,
+    "keyed_diff": keyed_changes,
+    "bag_diff": bag_changes,
+    "build_diff": build_changes,
+    "fact_compacted": fact_compacted,
+    "profile_tables": profile_tables,
+    "profile_sketches": profile_sketches,
+    "profile_drift": profile_drift,
+    "fact_clustered": fact_clustered,
+    "report_cube": report_cube,
+    "report_cube_daily": report_cube_daily,
 }

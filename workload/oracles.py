@@ -230,6 +230,47 @@ _MISSES = {
     "any": " OR ".join([_PORT_MISS, _JUNK_MISS, _CIT_MISS, _RES_MISS, _CITY_MISS]),
 }
 
+_CUBE_KEYS = {
+    "arrival_location_id": "BIGINT", "arrlocation_demographics_id": "BIGINT",
+    "country_id_citizenship": "INTEGER", "arrival_date_id": "INTEGER", "visa_transport_id": "INTEGER",
+    "immigrant_age": "INTEGER", "country_id_residence": "INTEGER",
+}
+_CUBE_SETS = {
+    "place_origin": ["arrival_location_id", "arrlocation_demographics_id", "country_id_citizenship"],
+    "place_day": ["arrival_location_id", "arrival_date_id"],
+    "place_kind": ["arrival_location_id", "visa_transport_id"],
+    "place_age": ["arrival_location_id", "immigrant_age"],
+    "origins": ["country_id_citizenship", "country_id_residence"],
+}
+
+
+def _cube_rows() -> str:
+    parts = []
+    for name, keys in _CUBE_SETS.items():
+        columns = ", ".join(
+            f"CAST({key if key in keys else 'NULL'} AS {kind}) AS {key}" for key, kind in _CUBE_KEYS.items()
+        )
+        parts.append(
+            f"SELECT {columns}, count(*) AS visits, '{name}' AS grouping_set FROM fact GROUP BY {', '.join(keys)}"
+        )
+    return " UNION ALL ".join(parts)
+
+
+_PROFILED = {
+    "customer": ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"],
+    "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"],
+    "lineitem": _LINE_COLUMNS,
+    "supplier": ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"],
+    "part": ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"],
+}
+
+
+def _per_column(select: str) -> str:
+    return " UNION ALL ".join(
+        select.format(table=name, column=column) for name, columns in _PROFILED.items() for column in columns
+    )
+
+
 _REASONS = list(_MISSES)[:-1]
 _MASK = " + ".join(
     f"CASE WHEN {_MISSES[name]} THEN {1 << k} ELSE 0 END" for k, name in enumerate(_REASONS)
@@ -293,6 +334,67 @@ _FEATURES = {
         SELECT CAST(file_number AS INTEGER) AS file_number, record, line FROM (
             SELECT *, row_number() OVER (PARTITION BY file_number ORDER BY c_custkey, n) AS record
             FROM lines) WHERE n = 1""",
+    "keyed_diff": """WITH later AS (
+            SELECT CASE WHEN c_custkey % 50 = 8 THEN c_custkey + 1000000000 ELSE c_custkey END AS c_custkey,
+                c_custkey % 7 = 0 AS balance, c_custkey % 11 = 0 AND c_mktsegment <> 'OTHER' AS segment
+            FROM customer WHERE c_custkey % 50 <> 7)
+        SELECT c_custkey, 'removed' AS change, '' AS columns FROM customer
+        WHERE c_custkey NOT IN (SELECT c_custkey FROM later)
+        UNION ALL SELECT c_custkey, 'added', '' FROM later
+        WHERE c_custkey NOT IN (SELECT c_custkey FROM customer)
+        UNION ALL SELECT c_custkey, 'changed', concat_ws('+', CASE WHEN balance THEN 'c_acctbal' END,
+            CASE WHEN segment THEN 'c_mktsegment' END)
+        FROM later WHERE (balance OR segment) AND c_custkey IN (SELECT c_custkey FROM customer)""",
+    "bag_diff": """SELECT l_returnflag, l_linestatus, l_linenumber,
+            count(*) FILTER (l_orderkey % 100 <> 2 AND NOT (l_returnflag = 'R' AND l_linenumber = 7))
+                - count(*) FILTER (l_orderkey % 100 <> 1) AS surplus
+        FROM lineitem GROUP BY 1, 2, 3 HAVING surplus <> 0""",
+    "build_diff": _with(
+        ["location", "demographics", "country", "calendar"],
+        f"""WITH early AS (SELECT * FROM visit WHERE {_FIRST_DAY})
+        SELECT 'dim_arrival_location' AS table_name, port_code || '|' || state_code AS row_key,
+            'added' AS change FROM location
+        WHERE (port_code, state_code) NOT IN (SELECT (port, addr) FROM early)
+        UNION ALL SELECT 'dim_demographics', concat_ws('|', port_code, city, state_code,
+            CAST(median_age AS VARCHAR)), 'added' FROM demographics
+        WHERE (port_code, state_code) NOT IN (SELECT (port, addr) FROM early)
+        UNION ALL SELECT 'dim_origin_country', CAST(country_id AS VARCHAR), 'added' FROM country
+        WHERE country_id NOT IN (SELECT cit FROM early UNION SELECT res FROM early)
+        UNION ALL SELECT 'dim_arrival_date', CAST(arrdate AS VARCHAR), 'added' FROM calendar
+        WHERE arrdate NOT IN (SELECT arrdate FROM early)""",
+    ),
+    "fact_compacted": _with(
+        ["fact"],
+        """SELECT f.* EXCLUDE (arrival_location_id, arrlocation_demographics_id), l.port_code,
+            l.state_code, d.city, d.median_age
+        FROM fact f JOIN location l ON l.id = arrival_location_id
+        JOIN demographics d ON d.id = arrlocation_demographics_id""",
+    ),
+    "profile_tables": _per_column(
+        """SELECT '{table}' AS table_name, '{column}' AS column_name, count(*) AS row_count,
+            count(*) - count({column}) AS null_count, CAST(min({column}) AS VARCHAR) AS least,
+            CAST(max({column}) AS VARCHAR) AS greatest,
+            round(avg(length(CAST({column} AS VARCHAR))), 6) AS mean_length FROM {table}"""
+    ),
+    "profile_sketches": _per_column(
+        "SELECT '{table}' AS table_name, '{column}' AS column_name, true AS distinct_near, "
+        "true AS median_near"
+    ),
+    "profile_drift": """SELECT 'orders' AS table_name, * FROM (VALUES
+        ('o_totalprice', 'range+distribution'), ('o_orderstatus', 'nulls'),
+        ('o_custkey', 'distinct+distribution'), ('o_extra', 'new'),
+        ('o_orderpriority', 'missing')) v(column_name, findings)""",
+    "fact_clustered": _with(
+        ["fact"],
+        """SELECT * FROM fact
+        WHERE arrival_location_id = 3 AND arrival_date_id BETWEEN 13500 AND 14000""",
+    ),
+    "report_cube": _with(["fact"], _cube_rows()),
+    "report_cube_daily": _with(
+        ["fact", "calendar"],
+        f"""SELECT quarter, port_name AS city, count(*) AS visitor_amount
+        FROM fact f {_LOCATION_JOIN} {_DATE_JOIN} GROUP BY 1, 2""",
+    ),
     "scan_csv_captured": "SELECT * FROM customer",
     "scan_drifting_feed": """SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,
             CASE l_orderkey % 6 WHEN 3 THEN NULL WHEN 1 THEN trunc(l_quantity) ELSE l_quantity END
