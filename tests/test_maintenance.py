@@ -56,7 +56,8 @@ def daily(built, tmp_path):
     shutil.copytree(folder / "model", tmp_path / "model")
     shutil.copytree(folder / "whole", tmp_path / "whole")
     paths = {"demographics_path": str(tmp_path / "whole/cities.csv"), "labels_path": str(tmp_path / "whole/labels.sas")}
-    feeds = f"{{{folder}/feed,{tmp_path}/feed}}/*/*.parquet"
+    assert folder.parent == tmp_path.parent
+    feeds = f"{folder.parent}/{{{folder.name},{tmp_path.name}}}/feed/*/*.parquet"
     return replace(config, target=str(tmp_path / "model"), feed_path=feeds, **paths), tmp_path
 
 
