@@ -9,9 +9,9 @@
    by 128 independent bits of hash, and the smallest document of each group owns the
    window. They are shuffled once, by their anchor: neighbouring windows with one anchor
    travel as one row.
-   Windows that the sketch finds in ``HOT_DOCUMENTS`` or more go another way, since all
-   rows of one would meet in a task: their owners come from a map-side aggregate, and a
-   join gives them back without dealing the rows by window.
+   Rows of an anchor that the sketch finds in ``HOT_DOCUMENTS`` or more are salted, so that
+   they meet in ``SALTS`` tasks. All but the smallest document of a salt are later ones
+   already; only these winners, at most one a salt, meet again.
 
 The estimate only ever errs upwards, so no repeated window is lost; what it lets through
 wrongly is found to have one document. The marks are two bitmaps of ``ROWS`` times the
@@ -46,6 +46,8 @@ ANCHOR_WORDS = 8
 ROWS = 4
 MIN_CELLS, MAX_CELLS = 1 << 16, 1 << 27
 HOT_DOCUMENTS = 1000
+# Tasks that share the rows of a hot anchor.
+SALTS = 16
 # Windows of one anchor that travel together; bounds a row.
 ROW_WINDOWS = 1024
 # Cells of one block of a sketch; a cell's place in it takes 16 bits.
@@ -248,21 +250,26 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, cells: int | None =
     marks = marked_cells(rows, window, cells)
     candidates = candidate_windows(rows, marks, window)
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    together = Window.partitionBy("anchor", "h1", "h2")
-    usual = _each_window(candidates.filter(~F.col("hot")).repartition(tasks, "anchor"))
-    usual = usual.withColumn("owner", F.min("doc_id").over(together))
-    removed = usual.filter(_owned_by_other()).select(*_ROW, "start")
-    if marks[1].any():
-        removed = removed.union(_later_hot(_each_window(candidates.filter("hot"))))
+    salt = F.when(F.col("hot"), F.pmod(F.xxhash64(*_ROW), F.lit(SALTS))).otherwise(0)
+    dealt = candidates.withColumn("salt", salt).repartition(tasks, "anchor", "salt")
+    owner = F.min("doc_id").over(Window.partitionBy("anchor", "salt", "h1", "h2"))
+    seen = _each_window(dealt).withColumn("owner", owner).withColumn("later", _owned_by_other())
+    if not marks[1].any():
+        removed = seen.filter("later").select(*_ROW, "start")
+    else:
+        seen = seen.filter("later OR hot").select(*_ROW, "start", "h1", "h2", "later")
+        seen = stored(seen, "repeats-and-winners")
+        winners = seen.filter("NOT later")
+        removed = seen.filter("later").select(*_ROW, "start").union(_later_winners(winners))
     return removed.groupBy(*_ROW).agg(F.collect_set("start").alias("starts"))
 
 
 def _each_window(candidates: DataFrame) -> DataFrame:
-    """``(anchor, doc_id, key, other_key, start, h1, h2)``."""
-    pairs = F.arrays_zip("h1", "h2")
-    each = candidates.select("anchor", *_ROW, "first", F.posexplode(pairs).alias("place", "pair"))
+    """One row for each window, with its first word as ``start``."""
+    kept = ["anchor", "salt", "hot", *_ROW, "first"]
+    each = candidates.select(*kept, F.posexplode(F.arrays_zip("h1", "h2")).alias("place", "pair"))
     start = (F.col("first") + F.col("place")).alias("start")
-    return each.select("anchor", *_ROW, start, "pair.h1", "pair.h2")
+    return each.select("anchor", "salt", "hot", *_ROW, start, "pair.h1", "pair.h2")
 
 
 def _owned_by_other() -> Column:
@@ -271,13 +278,15 @@ def _owned_by_other() -> Column:
     return owner.isNotNull() & (doc_id.isNull() | (owner < doc_id))
 
 
-def _later_hot(hot: DataFrame) -> DataFrame:
-    """Rows and ``start`` of hot windows that a document of a smaller id holds, too."""
-    owners = hot.groupBy("h1", "h2").agg(F.min("doc_id").alias("owner"))
-    # Stored, so that a join by key may split a window with very many rows.
-    owners = stored(owners, "hot-owners")
-    joined = hot.join(owners, ["h1", "h2"])
-    return joined.filter(_owned_by_other()).select(*_ROW, "start")
+def _later_winners(winners: DataFrame) -> DataFrame:
+    """Rows and ``start`` of hot windows that came first in their salt and not in all. Rows
+    without id, which may be many to a window, ask whether it has any document with one."""
+    named = winners.filter(F.col("doc_id").isNotNull())
+    owner = F.min("doc_id").over(Window.partitionBy("h1", "h2"))
+    later = named.withColumn("owner", owner).filter(_owned_by_other())
+    owned = stored(named.select("h1", "h2").distinct(), "owned-windows")
+    nameless = winners.filter(F.col("doc_id").isNull()).join(owned, ["h1", "h2"], "left_semi")
+    return later.select(*_ROW, "start").union(nameless.select(*_ROW, "start"))
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, cells: int | None = None) -> DataFrame:
