@@ -16,12 +16,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starkit.llm.common import fold, slices
+from starkit.llm.common import fold, slices, stored
 from starkit.llm.ngrams import NgramSpec, counts, letters
 
 SPEC = NgramSpec(orders=(1, 2, 3), bits=15)
 # Rows that the weights are fitted on at most, spread evenly over the languages.
 SAMPLE_ROWS = 3000
+# What the features of a sample may have on the driver.
+SAMPLE_BYTES = 64 << 20
 # Of the sample, one row in so many sets the temperature.
 CALIBRATION_PART = 5
 EPOCHS = 2
@@ -97,7 +99,7 @@ def document_frequencies(rows: DataFrame) -> tuple[np.ndarray, int]:
 
 def sampled(rows: DataFrame, label: str, bound: int, key: str) -> DataFrame:
     """About ``bound`` rows, evenly over the values of ``label``, by a hash of ``key`` and
-    text; never more than twice the bound."""
+    text, which stands in ``order``."""
     sizes = {value: n for value, n in rows.groupBy(label).count().collect()}
     if not sizes:
         return rows.limit(0)
@@ -107,7 +109,29 @@ def sampled(rows: DataFrame, label: str, bound: int, key: str) -> DataFrame:
     kept = F.lit(False)
     for value, n in sizes.items():
         kept = kept | ((F.col(label) == value) & (chance < int(parts * min(1.0, share / n))))
-    return rows.filter(kept).limit(2 * bound)
+    return rows.filter(kept).withColumn("order", F.xxhash64(key, "text", F.lit(1)))
+
+
+def collected(examples: DataFrame, bound: int, most_bytes: int = SAMPLE_BYTES) -> list:
+    """The first ``2 * bound`` rows of sampled ``examples(order, ...)`` in their order, as far as
+    their binary columns have ``most_bytes`` in all; so the driver's share is bounded in rows and
+    in bytes, and the same rows are left out each time."""
+    examples = stored(examples.withColumn("row", F.monotonically_increasing_id()), "examples")
+    blobs = [name for name, kind in examples.dtypes if kind == "binary"]
+    size = sum((F.octet_length(name) for name in blobs), F.lit(0)).alias("size")
+    first = examples.select("order", "row", size).orderBy("order", "row").limit(2 * bound).collect()
+    total, last = 0, None
+    for row in first:
+        total += row["size"]
+        if total > most_bytes and last is not None:
+            break
+        last = row
+    if last is None:
+        return []
+    within = (F.col("order") < last["order"]) | (
+        (F.col("order") == last["order"]) & (F.col("row") <= last["row"])
+    )
+    return sorted(examples.filter(within).collect(), key=lambda r: (r["order"], r["row"]))
 
 
 class Ftrl:
@@ -152,8 +176,12 @@ def _temperature(logits: list[np.ndarray], targets: list[int]) -> float:
 
 
 def train(rows: DataFrame, bound: int = SAMPLE_ROWS) -> LanguageModel:
-    """A model from ``rows(doc_id, text, lang)``, all of which may be learned from. Rows
-    without language teach nothing. No rows give a model that knows no language."""
+    """A model from ``rows(doc_id, text, lang)``, all of which may be learned from.
+
+    Rows without language, and texts that are null or have no letter, teach nothing. Whole
+    texts are learned from, however long; repeated rows count each. No rows give a model that
+    knows no language.
+    """
     labelled = rows.filter(F.col("lang").isNotNull())
     frequencies, total = document_frequencies(labelled)
     idf = np.log((1 + total) / (1 + frequencies)) + 1
@@ -175,13 +203,11 @@ def train(rows: DataFrame, bound: int = SAMPLE_ROWS) -> LanguageModel:
                 names=["lang", "order", "features", "values"],
             )
 
-    sample = sampled(labelled, "lang", bound, "doc_id").withColumn(
-        "order", F.xxhash64("doc_id", "text", F.lit(1))
-    )
+    sample = sampled(labelled, "lang", bound, "doc_id")
     found = sample.select("lang", "order", "text").mapInArrow(
         run, "lang string, order bigint, features binary, values binary"
     )
-    examples = sorted(found.collect(), key=lambda row: (row["order"], row["lang"]))
+    examples = collected(found, bound)
     languages = sorted({row["lang"] for row in examples})
     number = {lang: place for place, lang in enumerate(languages)}
     learner = Ftrl(len(languages), SPEC.size)

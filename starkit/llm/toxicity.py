@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starkit.llm.common import documents, fold, slices
-from starkit.llm.language import sampled
+from starkit.llm.language import collected, sampled
 from starkit.llm.ngrams import NgramSpec, letters, presence
 
 SPEC = NgramSpec(orders=(3, 4, 5), bits=18)
@@ -124,7 +124,12 @@ def fit(examples: list[tuple[np.ndarray, int]], ratios: np.ndarray, share: float
 
 def train(rows: DataFrame, bound: int = SAMPLE_ROWS) -> ToxicityModel:
     """A model from ``rows(doc_id, text, toxic)`` with labels 0 and 1, all of which may be
-    learned from. Other labels teach nothing; without rows every score is a half."""
+    learned from.
+
+    Other labels teach nothing. A null, empty or letterless text is a row without n-grams; whole
+    texts are learned from, however long; repeated rows count each. Without rows every score is
+    a half.
+    """
     rows = rows.filter(F.col("toxic").isin(0, 1))
     counts, classes = class_counts(rows)
     ratios = log_count_ratios(counts, classes)
@@ -142,16 +147,11 @@ def train(rows: DataFrame, bound: int = SAMPLE_ROWS) -> ToxicityModel:
                 names=["toxic", "order", "features"],
             )
 
-    sample = sampled(rows, "toxic", bound, "doc_id").withColumn(
-        "order", F.xxhash64("doc_id", "text", F.lit(1))
-    )
+    sample = sampled(rows, "toxic", bound, "doc_id")
     found = sample.select("toxic", "order", "text").mapInArrow(
         run, "toxic int, order bigint, features binary"
     )
-    examples = [
-        (np.frombuffer(features, np.int32), toxic)
-        for toxic, _, features in sorted(found.collect(), key=lambda r: (r["order"], r["toxic"]))
-    ]
+    examples = [(np.frombuffer(r["features"], np.int32), r["toxic"]) for r in collected(found, bound)]
     share = classes[1] / classes.sum() if classes.sum() else 0.5
     return fit(examples, ratios, float(share))
 
@@ -178,7 +178,11 @@ def labelled_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
-    """``(doc_id, score)`` of every whole text; null and empty ones are scored, too."""
+    """``(doc_id, score)`` of every whole text.
+
+    Null, empty and letterless texts have the score of no evidence. Rows without id and repeated
+    rows are scored each; an empty table gives no rows; other columns are not read.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
