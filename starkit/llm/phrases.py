@@ -14,7 +14,9 @@ a run of words of one piece; all counts are per language.
    phrases together. What survives is marked by hash in a bitmap of fixed size, which
    is all that is broadcast; a wrong mark costs work and nothing else.
 3. A last pass counts the marked phrases exactly, by their words and not by hash. Parts of a
-   frequent phrase are frequent, so every count that a score needs is among them.
+   frequent phrase are frequent, so every count that a score needs is among them; of single
+   words, only those in a marked pair are counted. Counts travel in blocks, one for each task
+   and hash partition, and a partition adds up no more phrases than its summary kept.
 """
 
 from __future__ import annotations
@@ -154,17 +156,24 @@ def _spoken(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
 
 
 def _counted(texts: DataFrame, sizes: range, part: int, marks) -> DataFrame:
-    """``(hash, count)`` of the phrases of ``sizes`` words whose runs of ``part`` words are
+    """``(hash, count, wanted)`` of the phrases of ``sizes`` words whose runs of ``part`` words are
     marked, counted by task as far as ``FLUSH_PHRASES`` go. A hash depends on the number of
-    words and the language, too."""
+    words and the language, too. With pairs as ``part``, the words of marked pairs come as
+    well, as ``wanted``."""
 
-    def counts_of(hashes: list[np.ndarray]) -> pa.RecordBatch:
-        codes, keys = pd.factorize(np.concatenate([np.empty(0, np.uint64), *hashes]))
-        counts = pa.array(np.bincount(codes, minlength=len(keys)))
-        return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), counts], names=["hash", "count"])
+    def rows_of(hashes: np.ndarray, counts: np.ndarray, wanted: bool) -> pa.RecordBatch:
+        columns = [pa.array(hashes.view(np.int64)), pa.array(counts.astype(np.int64))]
+        flags = pa.array(np.full(len(hashes), wanted))
+        return pa.RecordBatch.from_arrays([*columns, flags], names=["hash", "count", "wanted"])
+
+    def emitted(held: list[np.ndarray], words: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        codes, keys = pd.factorize(np.concatenate([np.empty(0, np.uint64), *held]))
+        yield rows_of(keys, np.bincount(codes, minlength=len(keys)), False)
+        unique = np.unique(np.concatenate([np.empty(0, np.uint64), *words]))
+        yield rows_of(unique, np.zeros(len(unique)), True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, count = [], 0
+        held, words, count = [], [], 0
         for batch in slices(batches):
             cut = Cut(batch["text"], batch["lang"].to_pylist())
             for size in sizes:
@@ -172,22 +181,37 @@ def _counted(texts: DataFrame, sizes: range, part: int, marks) -> DataFrame:
                 found = whole if marks is None else _runs(size, cut, part, marks.value)
                 held.append(cut.hashes(size)[0][found])
                 count += len(held[-1])
+            if part == 2:
+                pairs = np.flatnonzero(_runs(2, cut, 2, marks.value))
+                words.append(np.unique(cut.hashes(1)[0][np.concatenate([pairs, pairs + 1])]))
+                count += len(words[-1])
             if count >= FLUSH_PHRASES:
-                yield counts_of(held)
-                held, count = [], 0
-        yield counts_of(held)
+                yield from emitted(held, words)
+                held, words, count = [], [], 0
+        yield from emitted(held, words)
 
-    return texts.mapInArrow(run, "hash bigint, count bigint")
+    return texts.mapInArrow(run, "hash bigint, count bigint, wanted boolean")
 
 
 def _survivors(counted: DataFrame, threshold: int, capacity: int) -> DataFrame:
-    """``(hash)`` of all frequent phrases of ``counted(hash, count)``, and of others."""
+    """``(hash, wanted)`` of all frequent phrases of ``counted``, and of others; and the wanted
+    words, once each."""
     tasks = int(counted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
+    def rows_of(hashes: np.ndarray, wanted: bool) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(hashes), pa.array(np.full(len(hashes), wanted))], names=["hash", "wanted"]
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         summary, held, rows = Summary(threshold, capacity), [], 0
+        words = np.empty(0, np.int64)
         for batch in batches:
-            held.append((batch["hash"].to_numpy(), batch["count"].to_numpy()))
+            hashes, counts = batch["hash"].to_numpy(), batch["count"].to_numpy()
+            wanted = batch["wanted"].to_numpy(zero_copy_only=False)
+            if wanted.any():
+                words = np.union1d(words, hashes[wanted])
+            held.append((hashes[~wanted], counts[~wanted]))
             rows += batch.num_rows
             # Merging costs as much as the summary is long.
             if rows >= max(_MERGED_ROWS, len(summary.keys) // 2):
@@ -195,9 +219,10 @@ def _survivors(counted: DataFrame, threshold: int, capacity: int) -> DataFrame:
                 held, rows = [], 0
         if held:
             summary.merge(*map(np.concatenate, zip(*held)))
-        yield pa.RecordBatch.from_arrays([pa.array(summary.survivors())], names=["hash"])
+        yield rows_of(summary.survivors(), False)
+        yield rows_of(words, True)
 
-    return counted.repartition(tasks, "hash").mapInArrow(run, "hash bigint")
+    return counted.repartition(tasks, "hash").mapInArrow(run, "hash bigint, wanted boolean")
 
 
 def _mark(marks: np.ndarray, survivors: DataFrame) -> None:
@@ -222,28 +247,35 @@ def _mark(marks: np.ndarray, survivors: DataFrame) -> None:
         marks[span] |= np.frombuffer(row["bits"], np.uint8)
 
 
-def _exactly_counted(texts: DataFrame, marks, longest: int) -> DataFrame:
-    """``(lang, size, phrase, count)`` of marked phrases, and the number of a language's words
-    as size 0; parts of the counts, by task."""
+def _exactly_counted(texts: DataFrame, marks, words, longest: int, threshold: int) -> DataFrame:
+    """``(lang, size, phrase, count)`` of marked phrases of the threshold and more, and the number
+    of a language's words as size 0. Single words are those marked in ``words``."""
+    tasks = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    names = ["langs", "sizes", "phrases", "counts"]
+
+    def blocks(held: dict[tuple[str, int, bytes], int]) -> pa.RecordBatch:
+        keys, counts = list(held), np.fromiter(held.values(), np.int64, len(held))
+        place = [xxhash.xxh64_intdigest(phrase, size) % tasks for _, size, phrase in keys]
+        place = np.array(place, np.int64)
+        order = np.argsort(place, kind="stable")
+        bounds = np.searchsorted(place[order], np.arange(tasks + 1)).astype(np.int32)
+        langs, sizes, found = zip(*[keys[k] for k in order.tolist()]) if keys else ((), (), ())
+        columns = [pa.array(langs, pa.string()), pa.array(sizes, pa.int32())]
+        columns += [pa.array(found, pa.binary()).cast(pa.string()), pa.array(counts[order])]
+        ends = pa.array(bounds)
+        lists = [pa.ListArray.from_arrays(ends, column) for column in columns]
+        return pa.RecordBatch.from_arrays([pa.array(np.arange(tasks, dtype=np.int32)), *lists], names=["part", *names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple[str, int, bytes], int] = {}
-
-        def emitted() -> pa.RecordBatch:
-            keys = list(zip(*held)) if held else [[], [], []]
-            columns = [pa.array(keys[0], pa.string()), pa.array(keys[1], pa.int32())]
-            columns.append(pa.array(keys[2], pa.binary()).cast(pa.string()))
-            columns.append(pa.array(held.values(), pa.int64()))
-            held.clear()
-            return pa.RecordBatch.from_arrays(columns, names=["lang", "size", "phrase", "count"])
-
         for batch in slices(batches):
             cut = Cut(batch["text"], batch["lang"].to_pylist())
-            for text, words in enumerate(cut.words.counts().tolist()):
-                held[cut.langs[text], 0, b""] = held.get((cut.langs[text], 0, b""), 0) + words
+            for text, count in enumerate(cut.words.counts().tolist()):
+                held[cut.langs[text], 0, b""] = held.get((cut.langs[text], 0, b""), 0) + count
             for size in range(1, longest + 1):
                 hashes, checks = cut.hashes(size)
-                places = np.flatnonzero((cut.room[: len(hashes)] >= size) & _marked(marks.value, hashes))
+                marked = _marked((words if size == 1 else marks).value, hashes)
+                places = np.flatnonzero((cut.room[: len(hashes)] >= size) & marked)
                 codes, unique = pd.factorize(hashes[places])
                 first = np.empty(len(unique), np.int64)
                 first[codes[::-1]] = places[::-1]
@@ -255,11 +287,27 @@ def _exactly_counted(texts: DataFrame, marks, longest: int) -> DataFrame:
                 for place in places[~same].tolist():  # another phrase with the same hash
                     key = (cut.langs[cut.text[place]], size, cut.phrase(place, size))
                     held[key] = held.get(key, 0) + 1
-            if len(held) >= FLUSH_PHRASES // 4:
-                yield emitted()
-        yield emitted()
+            if len(held) >= FLUSH_PHRASES // 2:
+                yield blocks(held)
+                held.clear()
+        yield blocks(held)
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[tuple[str, int, str], int] = {}
+        for batch in batches:
+            lists = [batch[name].flatten().to_pylist() for name in names]
+            for lang, size, phrase, count in zip(*lists):
+                key = (lang, size, phrase)
+                total[key] = total.get(key, 0) + count
+        found = [(*key, count) for key, count in total.items() if count >= threshold or not key[1]]
+        columns = zip(*found) if found else [[]] * 4
+        types = [pa.string(), pa.int32(), pa.string(), pa.int64()]
+        arrays = [pa.array(column, kind) for column, kind in zip(columns, types)]
+        yield pa.RecordBatch.from_arrays(arrays, names=["lang", "size", "phrase", "count"])
 
-    return texts.mapInArrow(run, "lang string, size int, phrase string, count bigint")
+    schema = "part int, langs array<string>, sizes array<int>, phrases array<string>, counts array<bigint>"
+    dealt = texts.mapInArrow(run, schema).repartition(tasks, "part")
+    return dealt.mapInArrow(add_up, "lang string, size int, phrase string, count bigint")
 
 
 def frequent_phrases(
@@ -269,10 +317,12 @@ def frequent_phrases(
     text_col: str = "text",
     lang_col: str = "lang",
     capacity: int = CAPACITY,
+    all_words: bool = True,
 ) -> DataFrame:
     """``(lang, size, phrase, count)``: every phrase of up to ``longest`` words that occurs
     ``threshold`` times or more in a language, overlaps included, and as size 0 with an empty
-    phrase the number of the language's words.
+    phrase the number of the language's words. Without ``all_words``, single words are only
+    those of frequent pairs, and perhaps a few others.
 
     A null language is ``und``; a null, empty or blank text has no word; repeated rows count
     each; other columns, ids among them, are not read. An empty table gives no rows.
@@ -282,11 +332,15 @@ def frequent_phrases(
     marks, sent = np.zeros(1 << (MARK_BITS - 3), np.uint8), None
     for sizes, part in ((range(1, 2), 0), (range(2, 3), 1), (range(3, longest + 1), 2)):
         counted = _counted(texts, sizes, part, sent)
-        _mark(marks, stored(_survivors(counted, threshold, capacity), "survivors"))
+        survivors = stored(_survivors(counted, threshold, capacity), "survivors")
+        _mark(marks, survivors.filter(~F.col("wanted")))
         sent = context.broadcast(marks)
-    found = _exactly_counted(texts, sent, longest)
-    found = found.groupBy("lang", "size", "phrase").agg(F.sum("count").alias("count"))
-    return found.filter((F.col("size") == 0) | (F.col("count") >= threshold))
+    words = sent
+    if not all_words:
+        wanted = np.zeros(1 << (MARK_BITS - 3), np.uint8)
+        _mark(wanted, survivors.filter("wanted"))
+        words = context.broadcast(wanted)
+    return _exactly_counted(texts, sent, words, longest, threshold)
 
 
 def _part(words: Column, start: int, size: Column) -> Column:
@@ -327,7 +381,8 @@ def collocations(
     inside a longer frequent one of the same count is left out. See ``frequent_phrases`` for
     edges; ranking keeps ``top`` rows of a language in each task before they meet.
     """
-    counts = stored(frequent_phrases(docs, threshold, longest, text_col, lang_col, capacity), "phrase-counts")
+    found = frequent_phrases(docs, threshold, longest, text_col, lang_col, capacity, all_words=False)
+    counts = stored(found, "phrase-counts")
     totals = counts.filter("size = 0").select("lang", F.col("count").alias("n"))
     candidates = counts.filter("size > 1")
     parts = counts.filter("size > 0").select(
