@@ -23,9 +23,9 @@ def long_text(seed, count):
 
 @pytest.fixture(scope="module")
 def long_documents(spark):
-    text = long_text(1, 350_000)
-    assert len(text) > 2_000_000
-    rows = [(1, text), (2, f"ahead {text}"), (3, text), (4, "x" * 2_000_000), (5, None), (6, "a short one")]
+    text = long_text(1, 200_000)
+    assert len(text) > 1_000_000
+    rows = [(1, text), (2, f"ahead {text}"), (3, text), (4, "x" * 1_000_000), (5, None), (6, "a short one")]
     return spark.createDataFrame(rows, "doc_id long, text string").withColumn("source", F.lit("s")), text
 
 
@@ -52,7 +52,7 @@ def test_long_texts_are_encoded_and_packed_whole(spark, long_documents):
     docs = docs.filter("doc_id IN (1, 4, 5)")
     lengths = {r["doc_id"]: r["n"] for r in cut_documents(docs, WORD).groupBy("doc_id").agg(F.sum("length").alias("n")).collect()}
     encoded = {r["doc_id"]: r["n"] for r in bpe.encode(docs, WORD).select("doc_id", F.size("ids").alias("n")).collect()}
-    assert lengths == {doc_id: n + 1 for doc_id, n in encoded.items()} and lengths[1] > 350_000
+    assert lengths == {doc_id: n + 1 for doc_id, n in encoded.items()} and lengths[1] > 200_000
     packed = packing.pack_documents(docs, WORD)
     assert packed.agg(F.sum("length")).first()[0] == sum(lengths.values())
 
@@ -81,7 +81,7 @@ def test_vectors_and_labels_with_the_operators_own_names(spark, awkward):
 
 
 def test_conversations_with_long_turns_and_clashing_names(spark):
-    text = long_text(2, 100_000)
+    text = long_text(2, 50_000)
     turns = [(c, k, "user", text if k == 0 else f"{c} {k}") for c in (0, 1, 2) for k in range(3)]
     plain = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
     clashing = plain.withColumns({name: F.lit("clash") for name in [*OWN_NAMES, "h", "m", "base", "words", "f1", "p1", "n_convs"]})
