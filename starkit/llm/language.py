@@ -101,6 +101,7 @@ def sampled(rows: DataFrame, label: str, bound: int, key: str) -> DataFrame:
     """About ``bound`` rows, evenly over the values of ``label``, by a hash of ``key`` and
     text, which stands in ``order``."""
     sizes = {value: n for value, n in rows.groupBy(label).count().collect()}
+    rows = rows.withColumn("order", F.xxhash64(key, "text", F.lit(1)))
     if not sizes:
         return rows.limit(0)
     share = bound / len(sizes)
@@ -109,7 +110,7 @@ def sampled(rows: DataFrame, label: str, bound: int, key: str) -> DataFrame:
     kept = F.lit(False)
     for value, n in sizes.items():
         kept = kept | ((F.col(label) == value) & (chance < int(parts * min(1.0, share / n))))
-    return rows.filter(kept).withColumn("order", F.xxhash64(key, "text", F.lit(1)))
+    return rows.filter(kept)
 
 
 def collected(examples: DataFrame, bound: int, most_bytes: int = SAMPLE_BYTES) -> list:
