@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starkit.llm.common import documents, fold, slices
-from starkit.llm.language import collected, sampled
+from starkit.llm.language import sampled
 from starkit.llm.ngrams import NgramSpec, letters, presence
 
 SPEC = NgramSpec(orders=(3, 4, 5), bits=18)
@@ -147,11 +147,14 @@ def train(rows: DataFrame, bound: int = SAMPLE_ROWS) -> ToxicityModel:
                 names=["toxic", "order", "features"],
             )
 
-    sample = sampled(rows, "toxic", bound, "doc_id")
+    sample = sampled(rows, "toxic", bound, "doc_id").limit(2 * bound)
     found = sample.select("toxic", "order", "text").mapInArrow(
         run, "toxic int, order bigint, features binary"
     )
-    examples = [(np.frombuffer(r["features"], np.int32), r["toxic"]) for r in collected(found, bound)]
+    examples = [
+        (np.frombuffer(features, np.int32), toxic)
+        for toxic, _, features in sorted(found.collect(), key=lambda r: (r["order"], r["toxic"]))
+    ]
     share = classes[1] / classes.sum() if classes.sum() else 0.5
     return fit(examples, ratios, float(share))
 
