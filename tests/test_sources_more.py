@@ -20,6 +20,7 @@ from pyspark.sql.types import (
 
 import fixture
 from starkit.operators.checks import CheckFailed
+from starkit.operators import similar
 from starkit.operators.similar import nearest_names, similar_names
 from starkit.plans import sqltables
 from starkit.plans.dimensions import demographics_members
@@ -185,6 +186,34 @@ def test_similar_names_are_all_pairs_within_the_distance(spark, most):
     assert found == best
 
 
+@pytest.mark.parametrize("frequent", [0, 5, 64])
+def test_similar_names_of_frequent_trigrams(spark, monkeypatch, frequent):
+    """Names that share their trigrams with many others, from a small alphabet: every pair is
+    found, and the tokens on which they meet give few more candidates than names."""
+    monkeypatch.setattr(similar, "FREQUENT", frequent)
+    draw = random.Random(5)
+    sides = [["".join(draw.choices("abc", k=draw.randint(1, 11))) for _ in range(200)] for _ in range(2)]
+    frames = [spark.createDataFrame([("u", name) for name in names], "s string, name string") for names in sides]
+    wanted = Counter(
+        {("u", a, b, d): 1 for a in set(sides[0]) for b in set(sides[1]) if a != b and (d := distance(a, b)) <= 2}
+    )
+    assert rows(similar_names(*frames, ["s"], 2)) == wanted
+
+
+def test_similar_names_meet_on_few_tokens_in_common(spark):
+    """Candidates grow with the names and not with their square, though all trigrams are frequent."""
+    seen = {}
+    for size in (1500, 6000):
+        draw = random.Random(size)
+        names = {"".join(draw.choices("abcdef", k=14)) for _ in range(size)}
+        df = spark.createDataFrame([("u", name) for name in names], "s string, name string")
+        uses = similar._grams(df, ["s"]).groupBy("s", "gram").count()
+        tokens = similar._tokens(df, uses.withColumnRenamed("count", "uses"), ["s"], 2)
+        met = tokens.groupBy("s", "token").count().agg(F.sum(F.col("count") * F.col("count"))).first()[0]
+        seen[size] = met / tokens.count()
+    assert seen[6000] < 1.5 * seen[1500] and seen[6000] < 20, seen
+
+
 def test_similar_names_do_not_compare_all_pairs(spark):
     names = spark.createDataFrame(random_names(3, 50), "s string, name string")
     plan = similar_names(names, names, ["s"])._jdf.queryExecution().executedPlan().toString()
