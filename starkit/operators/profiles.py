@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (
     BooleanType,
     DateType,
+    DoubleType,
+    FloatType,
     NumericType,
     StringType,
     TimestampNTZType,
@@ -55,40 +57,75 @@ def _plain(df: DataFrame) -> list[str]:
     return [field.name for field in df.schema if isinstance(field.dataType, kinds)]
 
 
-def profile(df: DataFrame, name: str) -> DataFrame:
-    """One row of ``PROFILE`` for each plain column, from one scan and one aggregate.
-
-    ``least`` and ``greatest`` are texts of the values in the column's own order. NaN is no
-    number of the quantiles. A table without rows gives counts of 0 and empty sketches.
-    """
-    parts = []
-    for field in df.schema:
-        if field.name not in _plain(df):
+def _ends(value: str, number: str, kind) -> tuple[Column, Column]:
+    """The least and greatest number. Those of the least and greatest value, where numbers keep
+    the order of values, so that no further aggregate is needed; NaN is the greatest value."""
+    if isinstance(kind, (StringType, TimestampNTZType)):
+        return F.min(number), F.max(number)
+    low, high = _number(F.min(value), kind), _number(F.max(value), kind)
+    if isinstance(kind, (FloatType, DoubleType)):
+        return F.when(~F.isnan(low), low), F.max(number)
+    return low, high
+
+
+def _measures(df: DataFrame) -> tuple[list[Column], Column]:
+    """The columns that an aggregate needs, and the aggregate: an array with one struct for each
+    plain column. Texts and numbers are made before it, so that its parts do not each make them."""
+    plain = set(_plain(df))
+    needed, structs = [], []
+    for k, field in enumerate(df.schema):
+        if field.name not in plain:
             continue
         column, kind = F.col(f"`{field.name}`"), field.dataType
-        number = _number(column, kind)
-        number = F.when(~F.isnan(number), number)
-        text = column.cast("string")
-        parts.append(
+        value, text, number = f"value_{k}", f"text_{k}", f"number_{k}"
+        made = _number(column, kind)
+        needed += [column.alias(value), column.cast("string").alias(text), F.when(~F.isnan(made), made).alias(number)]
+        least, greatest = _ends(value, number, kind)
+        structs.append(
             F.struct(
                 F.lit(field.name).alias("column_name"),
                 F.count(F.lit(1)).alias("row_count"),
-                F.count_if(column.isNull()).alias("null_count"),
-                F.min(column).cast("string").alias("least"),
-                F.max(column).cast("string").alias("greatest"),
+                (F.count(F.lit(1)) - F.count(value)).alias("null_count"),
+                F.min(value).cast("string").alias("least"),
+                F.max(value).cast("string").alias("greatest"),
                 F.coalesce(F.sum(F.char_length(text)), F.lit(0)).cast("bigint").alias("length_total"),
-                F.min(number).alias("numbers_least"),
-                F.max(number).alias("numbers_greatest"),
+                least.alias("numbers_least"),
+                greatest.alias("numbers_greatest"),
                 F.hll_sketch_agg(text, F.lit(DISTINCT_BITS)).alias("distinct_sketch"),
                 F.kll_sketch_agg_double(number, F.lit(QUANTILE_SIZE)).alias("quantile_sketch"),
             )
         )
-    if not parts:
-        return df.sparkSession.createDataFrame([], PROFILE)
-    rows = df.agg(F.array(*parts).alias("parts")).select(F.inline("parts"))
+    return needed, F.array(*structs).alias("structs")
+
+
+def _rows(found: DataFrame, name: str) -> DataFrame:
+    rows = found.select(F.inline("structs"))
     return rows.select(F.lit(name).alias("table_name"), *rows.columns)
 
 
+def profile(df: DataFrame, name: str) -> DataFrame:
+    """One row of ``PROFILE`` for each plain column, from one scan and one aggregate.
+
+    ``least`` and ``greatest`` are texts of the values in the column's own order. NaN is no
+    number of the quantiles. A table without rows gives counts of 0 and empty sketches.
+    """
+    needed, structs = _measures(df)
+    if not needed:
+        return df.sparkSession.createDataFrame([], PROFILE)
+    return _rows(df.select(*needed).agg(structs), name)
+
+
+def profile_parts(df: DataFrame, name: str, part: Column) -> DataFrame:
+    """The profiles of a table's parts, one part for each value of ``part``, from one scan and
+    one aggregate; and that of no rows, which a table without rows has alone."""
+    needed, structs = _measures(df)
+    if not needed:
+        return df.sparkSession.createDataFrame([], PROFILE)
+    rows = df.select(part.alias("part"), *needed)
+    found = rows.groupBy("part").agg(structs).select("structs")
+    return _rows(found.union(rows.limit(0).agg(structs)), name)
+
+
 def merged(profiles: DataFrame) -> DataFrame:
     """One profile for each table and column of several. Text order decides ``least`` and
     ``greatest`` where values are no numbers, and the order of numbers where they are."""

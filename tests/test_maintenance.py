@@ -8,17 +8,19 @@ from dataclasses import replace
 
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 import fixture
 from starkit.operators.checks import CheckFailed
-from starkit.operators.profiles import described, drift, merged, profile
+from starkit.operators.profiles import described, drift, merged, profile, profile_parts
 from starkit.plans import layout, maintenance
 from starkit.plans.builds import published
 from starkit.plans.clustered import interleaved, range_bounds, range_number, write_clustered
 from starkit.plans.incremental import incremental_build, lost_rows
 from starkit.plans.maintenance import bag_diff, build_diff, compact, fact_diff, keyed_diff, retain
 from starkit.plans.model import BuildConfig, load_model
+from workload import features
 
 
 def rows(df):
@@ -229,6 +231,53 @@ def test_profiles_merge(spark):
     assert profile(nested, "t").count() == 0
 
 
+def test_profiles_of_parts_take_one_scan(spark):
+    whole = spark.createDataFrame([*measured(4, 600), (None, "c", None, None)], "n int, s string, d double, b boolean")
+    part = F.pmod("n", F.lit(3))
+    exact = ["column_name", "row_count", "null_count", "least", "greatest", "length_total", "numbers_least", "numbers_greatest"]
+    each = profile(whole.filter(part == 0), "t").union(profile(whole.filter(part == 1), "t"))
+    each = each.union(profile(whole.filter(part == 2), "t"))
+    parts = profile_parts(whole.filter(part.isNotNull()), "t", part)
+    assert rows(parts.filter("row_count > 0").select(*exact)) == rows(each.select(*exact))
+    assert rows(merged(parts).select(*exact)) == rows(merged(each).select(*exact))
+    nothing = merged(profile_parts(whole.limit(0), "t", part))
+    assert rows(nothing.select(*exact)) == rows(profile(whole.limit(0), "t").select(*exact))
+    scans = profile_parts(spark.range(9).cache(), "t", F.col("id") % 3)._jdf.queryExecution().executedPlan().toString()
+    assert scans.count("InMemoryTableScan") == 1
+    nested = spark.createDataFrame([([1],)], "a array<int>")
+    assert profile_parts(nested, "t", F.lit(0)).count() == 0
+
+
+def test_numbers_of_a_profile_have_the_ends_of_its_values(spark):
+    values = [(3, float("nan"), "NaN"), (-4, 2.5, "zz"), (None, float("-inf"), "a"), (7, None, None)]
+    df = spark.createDataFrame(values, "n int, d double, s string").withColumns(
+        {"o": F.lit(float("nan")), "t": F.timestamp_seconds("n"), "b": F.col("n") > 0, "z": F.lit(None).cast("double")}
+    )
+    ends = {r["column_name"]: (r["numbers_least"], r["numbers_greatest"]) for r in profile(df, "t").collect()}
+    assert ends == {
+        "n": (-4, 7), "d": (float("-inf"), 2.5), "s": (1, 3), "o": (None, None),
+        "t": (-4, 7), "b": (0, 1), "z": (None, None),
+    }
+
+
+def test_sketches_are_checked_without_repeating_rows(spark, tmp_path):
+    for name in features.PROFILED:
+        found = spark.createDataFrame(measured(5, 500), "n int, s string, d double, b boolean")
+        number = F.when(~F.isnan("d"), F.col("d")).alias("d")
+        found = found.select(F.monotonically_increasing_id().alias("k"), "n", "s", number, F.lit(1).alias("same"))
+        found.write.parquet(f"{tmp_path}/{name}.parquet")
+    found = features.profile_sketches(spark, str(tmp_path))
+    assert "Expand" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(found) == rows(spark.createDataFrame([(t, c, True, True) for t in features.PROFILED for c in ("k", "n", "s", "d", "same")], found.schema))
+
+
+def test_sketches_out_of_bounds_are_seen(spark):
+    df = spark.createDataFrame([(k % 100 if k % 10 else None,) for k in range(1000)], "n int")
+    for distinct, median, expected in ((90, 50.0, (True, True)), (80, 50.0, (False, True)), (90, 55.0, (True, False)), (100, 45.0, (False, False))):
+        row = Row(distinct_estimate=distinct, quantiles=[median])
+        assert tuple(features._within_bounds(df, "t", "n", row).first())[2:] == expected
+
+
 def test_least_and_greatest_go_by_value(spark):
     parts = [spark.createDataFrame([(v, str(v))], "n int, s string") for v in (9, 10, -3)]
     found = merged(profile(parts[0], "t").union(profile(parts[1], "t")).union(profile(parts[2], "t")))
